@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from twinledger import constants as K
-from twinledger.functions import dates as D
+from twinledger.functions.ordered import cut
 from twinledger.operators import flatten as X, merge as M, queue as Q, reconcile as R
 from twinledger.plans import bindings as B, q_reconcile as QR, sqltext as S
 from twinledger.plans.registry import query
@@ -37,10 +37,10 @@ def w12(spark, sf):
     return X.rank_drops(ranked_episodes(spark, sf), B.large_names(spark, sf), keep=["source_line", "k1", "k2"]).drop("seq")
 
 
-@query("p14_study_rows", B.CLASS_WITH + """ SELECT c.name, c.k1, c.k2, flag, position FROM class_all c JOIN a USING (name, k1, k2)
+@query("p14_study_rows", B.CLASS_WITH + """ SELECT c.name, c.k1, c.k2, flag, position FROM class_all c JOIN a USING (name, pos)
 WHERE NOT (flag = '学习进修' OR (flag = '学校' AND regexp_matches(position, '本科生|研究生|进修学员|访问学者|留学')))
 """.replace("position", "pst").replace("flag, pst", "flag, pst AS position").replace(
-    "JOIN a USING", "JOIN (SELECT name, k1, k2, source_line, CASE WHEN k2 % 3 = 0 THEN '博士研究生' ELSE position END AS pst FROM a) a USING"))
+    "JOIN a USING", "JOIN (SELECT name, pos, CASE WHEN k2 % 3 = 0 THEN '博士研究生' ELSE position END AS pst FROM a) a USING"))
 def p14(spark, sf):
     c = B.classes_a(spark, sf).join(
         B.episodes_a(spark, sf).select("name", "source_line", "k1", "k2", "position"),
@@ -97,8 +97,8 @@ def step1_parts(spark, sf):
     a, b = QR._ab(spark, sf)
     large = B.large_names(spark, sf)
     disputes = Q.field_disputes(R.both_sides(a, b, large))
-    gd, fd = B.group_decisions(spark, sf, a, b), B.field_decisions(spark, sf, disputes)
-    return M.merge_step1(a, b, gd, fd, large=large), gd, fd, large
+    gd, fd = B.group_decisions(spark, sf, a, b), cut(B.field_decisions(spark, sf, disputes))
+    return cut(M.merge_step1(a, b, gd, fd, large=large)), gd, fd, large
 
 
 @query("j8_decision_routing", QR.MERGED + "," + ROUTED + " SELECT name, seq, text FROM routed")
@@ -131,7 +131,7 @@ def _focal(target, year, prov):
     return f"(position <> '' AND {ctx} AND (({gov}) OR ({sec})) AND TRY_CAST(substring(start, 1, 4) AS INT) >= {year})"
 
 
-@query("w4_focal_year", B.CLASS_WITH + f""" SELECT name, coalesce(CAST(arg_min(CAST(substring(start, 1, 4) AS INT), o) FILTER ({_focal('浙江省', 1997, 'prov')}), 1997) AS INTEGER) AS year
+@query("w4_focal_year", B.CLASS_WITH + f""" SELECT name, CAST(coalesce(arg_min(CAST(substring(start, 1, 4) AS INT), o) FILTER ({_focal('浙江省', 1997, 'prov')}), 1997) AS INTEGER) AS year
 FROM (SELECT a.name, a.start, a.unit, a.position, c.prov, a.pos AS o FROM a JOIN class_all c ON c.name = a.name AND c.pos = a.pos) t GROUP BY name""")
 def w4(spark, sf):
     e = B.recipe(spark, sf, "SELECT a.*, c.prov, c.city FROM {a} a JOIN {c} c ON a.name = c.name AND a.pos = c.pos",
@@ -140,9 +140,10 @@ def w4(spark, sf):
 
 
 def _flatten_inputs(spark, sf):
+    # each step's result is a stored table in practice; here the lineage is cut at the same places
     merged, gd, fd, large = step1_parts(spark, sf)
-    cdec, ldec = QR.class_decisions(spark, sf), QR.label_decisions(spark, sf)
-    rdec = B.recipe(spark, sf, B.RANK_DECISIONS, diffs=QR.rank_diffs(spark, sf))
+    cdec, ldec = cut(QR.class_decisions(spark, sf)), cut(QR.label_decisions(spark, sf))
+    rdec = cut(B.recipe(spark, sf, B.RANK_DECISIONS, diffs=QR.rank_diffs(spark, sf)))
     eps = M.merge_classes(merged, B.classes_a(spark, sf), B.classes_b(spark, sf), cdec)
     ranks = M.resolve_ranks(B.ranks_a(spark, sf), B.ranks_b(spark, sf), rdec)
     labels = M.resolve_labels(B.people_a(spark, sf), B.people_b(spark, sf), ldec)
@@ -177,7 +178,7 @@ judge2 AS (SELECT name, episode_idx AS seq, string_agg({LABELLED}, ' | ' ORDER B
 judge3 AS (SELECT name, episode_idx AS seq, {TEXT} AS judge3 FROM rank_dec WHERE {TEXT} <> ''),
 judge4 AS (SELECT name, string_agg({LABELLED}, ' | ' ORDER BY pos, {LABELLED}) AS judge4 FROM label_dec d WHERE {TEXT} <> '' GROUP BY ALL),
 ln AS ({B.duck(B.LINES)}),
-focal AS (SELECT name, coalesce(CAST(arg_min(CAST(substring(start, 1, 4) AS INT), seq) FILTER ({_focal('浙江省', 1997, 'prov')}), 1997) AS INTEGER) AS year FROM ranked_eps GROUP BY name),
+focal AS (SELECT name, CAST(coalesce(arg_min(CAST(substring(start, 1, 4) AS INT), seq) FILTER ({_focal('浙江省', 1997, 'prov')}), 1997) AS INTEGER) AS year FROM ranked_eps GROUP BY name),
 final AS MATERIALIZED (SELECT f.year, '浙江省' AS province, e.name, coalesce(l.birth_year, '') AS birth_year, coalesce(l.origin, '') AS origin, coalesce(l.origin_city, '') AS origin_city,
   coalesce(l.minority, '') AS minority, coalesce(l.female, '') AS female, coalesce(l.bachelor, '') AS bachelor,
   {', '.join(f"coalesce(l.{x}, '') AS {x}" for x in K.LABEL_FIELDS)}, CASE WHEN e.seq = 1 THEN coalesce(j4.judge4, '') ELSE '' END AS judge4,
