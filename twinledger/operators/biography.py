@@ -24,13 +24,20 @@ def _index_of(flags: Column) -> Column:
     return F.filter(F.transform(flags, lambda f, i: F.when(f, i + 1)), lambda p: p.isNotNull())
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, also where ``body`` uses it inside other lambdas."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def section_array(text: Column) -> Column:
     """Array of struct(pos, section, body) in text order; sections without lines are left out."""
     lines = F.split(text, "\n")
 
     def build(ls: Column) -> Column:
         starts = _index_of(F.transform(ls, lambda x: strip(x).rlike("(?Ud)" + HEADER)))
-        bounds = F.concat(F.array(F.lit(0)), starts)
+        return let(F.concat(F.array(F.lit(0)), starts), lambda bounds: cut(ls, bounds))
+
+    def cut(ls: Column, bounds: Column) -> Column:
         n = F.size(ls) + 1
 
         def one(s: Column, i: Column) -> Column:
@@ -42,7 +49,7 @@ def section_array(text: Column) -> Column:
 
         return F.filter(F.transform(bounds, one), lambda x: x["n_lines"] > 0)
 
-    return F.element_at(F.transform(F.array(lines), build), 1)
+    return let(lines, build)
 
 
 def section_body(sections: Column, name: str) -> Column:
@@ -52,21 +59,56 @@ def section_body(sections: Column, name: str) -> Column:
 
 def split_sections(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, section, body); of equal titles in one text the last wins."""
-    s = df.select(key, section_array(F.col(text)).alias("_s"))
-    last = F.filter("_s", lambda x: ~F.exists("_s", lambda y: (y["section"] == x["section"]) & (y["pos"] > x["pos"])))
-    return s.select(key, F.explode(last).alias("x")).select(
+    last = let(section_array(F.col(text)), lambda s: F.filter(
+        s, lambda x: ~F.exists(s, lambda y: (y["section"] == x["section"]) & (y["pos"] > x["pos"]))))
+    return df.select(key, F.explode(last).alias("x")).select(
         key, F.col("x.section").alias("section"), F.col("x.body").alias("body"))
 
 
-def _bio(df: DataFrame, name: str, text: str) -> DataFrame:
-    s = df.select(name, section_array(F.col(text)).alias("_s"))
-    intro, info = section_body(F.col("_s"), "人物简介"), section_body(F.col("_s"), "基本信息")
-    career = F.coalesce(F.nullif(section_body(F.col("_s"), "履历段落"), F.lit("")),
-                        section_body(F.col("_s"), "人物履历"), F.lit(""))
-    summary = strip(F.concat(strip(F.coalesce(intro, F.lit(""))),
-                             F.when(F.coalesce(info, F.lit("")) != "", F.concat(F.lit("\n"), strip(info))).otherwise("")))
-    lines = F.filter(F.transform(F.split(career, "\n"), lambda x: strip(x)), lambda x: x != "")
-    return s.select(name, summary.alias("bio_summary"), lines.alias("_lines"))
+def _career_body(sections: Column) -> Column:
+    return F.coalesce(F.nullif(section_body(sections, "履历段落"), F.lit("")), section_body(sections, "人物履历"), F.lit(""))
+
+
+def _summary(sections: Column) -> Column:
+    intro = strip(F.coalesce(section_body(sections, "人物简介"), F.lit("")))
+    info = F.coalesce(section_body(sections, "基本信息"), F.lit(""))
+    return strip(F.concat(intro, F.when(info != "", F.concat(F.lit("\n"), strip(info))).otherwise("")))
+
+
+def _number_lines(kinds: Column) -> Column:
+    """struct(entries, extra) of the classified lines of one text."""
+
+    def with_starts(k: Column, starts: Column) -> Column:
+        n = F.size(k) + 1
+
+        def entry(s: Column, i: Column) -> Column:
+            block = F.filter(F.slice(k, s, _next(starts, i, n) - s), lambda x: x["k"] != "honor")
+            return F.struct((i + 1).cast("int").alias("line_num"),
+                            F.array_join(F.transform(block, lambda x: x["t"]), K.IDEOGRAPHIC_SPACE).alias("raw_text"))
+
+        first = F.coalesce(F.try_element_at(starts, F.lit(1)), n)
+        extra = F.array_compact(F.transform(k, lambda x, i: F.when((x["k"] == "honor") | (i + 1 < first), x["t"])))
+        return F.struct(F.transform(starts, entry).alias("entries"), strip(F.array_join(extra, "\n")).alias("extra"))
+
+    return let(kinds, lambda k: let(_index_of(F.transform(k, lambda x: x["k"] == "career")), lambda st: with_starts(k, st)))
+
+
+def _with_ends(entries: Column) -> Column:
+    """Entries with the start of the next dated entry where they have no end of their own."""
+    dated = F.transform(entries, lambda e: F.struct(
+        e["line_num"].alias("line_num"), e["raw_text"].alias("raw_text"), T.start_ym(e["raw_text"]).alias("ym"),
+        T.has_end(e["raw_text"]).alias("ended")))
+
+    def finish(all_: Column):
+        def one(e: Column, i: Column) -> Column:
+            later = F.filter(F.slice(all_, i + 2, F.size(all_)), lambda y: y["ym"].isNotNull())
+            end = F.when(~e["ended"], T.ym_text(F.try_element_at(later, F.lit(1))["ym"]))
+            return F.struct(e["line_num"].alias("line_num"), e["raw_text"].alias("raw_text"), end.alias("inferred_end"),
+                            F.lit(False).alias("undated"))
+
+        return F.transform(all_, one)
+
+    return let(dated, finish)
 
 
 def preprocess(df: DataFrame, name: str = "name", text: str = "text") -> DataFrame:
@@ -75,33 +117,18 @@ def preprocess(df: DataFrame, name: str = "name", text: str = "text") -> DataFra
     A dated line opens a numbered entry; undated text joins the entry before it; honors and text before any entry go
     to ``extra_text``.  ``inferred_end`` is the start of the next entry unless the line has its own end.
     """
-    b = _bio(df, name, text).withColumn(
-        "_k", F.transform("_lines", lambda x: F.struct(x.alias("t"), T.line_kind(x).alias("k"))))
-    b = b.withColumn("_starts", _index_of(F.transform("_k", lambda x: x["k"] == "career")))
-    n = F.size("_k") + 1
-
-    def entry(s: Column, i: Column) -> Column:
-        block = F.slice("_k", s, _next(F.col("_starts"), i, n) - s)
-        kept = F.filter(block, lambda x: x["k"] != "honor")
-        return F.struct((i + 1).cast("int").alias("line_num"),
-                        F.array_join(F.transform(kept, lambda x: x["t"]), K.IDEOGRAPHIC_SPACE).alias("raw_text"))
-
-    b = b.withColumn("_entries", F.transform("_starts", entry))
-    b = b.withColumn("_yms", F.transform("_entries", lambda e: T.start_ym(e["raw_text"])))
-    first = F.coalesce(F.try_element_at("_starts", F.lit(1)), n)
-    extra = F.filter(F.transform("_k", lambda x, i: F.when((x["k"] == "honor") | (i + 1 < first), x["t"])),
-                     lambda t: t.isNotNull())
-
-    def finish(e: Column, i: Column) -> Column:
-        later = F.filter(F.slice("_yms", i + 2, F.greatest(F.size("_yms") - i - 1, F.lit(0))), lambda y: y.isNotNull())
-        end = F.when(~T.has_end(e["raw_text"]), T.ym_text(F.try_element_at(later, F.lit(1))))
-        return F.struct(e["line_num"].alias("line_num"), e["raw_text"].alias("raw_text"),
-                        end.alias("inferred_end"), F.lit(False).alias("undated"))
-
-    return b.select(
-        name, "bio_summary", F.transform("_entries", finish).alias("career_lines"),
-        strip(F.array_join(extra, "\n")).alias("extra_text"), F.lit("").alias("corruption_text"),
-        F.size("_entries").alias("total_lines"))
+    def classified(body: Column) -> Column:
+        lines = F.filter(F.transform(F.split(body, "\n"), lambda x: strip(x)), lambda x: x != "")
+        return F.transform(lines, lambda x: F.struct(x.alias("t"), T.line_kind(x).alias("k")))
+
+    def person(sections: Column) -> Column:
+        return let(_number_lines(classified(_career_body(sections))), lambda r: F.struct(
+            _summary(sections).alias("bio_summary"), _with_ends(r["entries"]).alias("career_lines"), r["extra"].alias("extra_text")))
+
+    # the generator keeps later projections from repeating this work per use
+    x = df.select(name, F.inline(F.array(let(section_array(F.col(text)), person))))
+    return x.select(name, "bio_summary", "career_lines", "extra_text", F.lit("").alias("corruption_text"),
+                    F.size("career_lines").alias("total_lines"))
 
 
 def career_lines(pre: DataFrame, name: str = "name") -> DataFrame:

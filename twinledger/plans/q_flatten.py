@@ -44,7 +44,7 @@ WHERE NOT (flag = '学习进修' OR (flag = '学校' AND regexp_matches(position
 def p14(spark, sf):
     c = B.classes_a(spark, sf).join(
         B.episodes_a(spark, sf).select("name", "source_line", "k1", "k2", "position"),
-        ["name", "k1", "k2"]).filter("source_line = episode_idx")
+        ["name", "k1", "k2"]).filter("source_line = episode_idx").drop("source_line")
     pst = F.when(F.col("k2") % 3 == 0, "博士研究生").otherwise(F.col("position"))
     return c.select("name", "k1", "k2", "flag", pst.alias("position")).filter(~X.is_study_row(F.col("flag"), F.col("position")))
 
@@ -131,7 +131,7 @@ def _focal(target, year, prov):
     return f"(position <> '' AND {ctx} AND (({gov}) OR ({sec})) AND TRY_CAST(substring(start, 1, 4) AS INT) >= {year})"
 
 
-@query("w4_focal_year", B.CLASS_WITH + f""" SELECT name, CAST(coalesce(arg_min(CAST(substring(start, 1, 4) AS INT), o) FILTER ({_focal('浙江省', 1997, 'prov')}), 1997) AS INTEGER) AS year
+@query("w4_focal_year", B.CLASS_WITH + f""" SELECT name, CAST(coalesce(arg_min(TRY_CAST(substring(start, 1, 4) AS INT), o) FILTER ({_focal('浙江省', 1997, 'prov')}), 1997) AS INTEGER) AS year
 FROM (SELECT a.name, a.start, a.unit, a.position, c.prov, a.pos AS o FROM a JOIN class_all c ON c.name = a.name AND c.pos = a.pos) t GROUP BY name""")
 def w4(spark, sf):
     e = B.recipe(spark, sf, "SELECT a.*, c.prov, c.city FROM {a} a JOIN {c} c ON a.name = c.name AND a.pos = c.pos",
@@ -178,7 +178,7 @@ judge2 AS (SELECT name, episode_idx AS seq, string_agg({LABELLED}, ' | ' ORDER B
 judge3 AS (SELECT name, episode_idx AS seq, {TEXT} AS judge3 FROM rank_dec WHERE {TEXT} <> ''),
 judge4 AS (SELECT name, string_agg({LABELLED}, ' | ' ORDER BY pos, {LABELLED}) AS judge4 FROM label_dec d WHERE {TEXT} <> '' GROUP BY ALL),
 ln AS ({B.duck(B.LINES)}),
-focal AS (SELECT name, CAST(coalesce(arg_min(CAST(substring(start, 1, 4) AS INT), seq) FILTER ({_focal('浙江省', 1997, 'prov')}), 1997) AS INTEGER) AS year FROM ranked_eps GROUP BY name),
+focal AS (SELECT name, CAST(coalesce(arg_min(TRY_CAST(substring(start, 1, 4) AS INT), seq) FILTER ({_focal('浙江省', 1997, 'prov')}), 1997) AS INTEGER) AS year FROM ranked_eps GROUP BY name),
 final AS MATERIALIZED (SELECT f.year, '浙江省' AS province, e.name, coalesce(l.birth_year, '') AS birth_year, coalesce(l.origin, '') AS origin, coalesce(l.origin_city, '') AS origin_city,
   coalesce(l.minority, '') AS minority, coalesce(l.female, '') AS female, coalesce(l.bachelor, '') AS bachelor,
   {', '.join(f"coalesce(l.{x}, '') AS {x}" for x in K.LABEL_FIELDS)}, CASE WHEN e.seq = 1 THEN coalesce(j4.judge4, '') ELSE '' END AS judge4,

@@ -290,13 +290,13 @@ def p6(spark, sf):
 _ren = "concat(printf('L%02d', line_num), ': ', raw_text, CASE WHEN inferred_end IS NOT NULL AND NOT ended THEN concat('  [至', inferred_end, '止]') ELSE '' END)"
 
 
-@query("p7_render_lines", BIO + f"SELECT t.name, CAST(count(line_num) AS INTEGER) AS total_lines, coalesce(string_agg({_ren}, chr(10) ORDER BY line_num), '') AS career_text FROM t LEFT JOIN lines USING (name) GROUP BY t.name")
+@query("p7_render_lines", BIO + f"SELECT t.name, CAST(count(line_num) AS INTEGER) AS total_lines, coalesce(string_agg({_ren}, chr(10) ORDER BY line_num) FILTER (line_num IS NOT NULL), '') AS career_text FROM t LEFT JOIN lines USING (name) GROUP BY t.name")
 def p7(spark, sf):
     return Bio.render_lines(_pre(spark, sf))
 
 
 @query("p8_line_requests", BIO + f"SELECT t.name, CAST(count(line_num) AS INTEGER) AS total_lines, concat('官员：', t.name, '，浙江省省长', chr(10), chr(10), '=== 编号履历行（共', count(line_num), '行）===', chr(10), "
-       f"coalesce(string_agg({_ren}, chr(10) ORDER BY line_num), '')) AS request FROM t LEFT JOIN lines USING (name) GROUP BY t.name")
+       f"coalesce(string_agg({_ren}, chr(10) ORDER BY line_num) FILTER (line_num IS NOT NULL), '')) AS request FROM t LEFT JOIN lines USING (name) GROUP BY t.name")
 def p8a(spark, sf):
     return Q.line_requests(_pre(spark, sf), location="浙江省", role="省长")
 

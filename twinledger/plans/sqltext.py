@@ -99,8 +99,13 @@ def verdict(h: str, m: str) -> str:
 SHAPES = [(n, p.replace("(?!\\d{1,2}月)", "")) for n, p in K.LINE_SHAPES]
 
 
+def spaced(pattern: str) -> str:
+    """The pattern with white space that includes the ideographic space, inside and outside of character classes."""
+    return pattern.replace("[，,\\s]", "[，,\\s\\x{3000}]").replace("\\s*", WS + "*")
+
+
 def shape_hit(x: str, name: str, pattern: str) -> str:
-    hit = matches(x, pattern.replace("\\s", WS))
+    hit = matches(x, spaced(pattern))
     if name == "year_only":
         hit = f"({hit} AND NOT {matches(x, '^从?[0-9]{4}年[0-9]{1,2}月')})"
     return hit
@@ -115,7 +120,7 @@ def line_kind(x: str) -> str:
 def start_part(x: str, part: str) -> str:
     out = "CASE "
     for n, p in SHAPES:
-        p2 = p.replace("\\s", WS)
+        p2 = spaced(p)
         if part == "y":
             v = f"CAST(regexp_extract({x}, {q(p2)}, 1) AS INTEGER)"
         elif n in K.SHAPES_WITHOUT_MONTH:
