@@ -280,3 +280,8 @@ def apply_corrections(df: DataFrame, keys: list[str], clear_city: bool = False)
         F.struct(F.lit(f).alias("field"), F.col(f).alias("before"), e.alias("after")) for f, e in new.items()]),
         lambda r: r["before"] != r["after"])))
     return fixed, log
+
+
+def focus(df: DataFrame, lines: list[int], line: str = "source_line") -> DataFrame:
+    """Only the records of the given source lines."""
+    return df.filter(F.col(line).isin(lines))
