@@ -9,9 +9,14 @@ from twinledger import constants as K
 FULL_WIDTH = "０１２３４５６７８９"
 
 
+# every character Python and Java count as white space in a Unicode text
+WHITE_SPACE = "".join(map(chr, [*range(0x09, 0x0e), *range(0x1c, 0x21), 0x85, 0xa0, 0x1680, *range(0x2000, 0x200b), 0x2028,
+                                0x2029, 0x202f, 0x205f, 0x3000]))
+
+
 def strip(c: Column) -> Column:
-    """Trim Unicode white space, which plain ``trim`` keeps."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Trim Unicode white space, which plain ``trim`` keeps.  No regular expression: this runs on every value."""
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def to_int(c: Column) -> Column:
@@ -37,9 +42,9 @@ def norm_date(c: Column, open_words: list[str] = K.OPEN_WORDS_PROVINCE) -> Colum
 def frac_year(c: Column) -> Column:
     """Year as a fraction; null when absent, -1.0 when present but not a date (so also for an open end)."""
     s = strip(c)
-    parts = F.split(s, r"\.")
-    month_text = F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit(""))
-    year = to_int(F.element_at(parts, 1))
+    tail = F.substr(s, F.locate(".", s) + F.lit(1))
+    month_text = F.when(F.contains(s, F.lit(".")), F.substring_index(tail, ".", 1)).otherwise("")
+    year = to_int(F.substring_index(s, ".", 1))
     month = F.when(month_text.isin("00", ""), F.lit(0)).otherwise(to_int(month_text))
     return (
         F.when(c.isNull() | s.isin("", "None", "nan"), F.lit(None).cast("double"))

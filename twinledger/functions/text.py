@@ -27,12 +27,13 @@ def is_honor(line: Column) -> Column:
 
 
 def _dated(line: Column) -> Column:
-    return reduce(lambda a, b: a | b, [line.rlike(FLAGS + p) for _, p in K.LINE_SHAPES])
+    # all shapes begin with a year, one of them after 从: most undated lines stop at this first test
+    return line.rlike("^从?[0-9０-９]") & reduce(lambda a, b: a | b, [line.rlike(FLAGS + p) for _, p in K.LINE_SHAPES])
 
 
-def line_kind(line: Column) -> Column:
+def line_kind(line: Column, stripped: bool = False) -> Column:
     """career, honor, continuation or blank.  Honors win over dates."""
-    s = strip(line)
+    s = line if stripped else strip(line)
     return (
         F.when(s == "", "blank").when(is_honor(s), "honor").when(_dated(s), "career").otherwise("continuation")
     )
@@ -165,11 +166,13 @@ def role_match(position: Column, unit: Column, location: Column, target: Column,
 def eval_norm(c: Column) -> Column:
     """Canonical text for scoring: trimmed, closing brackets repaired, aliases applied."""
     s = strip(F.coalesce(c, F.lit("")))
-    for word in K.EVAL_BRACKETS:
-        s = F.replace(s, F.lit(f"（{word})"), F.lit(f"（{word}）"))
+    repaired = F.regexp_replace(s, "（(" + "|".join(K.EVAL_BRACKETS) + r")\)", "（$1）")
+    out = None
     for alias, name in K.EVAL_ALIASES.items():
-        s = F.when(s == alias, name).otherwise(s)
-    return s
+        hit = repaired == alias
+        out = F.when(hit, name) if out is None else out.when(hit, name)
+    # every repair and alias has a closing bracket: plain values take the short way
+    return F.when(~F.contains(s, F.lit(")")) & ~F.contains(s, F.lit("）")), s).otherwise(out.otherwise(repaired))
 
 
 def char_set(c: Column) -> Column:

@@ -119,7 +119,7 @@ def preprocess(df: DataFrame, name: str = "name", text: str = "text") -> DataFra
     """
     def classified(body: Column) -> Column:
         lines = F.filter(F.transform(F.split(body, "\n"), lambda x: strip(x)), lambda x: x != "")
-        return F.transform(lines, lambda x: F.struct(x.alias("t"), T.line_kind(x).alias("k")))
+        return F.transform(lines, lambda x: F.struct(x.alias("t"), T.line_kind(x, stripped=True).alias("k")))
 
     def person(sections: Column) -> Column:
         return let(_number_lines(classified(_career_body(sections))), lambda r: F.struct(

@@ -56,9 +56,10 @@ def pairs(u: DataFrame) -> DataFrame:
     return p.filter("a is not null and b is not null")
 
 
-def date_level(va: Column, vb: Column, open_end: str = "reference") -> Column:
-    """HIGH, MEDIUM or null for two different date texts."""
-    fa, fb = D.frac_year(va), D.frac_year(vb)
+def date_level(va: Column, vb: Column, open_end: str = "reference", fa: Column | None = None,
+               fb: Column | None = None) -> Column:
+    """HIGH, MEDIUM or null for two different date texts; ``fa`` and ``fb`` are their fractional years, if at hand."""
+    fa, fb = D.frac_year(va) if fa is None else fa, D.frac_year(vb) if fb is None else fb
     gap = F.abs(fa - fb)
     level = (
         F.when(fa.isNull() | fb.isNull(), MEDIUM).when(gap <= K.DATE_TOLERANCE, None)
@@ -72,7 +73,7 @@ def date_level(va: Column, vb: Column, open_end: str = "reference") -> Column:
 def episode_level(field: str, va: Column, vb: Column) -> Column:
     va, vb = F.coalesce(va, F.lit("")), F.coalesce(vb, F.lit(""))
     if field in ("start", "end"):
-        level = date_level(va, vb)
+        level = date_level(va, vb, fa=F.col(f"_{field}_a"), fb=F.col(f"_{field}_b"))
     elif field == "unit":
         level = F.when(T.norm_org(va) != T.norm_org(vb), MEDIUM)
     else:
@@ -82,6 +83,8 @@ def episode_level(field: str, va: Column, vb: Column) -> Column:
 
 def field_diffs(p: DataFrame) -> DataFrame:
     """One row per differing field of each pair."""
+    # fractional years as columns of their own, so that each is computed once per pair
+    p = p.withColumns({f"_{f}_{s}": D.frac_year(F.coalesce(F.col(f"{s}.{f}"), F.lit(""))) for f in ("start", "end") for s in "ab"})
     rows = F.array(*[
         F.struct(F.lit(i).alias("field_no"), F.lit(f).alias("field"), F.coalesce(F.col(f"a.{f}"), F.lit("")).alias("value_a"),
                  F.coalesce(F.col(f"b.{f}"), F.lit("")).alias("value_b"),
