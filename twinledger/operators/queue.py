@@ -19,8 +19,7 @@ def field_disputes(u: DataFrame) -> DataFrame:
 
     Wider than the differences: no tolerance, no normalising.
     """
-    equal = R.group_sizes(u).filter("n_a = n_b").select("name", "line_pos")
-    p = R.pairs(u).join(equal, ["name", "line_pos"])
+    p = R.pairs(u).filter("n_a = n_b")
     rows = F.array(*[
         F.struct(F.lit(f).alias("field"), F.coalesce(F.col(f"a.{f}"), F.lit("")).alias("value_a"),
                  F.coalesce(F.col(f"b.{f}"), F.lit("")).alias("value_b")) for f in K.EPISODE_FIELDS])

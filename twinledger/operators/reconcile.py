@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from twinledger import constants as K
 from twinledger.functions import dates as D, text as T
-from twinledger.functions.ordered import CHUNK_ROWS, PART_ROWS, joined_text, ordinal
+from twinledger.functions.ordered import CHUNK_ROWS, PART_ROWS, has_large_key, joined_text, ordinal
 
 HIGH, MEDIUM = "HIGH", "MEDIUM"
 
@@ -37,8 +37,26 @@ def sides(a: DataFrame, b: DataFrame, only_shared_people: bool = True) -> DataFr
 
 
 def both_sides(a: DataFrame, b: DataFrame, large: bool | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """``sides`` with ``rn``, the rank by (unit, pos) inside (name, line, side)."""
-    return ordinal(sides(a, b), ["name", "line_pos", "side"], ["unit", "pos"], "rn", chunk_rows, large)
+    """Rows of people on both sides with ``rn``, the rank by (unit, pos) inside (name, line, side), and the sizes
+    ``n_a`` and ``n_b`` of the line's two sides.
+
+    While people are small, one exchange by name and one sort serve the rank, the sizes, the check that the person is
+    on both sides, and the pairing that follows.
+    """
+    keys, line = ["name", "line_pos", "side"], ["name", "line_pos"]
+    u = sides(a, b, only_shared_people=False)
+    if large is None:
+        large = has_large_key(u.select("name"), ["name"], chunk_rows)
+    if large:
+        shared = u.join(people_in_both(a, b), "name", "left_semi")
+        ranked = ordinal(shared, keys, ["unit", "pos"], "rn", chunk_rows)
+        return ranked.join(group_sizes(shared), line)
+    ranked = ordinal(u.repartition("name"), keys, ["unit", "pos"], "rn", large=False)
+    is_a, is_b = F.col("side") == "a", F.col("side") == "b"
+    per_line, person = W.partitionBy(*line), W.partitionBy("name")
+    return ranked.withColumns({
+        "n_a": F.count_if(is_a).over(per_line), "n_b": F.count_if(is_b).over(per_line),
+        "_pa": F.max(is_a).over(person), "_pb": F.max(is_b).over(person)}).filter("_pa and _pb").drop("_pa", "_pb")
 
 
 def group_sizes(u: DataFrame) -> DataFrame:
@@ -52,7 +70,7 @@ def pairs(u: DataFrame) -> DataFrame:
     fields = F.struct("pos", *K.EPISODE_FIELDS)
     p = u.groupBy("name", "line_pos", "rn").agg(
         F.max(F.when(F.col("side") == "a", fields)).alias("a"),
-        F.max(F.when(F.col("side") == "b", fields)).alias("b"))
+        F.max(F.when(F.col("side") == "b", fields)).alias("b"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))
     return p.filter("a is not null and b is not null")
 
 
@@ -102,8 +120,7 @@ def group_diffs(u: DataFrame, large: bool | None = None, part_rows: int = PART_R
     Each side is written ``unit position; unit position; ...`` in arrival order; only rows of such lines are put in
     order.  A very large line is described in numbered parts.
     """
-    sizes = group_sizes(u).filter("n_a <> n_b")
-    rows = u.join(sizes, ["name", "line_pos"], "inner")
+    rows = u.filter("n_a <> n_b")
     text = F.concat(F.coalesce("unit", F.lit("")), F.lit(" "), F.coalesce("position", F.lit("")))
     texts = joined_text(rows, ["name", "line_pos", "side", "n_a", "n_b"], ["pos"], text, "; ", "desc", part_rows, large)
     j = texts.groupBy("name", "line_pos", "n_a", "n_b", "part").agg(

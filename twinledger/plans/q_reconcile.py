@@ -92,14 +92,19 @@ def f1(spark, sf):
     return R.field_diffs(R.pairs(_u(spark, sf))).select("name", "source_line", "rn", "unit", "field", "value_a", "value_b", "level")
 
 
+def _group_diffs(spark, sf):
+    large = B.large_names(spark, sf)
+    return R.group_diffs(_u(spark, sf, large), large)
+
+
 @query("f2_split_diff", PAIRED + "," + GROUP_DIFFS + " SELECT * FROM group_diffs WHERE scope = 'episode_split'")
 def f2(spark, sf):
-    return R.group_diffs(R.sides(*_ab(spark, sf)), B.large_names(spark, sf)).filter("scope = 'episode_split'")
+    return _group_diffs(spark, sf).filter("scope = 'episode_split'")
 
 
 @query("f3_missing_diff", PAIRED + "," + GROUP_DIFFS + " SELECT * FROM group_diffs WHERE scope = 'episode_missing'")
 def f3(spark, sf):
-    return R.group_diffs(R.sides(*_ab(spark, sf)), B.large_names(spark, sf)).filter("scope = 'episode_missing'")
+    return _group_diffs(spark, sf).filter("scope = 'episode_missing'")
 
 
 def step1_summary(spark, sf):

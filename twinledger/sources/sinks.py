@@ -10,7 +10,7 @@ from twinledger.operators import flatten as X
 def write_final(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
     """The 33 columns in order, partitioned by province; only provinces present in ``rows`` are rewritten."""
     out = X.final_columns(rows)
-    renamed = X.rename_out(out).withColumn("province", out["province"])
+    renamed = X.rename_out(out).withColumn("province", F.col("省份"))
     (renamed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True)
      .partitionBy("province").format(fmt).save(path))
 
