@@ -323,7 +323,20 @@ def p8c(spark, sf):
     return Q.episode_requests(_numbered(spark, sf), 3, max_episodes=2).drop("needs_university", "needs_enterprise")
 
 
-@query("p8_dispute_requests", None)
+def _dispute_sql() -> str:
+    from twinledger.plans import q_reconcile as QR
+
+    text = "concat('  ', field, ': LLM1=「', value_a, '」 LLM2=「', value_b, '」')"
+    cols = ", ".join(f"max({text}) FILTER (field = '{f}') AS f_{f}" for f in K.EPISODE_FIELDS)
+    names = ", ".join(f"f_{f}" for f in K.EPISODE_FIELDS)
+    count = " + ".join(f"CAST(f_{f} IS NOT NULL AS INT)" for f in K.EPISODE_FIELDS)
+    return QR.DISPUTES + f""", ln AS ({B.duck(B.LINES)}), g AS (SELECT name, source_line, unit, position, start, {cols} FROM disputes GROUP BY ALL)
+SELECT g.name, source_line, unit, position, start, CAST({count} AS INTEGER) AS n_fields, concat('官员：', g.name, chr(10), chr(10), 'LLM1来源行：', printf('L%02d', source_line),
+  CASE WHEN raw_text IS NOT NULL THEN concat(': ', raw_text) ELSE '' END, chr(10), 'LLM2来源行：（无）', chr(10), chr(10), '以下 ', {count}, ' 个字段存在争议：', chr(10), concat_ws(chr(10), {names})) AS request
+FROM g LEFT JOIN ln ON ln.name = g.name AND ln.line_num = source_line"""
+
+
+@query("p8_dispute_requests", _dispute_sql())
 def p8d(spark, sf):
     from twinledger.plans import q_reconcile as QR
 
