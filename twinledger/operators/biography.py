@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from twinledger import constants as K
 from twinledger.functions import text as T
 from twinledger.functions.dates import strip
+from twinledger.functions.text import let
 
 HEADER = r"^===\s*(.+?)\s*===$"
 
@@ -24,11 +25,6 @@ def _index_of(flags: Column) -> Column:
     return F.filter(F.transform(flags, lambda f, i: F.when(f, i + 1)), lambda p: p.isNotNull())
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once, also where ``body`` uses it inside other lambdas."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def section_array(text: Column) -> Column:
     """Array of struct(pos, section, body) in text order; sections without lines are left out."""
     lines = F.split(text, "\n")
@@ -101,8 +97,8 @@ def _with_ends(entries: Column) -> Column:
 
     def finish(all_: Column):
         def one(e: Column, i: Column) -> Column:
-            later = F.filter(F.slice(all_, i + 2, F.size(all_)), lambda y: y["ym"].isNotNull())
-            end = F.when(~e["ended"], T.ym_text(F.try_element_at(later, F.lit(1))["ym"]))
+            # every entry opens with a dated line, so the next entry always has a start
+            end = F.when(~e["ended"], T.ym_text(F.try_element_at(all_, i + 2)["ym"]))
             return F.struct(e["line_num"].alias("line_num"), e["raw_text"].alias("raw_text"), end.alias("inferred_end"),
                             F.lit(False).alias("undated"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from twinledger import constants as K
 from twinledger.functions import dates as D
 from twinledger.functions.dates import strip
+from twinledger.functions.text import let
 
 # every leaf is text: one number written as text would otherwise null the whole array
 EPISODE = "struct<source_line:string,start:string,end:string,unit:string,position:string>"
@@ -34,25 +35,35 @@ def parse_rosters(files: DataFrame, file: str = "file", text: str = "text", stri
     """
     heads = K.STRICT_ROSTER_HEADERS if strict else K.ROSTER_HEADERS
     lines = F.filter(F.transform(F.split(F.col(text), LINE_BREAKS), lambda x: strip(x)), lambda x: (x != "") & ~x.startswith("#"))
-    base = files.select(file, lines.alias("_l"))
+    is_head = lambda x: x.isin(list(heads))
+    bare = lambda h: F.regexp_replace(h, r"^\[|\]$", "")
 
-    def meta(name: str) -> Column:
-        row = F.try_element_at(F.filter("_l", lambda x: ~x.startswith("[") & (strip(F.substring_index(x, "：", 1)) == name)
+    def meta(l: Column, name: str) -> Column:
+        row = F.try_element_at(F.filter(l, lambda x: ~x.startswith("[") & (strip(F.substring_index(x, "：", 1)) == name)
                                         & F.contains(x, F.lit("："))), F.lit(-1))
         return strip(F.substr(row, F.locate("：", row) + F.lit(1)))
 
-    is_head = lambda x: x.isin(list(heads))
-    head_pos = F.filter(F.transform("_l", lambda x, i: F.when(is_head(x), i)), lambda p: p.isNotNull())
-    title = lambda role: F.try_element_at(F.filter("_l", lambda x: x.isin([h for h, r in heads.items() if r == role])), F.lit(-1))
-    bare = lambda h: F.regexp_replace(h, r"^\[|\]$", "")
-    m = base.withColumns({
-        "province": meta("省份"), "start_year": meta("起始年份").try_cast("int"), "_h": head_pos,
-        "gov_title": F.coalesce(bare(title("governor")), F.lit("省长")),
-        "sec_title": F.coalesce(bare(title("secretary")), F.lit("省委书记"))})
-    e = m.select(file, "province", "start_year", "gov_title", "sec_title", "_h", "_l", F.posexplode("_l").alias("_i", "_x"))
-    last_head = F.try_element_at(F.filter("_h", lambda p: p < F.col("_i")), F.lit(-1))
-    e = e.withColumn("_hp", last_head).filter(F.col("_hp").isNotNull() & ~is_head(F.col("_x")))
-    section = F.element_at("_l", F.col("_hp") + 1)
+    def title(l: Column, role: str) -> Column:
+        return bare(F.try_element_at(F.filter(l, lambda x: x.isin([h for h, r in heads.items() if r == role])), F.lit(-1)))
+
+    def walked(l: Column, at: Column) -> Column:
+        """The lines that stand below a header, each with its position and that header."""
+        def one(x: Column, i: Column) -> Column:
+            head = F.try_element_at(F.filter(at, lambda p: p < i), F.lit(-1))
+            return F.struct(i.alias("_i"), x.alias("_x"), F.try_element_at(l, head + 1).alias("_section"))
+
+        return F.filter(F.transform(l, one), lambda e: e["_section"].isNotNull() & ~is_head(e["_x"]))
+
+    def roster(l: Column) -> Column:
+        at = F.filter(F.transform(l, lambda x, i: F.when(is_head(x), i)), lambda p: p.isNotNull())
+        return F.struct(
+            meta(l, "省份").alias("province"), meta(l, "起始年份").try_cast("int").alias("start_year"),
+            F.coalesce(title(l, "governor"), F.lit("省长")).alias("gov_title"),
+            F.coalesce(title(l, "secretary"), F.lit("省委书记")).alias("sec_title"), let(at, lambda h: walked(l, h)).alias("_e"))
+
+    m = files.select(file, F.inline(F.array(let(lines, roster))))
+    e = m.select(file, "province", "start_year", "gov_title", "sec_title", F.inline("_e"))
+    section = F.col("_section")
     role = F.create_map(*[x for h, r in heads.items() for x in (F.lit(h), F.lit(r))])
     x = F.col("_x")
     comma = F.locate(",", x)
