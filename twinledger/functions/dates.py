@@ -20,8 +20,8 @@ def strip(c: Column) -> Column:
 
 
 def to_int(c: Column) -> Column:
-    """Integer or null; accepts full-width digits."""
-    return F.translate(strip(c), FULL_WIDTH, "0123456789").try_cast("int")
+    """Integer or null; accepts full-width digits and blanks around the number."""
+    return F.translate(c, FULL_WIDTH + "　", "0123456789 ").try_cast("int")
 
 
 def two_digits(c: Column) -> Column:

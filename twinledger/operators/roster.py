@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from twinledger import constants as K
 from twinledger.functions import dates as D
-from twinledger.functions.dates import strip
 from twinledger.functions.ordered import PART_ROWS, joined_text
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from twinledger import constants as K
-from twinledger.functions import dates as D
 from twinledger.operators import panel as P, roster as L
 from twinledger.plans import bindings as B, sqltext as S
 from twinledger.plans.registry import query
