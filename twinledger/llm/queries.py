@@ -8,9 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinledger.llm import (exact_dedup, jaccard_join, language_id, license_scan, nn_descent, packing, quality_bayes, source_mix, substring_dedup,
-                            token_counts)
-from twinledger.llm import oracles
+from twinledger.llm import (exact_dedup, jaccard_join, language_id, license_scan, nn_descent, oracles, packing, quality_bayes, source_mix,
+                            substring_dedup, token_counts)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -112,4 +111,5 @@ def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
 
-ORACLES = oracles.ORACLES
+#: Token counts and packing rest on a tokenizer's vocabulary, so op1, op5 and the pipeline have none.
+ORACLES = oracles.build(MIX_DOMAINS, MIX_WEIGHTS, MIX_PERCENT)
