@@ -18,9 +18,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinledger.llm.common import Memo, cut, join_heavy, partitions, slices
+from twinledger.llm.common import cut, join_heavy, partitions, slices
 from twinledger.llm.graphs import components
-from twinledger.llm.substring_dedup import _planes, _whole, rolling
+from twinledger.llm.substring_dedup import _planes, _whole, rolling, words_hashed
 
 SLICE = 300_000
 CELLS = 1 << 22
@@ -59,7 +59,7 @@ def read_sets(docs: DataFrame, n: int) -> DataFrame:
     """For each document: doc_id, point, size; and counts of shingles by hash cell, in rows of CHUNK cells."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word_hash = Memo(xxhash.xxh3_64_intdigest).__getitem__
+        word_hash = words_hashed.__getitem__
         cells = np.zeros(CELLS, np.uint32)
         names = ["doc_id", "point", "size", "chunk", "counts"]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
@@ -115,7 +115,7 @@ def first_regions(docs: DataFrame, counts: np.ndarray, n: int, percent: int) ->
     buckets = 8 * partitions(spark)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word_hash = Memo(xxhash.xxh3_64_intdigest).__getitem__
+        word_hash = words_hashed.__getitem__
         for held in slices(batches, "id", "text", SLICE, bytes.lower):
             points, lists = [], []
             seen: set[int] = set()
@@ -204,7 +204,7 @@ def overlaps(pairs: DataFrame, texts: DataFrame, n: int, percent: int, rows: int
     held = texts.join(needs, "point").select("at", "point", "text")
 
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        word_hash = Memo(xxhash.xxh3_64_intdigest).__getitem__
+        word_hash = words_hashed.__getitem__
         sets = {p: shingles(t.lower().split(), word_hash, n) for p, t in zip(left["point"].to_pylist(), left["text"].cast(pa.large_binary()).to_pylist())}
         root: dict[int, int] = {}
 

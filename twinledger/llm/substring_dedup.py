@@ -3,7 +3,8 @@
 A task hashes the windows of a few hundred thousand words at a time by a rolling polynomial, settles repeats among
 them on the spot, and sends the rest packed into buckets of the hash.  A bucket finds which windows occur earlier
 elsewhere and answers with their starts; starts merge into maximal spans of words, which are cut from the text.
-A window that is repeated everywhere thus sends one entry a slice, not one an occurrence.
+A window that is repeated everywhere thus sends one entry a slice, not one an occurrence.  Entries and answers travel as
+packed columns, a few rows for each bucket or part, so their number follows the windows and not buckets times documents.
 """
 
 from __future__ import annotations
@@ -52,27 +53,39 @@ def windows(held: list[tuple], word_hash, width: int) -> tuple[np.ndarray, np.nd
     return hashes[whole], doc[whole], start[whole]
 
 
-def _grouped(ids: np.ndarray, starts: np.ndarray) -> tuple[pa.Array, pa.Array]:
-    """A row for each id with the list of its starts."""
-    order = np.argsort(ids, kind="stable")
-    ids, starts = ids[order], starts[order].astype(np.int32)
-    at = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else np.empty(0, int)
-    return pa.array(ids[at]), pa.ListArray.from_arrays(pa.array(np.append(at, len(ids)), pa.int32()), pa.array(starts))
+def _blocks(key: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, list[list[bytes]]]:
+    """(keys, for each column its packed values) with a row for each key; key and then columns are in order."""
+    import zstandard
 
+    pack = zstandard.ZstdCompressor(level=1).compress
+    cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])) if len(key) else np.zeros(1, int)
+    return key[cuts[:-1]], [[pack(_planes(c[a:b])) for a, b in zip(cuts, cuts[1:])] for c in columns]
 
-SENT = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("starts", pa.list_(pa.int32())), ("hashes", pa.binary()), ("ids", pa.binary()), ("places", pa.binary())])
-ANSWER = pa.schema([("doc_id", pa.int64()), ("starts", pa.list_(pa.int32()))])
 
+def _answers(ids: np.ndarray, starts: np.ndarray, parts: int) -> list[pa.Array]:
+    """part, ids, places: packed for each part of the documents."""
+    part = np.mod(ids, parts)
+    order = np.lexsort((starts, ids, part))
+    key, (i, s) = _blocks(part[order], ids[order], starts[order].astype(np.int32))
+    return [pa.array(key.astype(np.int32)), pa.array(i, pa.binary()), pa.array(s, pa.binary())]
 
-def repeated_starts(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, starts: the windows whose words also start earlier, in one or more rows a document."""
+
+def prime_from(n: int) -> int:
+    while any(n % k == 0 for k in range(2, int(n ** 0.5) + 1)):
+        n += 1
+    return n
+
+
+SENT = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("hashes", pa.binary()), ("ids", pa.binary()), ("places", pa.binary())])
+ANSWER = pa.schema([("part", pa.int32()), ("ids", pa.binary()), ("places", pa.binary())])
+
+
+def repeated_starts(docs: DataFrame, width: int, parts: int) -> DataFrame:
+    """part, ids, places: the windows whose words also start earlier; part is the document's id modulo `parts`."""
     buckets = 8 * partitions(docs.sparkSession)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        pack = zstandard.ZstdCompressor(level=1).compress
-        word_hash = Memo(xxhash.xxh3_64_intdigest).__getitem__
+        word_hash = words_hashed.__getitem__
         for held in slices(batches, "id", "text", SLICE):
             held = sorted(((FIRST_ID if k is None else k, w) for k, w in held), key=lambda x: x[0])
             hashes, doc, start = windows(held, word_hash, width)
@@ -83,49 +96,39 @@ def repeated_starts(docs: DataFrame, width: int) -> DataFrame:
             h, i, s = hashes[order], ids[order], start[order]
             first = np.concatenate([[True], h[1:] != h[:-1]])
             lead = np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))
-            same_place = (i == i[lead]) & (s == s[lead])  # of a repeated row: as early as the first
-            again, rest = ~same_place, same_place
-            settled = _grouped(i[again], s[again])
-            n = len(settled[0])
-            if n:
-                none = pa.nulls(n, pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array((settled[0].to_numpy() % buckets).astype(np.int32)), *settled, none, none, none], schema=SENT)
+            rest = (i == i[lead]) & (s == s[lead])  # the first, and those of repeated rows, which are as early
+            part, *settled = _answers(i[~rest], s[~rest], parts)
+            if len(part):
+                yield pa.RecordBatch.from_arrays([pa.array((part.to_numpy() % buckets).astype(np.int32)), part, pa.nulls(len(part), pa.binary()), *settled], schema=SENT)
             h, i, s = h[rest], i[rest], s[rest]
             bucket = (h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
             order = np.lexsort((s, i, bucket))
-            h, i, s, bucket = h[order], i[order], s[order].astype(np.int32), bucket[order]
-            cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-            rows = [(int(bucket[a]), h[a:b].tobytes(), pack(_planes(np.diff(i[a:b], prepend=0))), pack(_planes(s[a:b]))) for a, b in zip(cuts, cuts[1:])]
-            cols = list(zip(*rows))
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.list_(pa.int32())),
-                                              *(pa.array(c, pa.binary()) for c in cols[1:])], schema=SENT)
+            key, (hs, packed_ids, places) = _blocks(bucket[order], h[order], i[order], s[order].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int32)), pa.nulls(len(key), pa.int32()), *(pa.array(c, pa.binary()) for c in (hs, packed_ids, places))], schema=SENT)
 
     def answer(table: pa.Table) -> pa.Table:
-        import zstandard
-
-        unpack = zstandard.ZstdDecompressor().decompress
-        settled = table.filter(table["hashes"].is_null()).select(["doc_id", "starts"])
+        settled = table.filter(table["hashes"].is_null()).select(ANSWER.names)
         rest = table.filter(table["hashes"].is_valid())
-        if not len(rest):
-            return settled.cast(ANSWER)
-        h = np.concatenate([np.frombuffer(x, np.uint64) for x in rest["hashes"].to_pylist()])
+        h = _joined(rest["hashes"], np.uint64)
         order = np.argsort(h)
         same = h[order][1:] == h[order][:-1]
-        pick = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
+        pick = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])] if len(h) else order
         if not len(pick):
             return settled.cast(ANSWER)
-        i = np.concatenate([np.cumsum(_whole(unpack(x), np.int64)) for x in rest["ids"].to_pylist()])[pick]
-        s = np.concatenate([_whole(unpack(x), np.int32) for x in rest["places"].to_pylist()])[pick]
-        h = h[pick]
+        h, i, s = h[pick], _joined(rest["ids"], np.int64)[pick], _joined(rest["places"], np.int32)[pick]
         order = np.lexsort((s, i, h))
         h, i, s = h[order], i[order], s[order]
         first = np.concatenate([[True], h[1:] != h[:-1]])
         lead = np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))
         later = (i != i[lead]) | (s != s[lead])
-        return pa.concat_tables([settled.cast(ANSWER), pa.Table.from_arrays(_grouped(i[later], s[later]), schema=ANSWER)])
+        return pa.concat_tables([settled.cast(ANSWER), pa.Table.from_arrays(_answers(i[later], s[later], parts), schema=ANSWER)])
+
+    sent = docs.mapInArrow(send, "bucket int, part int, hashes binary, ids binary, places binary")
+    return sent.groupBy("bucket").applyInArrow(answer, "part int, ids binary, places binary")
+
 
-    sent = docs.mapInArrow(send, "bucket int, doc_id long, starts array<int>, hashes binary, ids binary, places binary")
-    return sent.groupBy("bucket").applyInArrow(answer, "doc_id long, starts array<int>")
+#: Shared by all tasks of a Python worker.
+words_hashed = Memo(xxhash.xxh3_64_intdigest)
 
 
 def _planes(a: np.ndarray) -> bytes:
@@ -133,6 +136,13 @@ def _planes(a: np.ndarray) -> bytes:
     return np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes()
 
 
+def _joined(column: pa.ChunkedArray, kind) -> np.ndarray:
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
+    return np.concatenate([np.empty(0, kind), *(_whole(unpack(x), kind) for x in column.to_pylist())])
+
+
 def _whole(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
@@ -146,34 +156,39 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     removals.  Equal windows are told by 64-bit hashes of 64-bit word hashes.
     """
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    found = repeated_starts(slim, width).groupBy("doc_id").agg(F.flatten(F.collect_list("starts")).alias("starts"))
-    both = slim.join(found, F.coalesce(slim.id, F.lit(int(FIRST_ID))) == found.doc_id, "left").select("id", "text", "starts")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n_words, n_removed, spans, kept = [], [], [], []
-            for text, starts in zip(utf8(batch.column(1)), batch.column(2)):
-                words = text.split() if text else []
-                n_words.append(len(words))
-                if starts.is_valid:
-                    at = starts.values.to_numpy()
-                    at = at[at + width <= len(words)]
-                    depth = np.zeros(len(words) + 1, np.int32)
-                    np.add.at(depth, at, 1)
-                    np.add.at(depth, at + width, -1)
-                    gone = np.cumsum(depth) > 0
-                    edge = np.flatnonzero(np.diff(np.concatenate([[False], gone]).astype(np.int8)))
-                    spans.append([{"start": int(a), "end": int(b)} for a, b in zip(edge[::2], edge[1::2])])
-                    left = list(compress(words, ~gone[:-1]))
-                else:
-                    spans.append([])
-                    left = words
-                n_removed.append(len(words) - len(left))
-                kept.append(b" ".join(left).decode())
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
-                pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(kept, pa.string())],
-                names=["id", "n_words", "n_removed", "spans", "kept_text"])
-
-    out = both.mapInArrow(run, "id long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept_text string")
+    # ids often come in steps, which a prime number of parts deals out evenly
+    parts = prime_from(8 * partitions(docs.sparkSession))
+    found = repeated_starts(slim, width, parts)
+    dealt = slim.withColumn("part", F.pmod(F.coalesce("id", F.lit(int(FIRST_ID))), F.lit(parts)).cast("int"))
+
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        ids, places = _joined(answers["ids"], np.int64), _joined(answers["places"], np.int32)
+        order = np.argsort(ids, kind="stable")
+        ids, places = ids[order], places[order]
+        n_words, n_removed, spans, kept = [], [], [], []
+        for key, text in zip(docs["id"].to_pylist(), utf8(docs["text"])):
+            words = text.split() if text else []
+            key = FIRST_ID if key is None else key
+            a, b = np.searchsorted(ids, key), np.searchsorted(ids, key, "right")
+            left, own = words, []
+            if b > a:
+                at = places[a:b]
+                at = at[at + width <= len(words)]
+                depth = np.zeros(len(words) + 1, np.int32)
+                np.add.at(depth, at, 1)
+                np.add.at(depth, at + width, -1)
+                gone = np.cumsum(depth) > 0
+                edge = np.flatnonzero(np.diff(np.concatenate([[False], gone]).astype(np.int8)))
+                own = [{"start": int(x), "end": int(y)} for x, y in zip(edge[::2], edge[1::2])]
+                left = list(compress(words, ~gone[:-1]))
+            n_words.append(len(words))
+            spans.append(own)
+            n_removed.append(len(words) - len(left))
+            kept.append(b" ".join(left).decode())
+        return pa.Table.from_arrays([
+            docs["id"], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
+            pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(kept, pa.string())],
+            names=["id", "n_words", "n_removed", "spans", "kept_text"])
+
+    out = dealt.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(run, "id long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept_text string")
     return out.withColumnRenamed("id", id_col)
