@@ -8,50 +8,76 @@ weighted dot product of need and residual, or the smallest weighted norm of what
 from __future__ import annotations
 
 import functools
+import json
 import math
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinledger.llm.common import Memo, cut
+from twinledger.llm.token_counts import byte_of_char
 
 PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary())])
 DDL = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
-@functools.lru_cache(2)
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
+#: Fixed value: how byte-level vocabularies of this kind split a text.
+SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: White space next to a blank or at an end, or the mark that chunks are cut by.
+NOT_SINGLE = re.compile(r" \s|\s |\A\s|\s\Z|\0")
 
 
 class Encoder:
     """Ids of whole texts as little-endian 32-bit bytes.
 
-    Byte-level splitting always cuts before a single space between two other characters, so a text is encoded chunk by
-    chunk there and chunks are remembered; a text with other white space next to a blank is encoded whole.
+    Byte-level splitting always cuts before a single space between two other characters, so a text is taken apart there
+    and the ids of chunks, and of the pieces that new chunks split into, are remembered.  A text with other white space
+    next to a blank, or with one of the tokenizer's added tokens in it, is encoded whole; so is every text if the
+    tokenizer does more than byte-level splitting.
     """
 
     def __init__(self, path: str):
-        self.tokenizer = _tokenizer(path)
-        self.chunks = Memo(self.whole, 400_000)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model = self.tokenizer.model
+        self.pieces, self.chunks = Memo(self._piece, 600_000), Memo(self._chunk, 600_000)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        split = spec.get("pre_tokenizer") or {}
+        self.plain = (spec.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex", True)
+                      and not split.get("add_prefix_space"))
+        self.byte_chars = {b: c for c, b in byte_of_char().items()}
+
+    def _piece(self, piece: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.byte_chars))]).tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, SPLIT.findall(chunk)))
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, text: str) -> bytes:
-        chunks = text.split(" ")
-        if any(not c or c[0].isspace() or c[-1].isspace() for c in chunks):
+        if not self.plain or NOT_SINGLE.search(text) or any(t in text for t in self.added):
             return self.whole(text)
-        rest = [" " + c for c in chunks[1:]]
-        return self.chunks[chunks[0]] + b"".join(map(self.chunks.__getitem__, rest))
+        return b"".join(map(self.chunks.__getitem__, text.replace(" ", "\0 ").split("\0")))
+
+
+@functools.lru_cache(2)
+def encoder(path: str) -> Encoder:
+    """One for all tasks of a Python worker, so that what it remembers serves the next task too."""
+    return Encoder(path)
 
 
 def pieces_of(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
@@ -62,7 +88,7 @@ def pieces_of(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: st
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = Encoder(path), np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(path), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):

@@ -79,7 +79,7 @@ class Automaton:
         return n
 
 
-def _byte_of_char() -> dict[str, int]:
+def byte_of_char() -> dict[str, int]:
     """Byte-level vocabularies write printable bytes as themselves and the others from U+0100 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     other = [b for b in range(256) if b not in set(plain)]
@@ -91,7 +91,7 @@ def vocabulary(path: str) -> tuple[list[bytes], list[bytes], bytes]:
     word; any other file has a piece a line, and ## marks those that continue a word."""
     if path.endswith(".json"):
         with open(path, encoding="utf-8") as f:
-            byte = _byte_of_char()
+            byte = byte_of_char()
             pieces = [bytes(byte[c] for c in p) for p in json.load(f)["model"]["vocab"] if all(c in byte for c in p)]
         pieces = [p for p in pieces if len(p[1:].split()) <= 1 and not p[1:].strip() != p[1:]]
         return [p for p in pieces if p[:1] == b" "], [p for p in pieces if p[:1].strip()], b" "
@@ -101,8 +101,9 @@ def vocabulary(path: str) -> tuple[list[bytes], list[bytes], bytes]:
 
 
 @functools.lru_cache(2)
-def _automaton(path: str) -> Automaton:
-    return Automaton(*vocabulary(path))
+def counter(path: str) -> Memo:
+    """One for all tasks of a Python worker."""
+    return Memo(Automaton(*vocabulary(path)).count)
 
 
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", unknown_tokens: int = 1) -> DataFrame:
@@ -114,7 +115,7 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     fields = docs.select(F.col(id_col).alias("id")).schema["id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = Memo(_automaton(path).count).__getitem__
+        count = counter(path).__getitem__
         for batch in batches:
             words, tokens, unknown = [], [], []
             for text in utf8(batch.column("text")):
