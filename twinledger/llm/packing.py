@@ -51,7 +51,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
-        self.pieces, self.chunks = Memo(self._piece, 600_000), Memo(self._chunk, 600_000)
+        self.pieces, self.chunks = Memo(self._piece, 1_000_000), Memo(self._chunk, 1_000_000)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         split = spec.get("pre_tokenizer") or {}
@@ -112,8 +112,12 @@ def best_fit(lengths: np.ndarray, capacity: int, most_docs: int, most_cost: int,
     w = np.asarray(weights, float)
     left = np.empty((len(lengths), 3))
     sequence, offset = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
-    opened, live = 0, np.empty(0, np.int64)
-    for k in np.argsort(-lengths, kind="stable"):
+    order = np.argsort(-lengths, kind="stable")
+    # pieces that fill a sequence leave no choice
+    opened = int(np.count_nonzero(lengths == capacity))
+    sequence[order[:opened]], offset[order[:opened]] = np.arange(opened), 0
+    live = np.empty(0, np.int64)
+    for k in order[opened:]:
         need = np.array([lengths[k], 1, lengths[k] ** 2], float)
         rest = left[live] - need
         fits = (rest >= 0).all(axis=1)
