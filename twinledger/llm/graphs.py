@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinledger.llm.common import cut, join_heavy
+from twinledger.llm.common import cut
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -18,12 +18,12 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
-        large = join_heavy(both, least, ["a"], "n", 2 * links.count()).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = cut(large.where("a <> b").distinct())
-        down = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
-        small = join_heavy(large, down, ["a"], "n", large.count()).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        links = cut(small.unionByName(down.select("a", F.col("m").alias("b"))).distinct())
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        down = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(down, "a").select("a", "b", "m")
+        small = small.select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
+        links = cut(small.where("a <> b").distinct())
         state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break

@@ -25,7 +25,8 @@ from twinledger.llm.substring_dedup import _planes, _whole, rolling, words_hashe
 SLICE = 300_000
 CELLS = 1 << 22
 CHUNK = 1 << 12
-SMALL = 48
+SMALL = 48  # points of a region of rare shingles that are compared one by one
+WHOLE = 256  # points of a ring
 
 
 def shingles(words: list[bytes], word_hash, n: int) -> np.ndarray:
@@ -109,7 +110,7 @@ PAIR_DDL = "a long, b long, shared long, least long, region long"
 
 def first_regions(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFrame:
     """Pairs to look at (a < b, region null), with how many rare shingles they share in small regions and how many they
-    have to share; and the members a of large regions with their pivots b (region not null)."""
+    have to share; and the members a of large regions, of size `least` (region not null)."""
     spark = docs.sparkSession
     order = spark.sparkContext.broadcast(counts)
     buckets = 8 * partitions(spark)
@@ -173,11 +174,8 @@ def first_regions(docs: DataFrame, counts: np.ndarray, n: int, percent: int) ->
         out = [pa.Table.from_arrays([pa.array(a[start]), pa.array(b[start]), pa.array(shared, pa.int64()), pa.array(least[start]), pa.nulls(len(start), pa.int64())], schema=PAIR)]
         big = np.flatnonzero(~small)
         if len(big):
-            # the member that comes first by hash is the pivot, often the same in the many regions of one group
-            lowest = np.minimum.reduceat(p, cuts[:-1])
-            pivot = np.repeat(lowest, width)[big]
             none = pa.nulls(len(big), pa.int64())
-            out.append(pa.Table.from_arrays([pa.array(p[big]), pa.array(pivot), none, pa.array(size[big]), pa.array(h[at[big]].astype(np.int64))], schema=PAIR))
+            out.append(pa.Table.from_arrays([pa.array(p[big]), none, none, pa.array(size[big]), pa.array(h[at[big]].astype(np.int64))], schema=PAIR))
         return pa.concat_tables(out)
 
     sent = docs.mapInArrow(send, "bucket int, h binary, p binary, size binary")
@@ -235,7 +233,7 @@ def linked(percent: int):
     return F.col("inter") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("inter"))
 
 
-def links(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", rounds: int = 8) -> tuple[DataFrame, DataFrame]:
+def links(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", rounds: int = 4) -> tuple[DataFrame, DataFrame]:
     """(points, edges).  points: doc_id, point, size for each row; edges: a, b between points, enough to connect all
     points that links connect."""
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -245,7 +243,7 @@ def links(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id"
     met = cut(first_regions(slim, counts, n, percent))
 
     near = met.where("region is null").groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.first("least").alias("least")).where("shared >= least").select("a", "b", F.lit(False).alias("must"))
-    members = met.where("region is not null").select("region", F.col("a").alias("p"), F.col("b").alias("pivot"), F.col("least").alias("size"))
+    members = with_pivots(met.where("region is not null").select("region", F.col("a").alias("p"), F.col("least").alias("size")))
     pivots = members.where("p <> pivot").select(F.least("p", "pivot").alias("a"), F.greatest("p", "pivot").alias("b"), F.lit(True).alias("must"))
     pairs = cut(near.unionByName(pivots).groupBy("a", "b").agg(F.max("must").alias("must")))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("point")).unionByName(members.select(F.col("p").alias("point"))).distinct()
@@ -255,19 +253,28 @@ def links(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id"
 
     known = cut(overlaps(pairs, texts, n, percent))
     edges = cut(known.where(linked(percent)).select("a", "b"))
-    regions = cut(members)
+    regions = members
     while rounds and not regions.isEmpty():
         rounds -= 1
         regions = cut(rings(regions, known, edges, percent))
-        pairs = cut(region_pairs(regions, percent, everything=rounds == 0))
+        pairs = cut(region_pairs(regions, percent, everything=rounds == 0).join(known, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
             break
-        known = cut(overlaps(pairs, texts, n, percent))
-        edges = cut(edges.unionByName(known.where(linked(percent)).select("a", "b")))
+        new = cut(overlaps(pairs, texts, n, percent))
+        edges = cut(edges.unionByName(new.where(linked(percent)).select("a", "b")))
+        known = cut(known.unionByName(new))
         regions = regions.where("large")
     return points, edges
 
 
+def with_pivots(members: DataFrame) -> DataFrame:
+    """Members with the pivot of their region: the member that lies in most regions, the centre of a group of copies."""
+    known = cut(members)
+    often = known.groupBy("p").agg(F.count("*").alias("often"))
+    pivots = known.join(often, "p").groupBy("region").agg(F.max_by("p", F.struct("often", "p")).alias("pivot"), F.count("*").alias("n"))
+    return cut(join_heavy(known, pivots, ["region"], "n", known.count()).drop("n"))
+
+
 def rings(regions: DataFrame, known: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
     """The parts of regions that still hold points of more than one component: region, p, size, label, pivot, large.
 
@@ -281,9 +288,11 @@ def rings(regions: DataFrame, known: DataFrame, edges: DataFrame, percent: int)
     ring = F.floor(F.col("d") / (1.0 - percent / 100.0 + 1e-9))
     at = at.withColumn("ring", F.explode(F.array(ring, ring + 1))).select(F.xxhash64("region", "ring", "pivot").alias("region"), "p", "size")
     at = cut(at.join(labels, at.p == labels.node, "left").select("region", "p", "size", F.coalesce("label", "p").alias("label")))
-    # which member is the pivot changes from round to round with the region's name
-    found = at.groupBy("region").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by("p", F.xxhash64("region", "p")).alias("pivot")).where("lo <> hi")
-    return join_heavy(at, found.select("region", "n", "pivot"), ["region"], "n", at.count()).withColumn("large", F.col("n") > SMALL)
+    # a point that was a pivot comes last, so a ring gets another one each round
+    used = regions.select(F.col("pivot").alias("p")).distinct().withColumn("used", F.lit(1))
+    often = at.groupBy("p").agg(F.count("*").alias("often")).join(used, "p", "left").select("p", F.struct(F.col("used").isNull().alias("fresh"), "often", "p").alias("often"))
+    found = at.join(often, "p").groupBy("region").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.max_by("p", "often").alias("pivot")).where("lo <> hi")
+    return join_heavy(at, found.select("region", "n", "pivot"), ["region"], "n", at.count()).withColumn("large", F.col("n") > WHOLE)
 
 
 def region_pairs(regions: DataFrame, percent: int, everything: bool) -> DataFrame:
