@@ -23,7 +23,7 @@ from twinledger.llm.graphs import components
 from twinledger.llm.substring_dedup import _planes, _whole, rolling, words_hashed
 
 SLICE = 300_000
-CELLS = 1 << 22
+CELLS = 1 << 20
 CHUNK = 1 << 12
 SMALL = 48  # points of a region of rare shingles that are compared one by one
 WHOLE = 256  # points of a ring
@@ -192,9 +192,9 @@ def overlaps(pairs: DataFrame, texts: DataFrame, n: int, percent: int, rows: int
     ends = pairs.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(pairs.select(F.col("b").alias("x"), F.col("a").alias("y")))
     hub = cut(ends.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("hub")))
     led = pairs.join(hub.select(F.col("x").alias("a"), F.col("hub").alias("ha")), "a").join(hub.select(F.col("x").alias("b"), F.col("hub").alias("hb")), "b")
-    led = cut(led.select("a", "b", "must", F.least("ha", "hb").alias("hub")))
+    led = led.select("a", "b", "must", F.least("ha", "hb").alias("hub"))
     many = led.groupBy("hub").agg(F.count("*").alias("n"))
-    led = cut(join_heavy(led, many, ["hub"], "n", led.count()).select(
+    led = cut(led.join(many, "hub").select(
         "a", "b", "must", F.xxhash64("hub", F.when(F.col("n") > rows, F.pmod(F.xxhash64(F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a"))), F.ceil(F.col("n") / rows))).otherwise(0)).alias("part")))
     parts = max(1, led.count() // rows)
     led = led.withColumn("part", F.pmod("part", F.lit(parts)))
@@ -271,8 +271,8 @@ def with_pivots(members: DataFrame) -> DataFrame:
     """Members with the pivot of their region: the member that lies in most regions, the centre of a group of copies."""
     known = cut(members)
     often = known.groupBy("p").agg(F.count("*").alias("often"))
-    pivots = known.join(often, "p").groupBy("region").agg(F.max_by("p", F.struct("often", "p")).alias("pivot"), F.count("*").alias("n"))
-    return cut(join_heavy(known, pivots, ["region"], "n", known.count()).drop("n"))
+    pivots = known.join(often, "p").groupBy("region").agg(F.max_by("p", F.struct("often", "p")).alias("pivot"))
+    return cut(known.join(pivots, "region"))
 
 
 def rings(regions: DataFrame, known: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
@@ -287,12 +287,12 @@ def rings(regions: DataFrame, known: DataFrame, edges: DataFrame, percent: int)
     # a little wider than the threshold, for rounding
     ring = F.floor(F.col("d") / (1.0 - percent / 100.0 + 1e-9))
     at = at.withColumn("ring", F.explode(F.array(ring, ring + 1))).select(F.xxhash64("region", "ring", "pivot").alias("region"), "p", "size")
-    at = cut(at.join(labels, at.p == labels.node, "left").select("region", "p", "size", F.coalesce("label", "p").alias("label")))
+    at = at.join(labels, at.p == labels.node, "left").select("region", "p", "size", F.coalesce("label", "p").alias("label"))
     # a point that was a pivot comes last, so a ring gets another one each round
     used = regions.select(F.col("pivot").alias("p")).distinct().withColumn("used", F.lit(1))
     often = at.groupBy("p").agg(F.count("*").alias("often")).join(used, "p", "left").select("p", F.struct(F.col("used").isNull().alias("fresh"), "often", "p").alias("often"))
     found = at.join(often, "p").groupBy("region").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.max_by("p", "often").alias("pivot")).where("lo <> hi")
-    return join_heavy(at, found.select("region", "n", "pivot"), ["region"], "n", at.count()).withColumn("large", F.col("n") > WHOLE)
+    return at.join(found.select("region", "n", "pivot"), "region").withColumn("large", F.col("n") > WHOLE)
 
 
 def region_pairs(regions: DataFrame, percent: int, everything: bool) -> DataFrame:
@@ -311,6 +311,9 @@ def region_pairs(regions: DataFrame, percent: int, everything: bool) -> DataFram
 def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_shingles, component_id.
 
+    Joins on a region, a hub or a label leave hot keys to the session's skew join (on by default); copies of one text,
+    which may be a third of all rows, are joined by broadcast of their heaviest points.
+
     Words are cut at ASCII white space after lower-casing A-Z; the set of a document holds its distinct n-word
     shingles, or its whole word sequence if that is shorter.  Two documents are linked when 100 * intersection >=
     percent * union.  component_id is the smallest id that links reach.  A null text or one without words has no
@@ -321,8 +324,8 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: s
     labels = components(edges)
     firsts = points.where("point is not null").groupBy("point").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     named = cut(firsts.join(labels, firsts.point == labels.node, "left").select("point", "first", "n", F.coalesce("label", "point").alias("label")))
-    lowest = named.groupBy("label").agg(F.min("first").alias("component_id"), F.count("*").alias("w"))
-    named = join_heavy(named, lowest, ["label"], "w", named.count()).select("point", "component_id", "n")
+    lowest = named.groupBy("label").agg(F.min("first").alias("component_id"))
+    named = named.join(lowest, "label").select("point", "component_id", "n")
     full = points.where("point is not null")
     out = join_heavy(full, named, ["point"], "n", full.count()).select("doc_id", "size", "component_id")
     alone = points.where("point is null").select("doc_id", "size", F.col("doc_id").alias("component_id"))
