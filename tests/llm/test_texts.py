@@ -168,8 +168,8 @@ def test_exact_duplicates(spark, frame, corpus):
 
 def test_buckets_split_until_they_hold_no_more_than_the_capacity(spark):
     entries = spark.range(5000).selectExpr("shiftrightunsigned(xxhash64(id), 4) as h", "id as digest").cache()
-    placed = exact_dedup.bucket_of(entries, 64, 5000).groupBy("depth", "bucket").count().collect()
-    assert sum(r["count"] for r in placed) == 5000 and max(r["count"] for r in placed) <= 64
+    placed = exact_dedup.bucket_of(entries, 80, 5000).groupBy("depth", "bucket").count().collect()
+    assert sum(r["count"] for r in placed) == 5000 and max(r["count"] for r in placed) <= 80
     assert len({r.depth for r in placed}) > 1
 
 
@@ -195,10 +195,11 @@ def linked_components(rows, n, percent):
     return {k: (len(sets[k]), find(k)) for k in keys}
 
 
-@pytest.mark.parametrize("small", [2, 48])
+@pytest.mark.parametrize("small", [10, 48])
 def test_jaccard(spark, frame, corpus, monkeypatch, small):
     rng = random.Random(3)
     monkeypatch.setattr(jaccard_join, "SMALL", small)
+    monkeypatch.setattr(jaccard_join, "WHOLE", small)
     base = [f"w{rng.randrange(500)}" for _ in range(120)]
     near = []
     for i in range(60):  # copies that differ from each other at up to a few places, in a chain
@@ -246,7 +247,8 @@ def test_mix_budgets(spark):
     # a is used up: what it lacks goes to b, where x is used up too
     assert get({}, 50) == {("a", "x"): 100, ("a", "y"): 10, ("b", "x"): 100, ("b", "y"): 395}
     assert get({("b",): 0}, 100) == {("a", "x"): 100, ("a", "y"): 10, ("b", "x"): 0, ("b", "y"): 0}
-    assert get({("a",): 3, ("a", "y"): 0}, 10, 2)[("a", "x")] == 90
+    # 121 tokens at 3 to 1: 90 and 30, and the odd one goes to a, the fuller of the two
+    assert get({("a",): 3, ("a", "y"): 0}, 10, 2)[("a", "x")] == 91
     assert sum(get({("a",): 7, (None, "x"): 3}, 33).values()) == 1210 * 33 // 100
 
 
