@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from twinledger.plans import check
+from twinledger.plans import catalog, check
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 # the composite runs once here; the other views of the same rows are checked by the check tool
@@ -25,7 +25,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in SLOW | TIED])
+@pytest.mark.parametrize("name", [n for n in catalog.QUERIES if n not in SLOW | TIED])
 def test_query(spark, con, name):
     result = check.compare(spark, SF, name, entry.queries()[name], entry.oracle_sql().get(name), con)
     assert not result.startswith("FAIL"), result
