@@ -216,7 +216,6 @@ def test_jaccard(spark, frame, corpus):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == linked_components(rows, 4, 85)
 
 
-@pytest.mark.skip(reason="open: did not end within 170 s; slow or stuck is not known")
 def test_jaccard_rings(spark, frame, monkeypatch):
     monkeypatch.setattr(jaccard_join, "SMALL", 10)
     monkeypatch.setattr(jaccard_join, "WHOLE", 10)

@@ -190,7 +190,7 @@ def overlaps(pairs: DataFrame, texts: DataFrame, n: int, percent: int, rows: int
     pair's other point, and each part gets the texts of its points once.
     """
     ends = pairs.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(pairs.select(F.col("b").alias("x"), F.col("a").alias("y")))
-    hub = cut(ends.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("hub")))
+    hub = ends.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("hub"))
     led = pairs.join(hub.select(F.col("x").alias("a"), F.col("hub").alias("ha")), "a").join(hub.select(F.col("x").alias("b"), F.col("hub").alias("hb")), "b")
     led = led.select("a", "b", "must", F.least("ha", "hb").alias("hub"))
     many = led.groupBy("hub").agg(F.count("*").alias("n"))
@@ -234,8 +234,8 @@ def linked(percent: int):
 
 
 def links(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", rounds: int = 4) -> tuple[DataFrame, DataFrame]:
-    """(points, edges).  points: doc_id, point, size for each row; edges: a, b between points, enough to connect all
-    points that links connect."""
+    """(points, labels).  points: doc_id, point, size for each row; labels: node, label for each point that has a link,
+    the label being the smallest point that links reach."""
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     both = cut(read_sets(slim, n))
     points = both.where("chunk is null").select("doc_id", "point", "size")
@@ -252,35 +252,34 @@ def links(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id"
     texts = cut(slim.join(chosen, "id").dropDuplicates(["point"]).select("point", "text"))
 
     known = cut(overlaps(pairs, texts, n, percent))
-    edges = cut(known.where(linked(percent)).select("a", "b"))
+    labels = components(known.where(linked(percent)))
     regions = members
     while rounds and not regions.isEmpty():
         rounds -= 1
-        regions = cut(rings(regions, known, edges, percent))
+        regions = cut(rings(regions, known, labels, percent))
         pairs = cut(region_pairs(regions, percent, everything=rounds == 0).join(known, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
             break
         new = cut(overlaps(pairs, texts, n, percent))
-        edges = cut(edges.unionByName(new.where(linked(percent)).select("a", "b")))
-        known = cut(known.unionByName(new))
+        found = new.where(linked(percent)).select("a", "b")
+        labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found))
+        known = known.unionByName(new)
         regions = regions.where("large")
-    return points, edges
+    return points, labels
 
 
 def with_pivots(members: DataFrame) -> DataFrame:
     """Members with the pivot of their region: the member that lies in most regions, the centre of a group of copies."""
-    known = cut(members)
-    often = known.groupBy("p").agg(F.count("*").alias("often"))
-    pivots = known.join(often, "p").groupBy("region").agg(F.max_by("p", F.struct("often", "p")).alias("pivot"))
-    return cut(known.join(pivots, "region"))
+    often = members.groupBy("p").agg(F.count("*").alias("often"))
+    pivots = members.join(often, "p").groupBy("region").agg(F.max_by("p", F.struct("often", "p")).alias("pivot"))
+    return cut(members.join(pivots, "region"))
 
 
-def rings(regions: DataFrame, known: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
+def rings(regions: DataFrame, known: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """The parts of regions that still hold points of more than one component: region, p, size, label, pivot, large.
 
     A point's ring is its distance to the pivot in units of the threshold; it belongs to that ring and the next.
     """
-    labels = components(edges)
     far = known.select(F.explode(F.array(F.struct(F.col("a").alias("p"), F.col("b").alias("pivot")), F.struct(F.col("b").alias("p"), F.col("a").alias("pivot")))).alias("k"),
                        (1 - F.col("inter") / (F.col("na") + F.col("nb") - F.col("inter"))).alias("d")).select("k.p", "k.pivot", "d").dropDuplicates(["p", "pivot"])
     at = regions.select("region", "p", "pivot", "size").join(far, ["p", "pivot"], "left").withColumn("d", F.coalesce("d", F.lit(0.0)))
@@ -320,8 +319,7 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: s
     shingles, no link and itself as component.  A null id never names a component unless all its rows have one;
     repeated rows are linked like any equal texts.  Shingles and sets are told apart by 64-bit hashes.
     """
-    points, edges = links(docs, n, percent, id_col, text_col)
-    labels = components(edges)
+    points, labels = links(docs, n, percent, id_col, text_col)
     firsts = points.where("point is not null").groupBy("point").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     named = cut(firsts.join(labels, firsts.point == labels.node, "left").select("point", "first", "n", F.coalesce("label", "point").alias("label")))
     lowest = named.groupBy("label").agg(F.min("first").alias("component_id"))
