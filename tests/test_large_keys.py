@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from twinledger.functions import ordered as O
+from twinledger.operators import flatten as X
 from twinledger.plans import bindings as B, check
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -31,3 +32,12 @@ def test_large_path(spark, con, name, monkeypatch):
     monkeypatch.setattr(O, "chunked", lambda df, keys, order, chunk_rows=0: real(df, keys, order, 3))
     result = check.compare(spark, SF, name, entry.queries()[name], entry.oracle_sql()[name], con)
     assert not result.startswith("FAIL"), result
+
+
+def test_a_row_carries_all_its_texts(spark):
+    n = 250
+    routed = spark.range(n).selectExpr("'p' as name", "1L as seq", "id as dpos", "concat('t', id) as text")
+    parts = X.texts_per_row(routed, "judge1", large=True, part_rows=40)
+    assert parts.count() == 7
+    row = X.whole_texts(parts, "judge1").collect()
+    assert [r.judge1 for r in row] == [" | ".join(f"t{i}" for i in range(n))]

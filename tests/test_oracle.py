@@ -11,8 +11,6 @@ from twinledger.plans import catalog, check
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 # the composite runs once here; the other views of the same rows are checked by the check tool
 SLOW = {"w3_numbering", "k1_final_columns", "k2_governor_subset", "k2_j10_listed_subset", "k5_highlights", "a19_export_counts"}
-# positions tie at this scale (duplicate part and supplier on one line)
-TIED = {"p14_study_rows"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
@@ -25,7 +23,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", [n for n in catalog.QUERIES if n not in SLOW | TIED])
+@pytest.mark.parametrize("name", [n for n in catalog.QUERIES if n not in SLOW])
 def test_query(spark, con, name):
     result = check.compare(spark, SF, name, entry.queries()[name], entry.oracle_sql().get(name), con)
     assert not result.startswith("FAIL"), result

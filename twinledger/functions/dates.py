@@ -135,7 +135,8 @@ def clean_date(c: Column) -> Column:
 
 
 def format_entry(name: Column, start: Column, end: Column) -> Column:
-    s, e = clean_date(start), clean_date(end)
+    """A null date counts as empty."""
+    s, e = clean_date(F.coalesce(start, F.lit(""))), clean_date(F.coalesce(end, F.lit("")))
     term = F.when(s == "", "?-?").otherwise(F.concat(s, F.lit("-"), F.when(e == "", "?").otherwise(e)))
     return F.concat(name, F.lit(", "), term)
 

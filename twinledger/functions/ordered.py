@@ -31,10 +31,15 @@ def has_large_key(df: DataFrame, keys: list[str], bound: int = CHUNK_ROWS) -> bo
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the session names; a temporary one only where none is named."""
+    """Reliable checkpoint in the folder the session names; one of this machine only if all runs on it and none is named."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if named is None:
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            named = tempfile.mkdtemp(prefix="spark-")
+        sc.setCheckpointDir(named)
     return df.checkpoint()
 
 

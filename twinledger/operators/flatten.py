@@ -51,6 +51,12 @@ def texts_per_row(routed: DataFrame, name: str, keys: list[str] = ("name", "seq"
     return joined_text(routed, list(keys), ["dpos", "text"], F.col("text"), " | ", name, part_rows, large)
 
 
+def whole_texts(parts: DataFrame, name: str, keys: list[str] = ("name", "seq")) -> DataFrame:
+    """All texts of a row in one cell: the parts of ``texts_per_row`` put together in order."""
+    every = F.sort_array(F.collect_list(F.struct("part", name)))
+    return parts.groupBy(*keys).agg(F.array_join(F.transform(every, lambda p: p[name]), " | ").alias(name))
+
+
 def routed_by_index(decisions: DataFrame, with_field: bool) -> DataFrame:
     """(name, seq, dpos, text) for decisions keyed by episode index (steps 2 and 3)."""
     label = F.create_map(*[x for k, v in K.FIELD_LABELS.items() for x in (F.lit(k), F.lit(v))])
@@ -133,7 +139,7 @@ def flatten(episodes: DataFrame, labels: DataFrame, ranks: DataFrame, lines: Dat
 
     ``episodes``: name, seq, source_line, the step-1 and step-2 fields; ``labels``: one row per person with resolved
     labels; ``ranks``: name, episode_idx, rank; ``texts``: judge1..judge3 as (name, seq, part, judgeN) and judge4 as
-    (name, part, judge4).  Texts beyond their first part stay in the ``texts`` tables.
+    (name, part, judge4); a row carries all its texts, whatever their number.
     """
     texts = texts or {}
     e = episodes.join(ranks.select("name", F.col("episode_idx").alias("seq"), F.col("rank").alias("_rank")),
@@ -143,12 +149,12 @@ def flatten(episodes: DataFrame, labels: DataFrame, ranks: DataFrame, lines: Dat
     e = e.join(best, ["name", "source_line"], "left").join(year, "name", "left")
     for col, t in texts.items():
         if col != "judge4":
-            e = e.join(t.filter("part = 0").select("name", "seq", col), ["name", "seq"], "left")
+            e = e.join(whole_texts(t, col), ["name", "seq"], "left")
     person = labels.select(
         "name", *[c for c in ("birth_year", "origin", "origin_city", "minority", "female", "bachelor",
                               *K.LABEL_FIELDS, "fell", "fell_reason") if c in labels.columns])
     if "judge4" in texts:
-        person = person.join(texts["judge4"].filter("part = 0").select("name", "judge4"), "name", "left")
+        person = person.join(whole_texts(texts["judge4"], "judge4", ["name"]), "name", "left")
     e = e.join(person, "name", "left")
     if lines is not None:
         e = e.join(lines.select("name", F.col("line_num").alias("source_line"), "raw_text"), ["name", "source_line"], "left")

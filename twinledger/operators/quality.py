@@ -182,10 +182,11 @@ def locate_errors(rows: DataFrame, errs: DataFrame, columns: list[str]) -> DataF
 
 
 def column_error_rate(located: DataFrame, n_rows: DataFrame) -> DataFrame:
-    """Errors and cells per column, and a total row; ``n_rows`` is one row with the row count ``n``."""
+    """Errors and cells per column and, if there are any, a row TOTAL; ``n_rows`` is one row with the row count ``n``."""
     found = located.filter("found").groupBy("column").agg(F.count(F.lit(1)).alias("errors"))
     r = found.crossJoin(F.broadcast(n_rows)).select("column", "errors", F.col("n").alias("cells"))
-    return r.withColumn("rate", _ratio(F.col("errors"), F.col("cells")))
+    total = r.agg(F.lit("TOTAL").alias("column"), F.sum("errors").alias("errors"), F.sum("cells").alias("cells")).filter("errors is not null")
+    return r.unionByName(total).withColumn("rate", _ratio(F.col("errors"), F.col("cells")))
 
 
 def compare_legacy(pairs: DataFrame, counts: DataFrame) -> DataFrame:

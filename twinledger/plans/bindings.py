@@ -313,7 +313,7 @@ TENURES = """SELECT c_nationkey AS unit, c_custkey AS holder, CASE WHEN c_custke
   CASE WHEN c_custkey % 10 = 0 THEN 0 ELSE CAST(month(min(o_orderdate)) AS INT) END AS sm,
   CASE WHEN c_custkey % 7 = 1 THEN 9999 ELSE CAST(year(max(o_orderdate)) AS INT) END AS ey,
   CASE WHEN c_custkey % 7 = 1 THEN 12 WHEN c_custkey % 10 = 5 THEN 0 ELSE CAST(month(max(o_orderdate)) AS INT) END AS em
-FROM {customer} JOIN {orders} ON o_custkey = c_custkey WHERE c_custkey % 3 <> 0 GROUP BY c_nationkey, c_custkey"""
+FROM {customer} JOIN {orders} ON o_custkey = c_custkey GROUP BY c_nationkey, c_custkey"""
 
 
 def tenures(spark, sf):

@@ -42,11 +42,9 @@ WHERE NOT (flag = '学习进修' OR (flag = '学校' AND regexp_matches(position
 """.replace("position", "pst").replace("flag, pst", "flag, pst AS position").replace(
     "JOIN a USING", "JOIN (SELECT name, pos, CASE WHEN k2 % 3 = 0 THEN '博士研究生' ELSE position END AS pst FROM a) a USING"))
 def p14(spark, sf):
-    c = B.classes_a(spark, sf).join(
-        B.episodes_a(spark, sf).select("name", "source_line", "k1", "k2", "position"),
-        ["name", "k1", "k2"]).filter("source_line = episode_idx").drop("source_line")
-    pst = F.when(F.col("k2") % 3 == 0, "博士研究生").otherwise(F.col("position"))
-    return c.select("name", "k1", "k2", "flag", pst.alias("position")).filter(~X.is_study_row(F.col("flag"), F.col("position")))
+    with_position = B.CLASS_A.replace("k1, k2,", "k1, k2, CASE WHEN k2 % 3 = 0 THEN '博士研究生' ELSE position END AS position,", 1)
+    c = B.recipe(spark, sf, with_position, a=B.episodes_a(spark, sf))
+    return c.select("name", "k1", "k2", "flag", "position").filter(~X.is_study_row(F.col("flag"), F.col("position")))
 
 
 @query("p15_enum_guard", B.CLASS_WITH + f""" SELECT name, k1, k2,
@@ -110,14 +108,14 @@ def j8(spark, sf):
 @query("x2_judge1_text", QR.MERGED + "," + ROUTED + " SELECT * FROM judge1")
 def x2(spark, sf):
     merged, gd, fd, large = step1_parts(spark, sf)
-    return X.texts_per_row(X.route_line_texts(merged, gd, fd), "judge1", large=large).drop("part")
+    return X.whole_texts(X.texts_per_row(X.route_line_texts(merged, gd, fd), "judge1", large=large), "judge1")
 
 
 @query("x2_judge2_text", QR.CLASS_DIFFS + "," + QR.CLASS_DEC + f""" SELECT name, episode_idx AS seq, string_agg({LABELLED}, ' | ' ORDER BY pos, {LABELLED}) AS judge2
 FROM class_dec d WHERE {TEXT} <> '' GROUP BY ALL""")
 def x2b(spark, sf):
     r = X.routed_by_index(QR.class_decisions(spark, sf), True)
-    return X.texts_per_row(r, "judge2", large=B.large_names(spark, sf)).drop("part")
+    return X.whole_texts(X.texts_per_row(r, "judge2", large=B.large_names(spark, sf)), "judge2")
 
 
 def _focal(target, year, prov):

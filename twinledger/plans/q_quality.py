@@ -198,7 +198,7 @@ def a20(spark, sf):
     return Ql.error_direction(Ql.errors(_rank_scored(spark, sf), ["rank"], ["name"]))
 
 
-MARKS = "SELECT o_orderkey AS name, CAST(o_custkey % 7 + 1 AS BIGINT) AS seq, CASE o_orderkey % 4 WHEN 0 THEN 'org_tag' WHEN 1 THEN 'flag' WHEN 2 THEN 'city' ELSE 'nowhere' END AS column FROM {orders} WHERE o_orderkey % 3 = 0"
+MARKS = "SELECT o_orderkey AS name, CAST(o_custkey % 7 + 1 AS BIGINT) AS seq, CASE o_orderkey % 4 WHEN 0 THEN 'org_tag' WHEN 1 THEN 'flag' WHEN 2 THEN 'city' ELSE 'nowhere' END AS column FROM {orders}"
 DMARKS = B.duck(MARKS).replace("AS column", 'AS "column"')
 
 
@@ -216,7 +216,8 @@ def j15(spark, sf):
     return _marked(spark, sf)[1]
 
 
-@query("a17_column_error_rate", LOCATED + """ SELECT "column", count(*) AS errors, (SELECT count(*) FROM class_a) AS cells, count(*) / (SELECT count(*) FROM class_a) AS rate FROM located WHERE found GROUP BY 1""")
+@query("a17_column_error_rate", LOCATED + """, per AS (SELECT "column", count(*) AS errors, (SELECT count(*) FROM class_a) AS cells FROM located WHERE found GROUP BY 1),
+every AS (FROM per UNION ALL SELECT 'TOTAL', CAST(sum(errors) AS BIGINT), CAST(sum(cells) AS BIGINT) FROM per HAVING count(*) > 0) SELECT *, errors / cells AS rate FROM every""")
 def a17(spark, sf):
     rows, located = _marked(spark, sf)
     return Ql.column_error_rate(located, rows.agg(F.count(F.lit(1)).alias("n")))

@@ -53,10 +53,8 @@ _scalar("d7_clean_date", f"CASE WHEN t IN ('', '至今') THEN t WHEN regexp_matc
         f"WHEN regexp_matches({_s}, '^\\d{{4}}\\.\\d{{1,2}}$') THEN concat({_ym}, '.', lpad({_mm}, 2, '0')) ELSE rtrim({_s}, '.') END AS v",
         lambda: [D.clean_date(c()).alias("v")])
 _scalar("d10_sort_key", f"{S.sort_key('t')} AS k", lambda: [D.sort_key(c()).alias("k")])
-_scalar("d11_int_or_text", "coalesce(CAST(TRY_CAST(trim(t) AS INTEGER) AS VARCHAR), t) AS v",
-        lambda: [D.int_or_text(c()).alias("v")],
-        source=lambda spark, sf: B.recipe(spark, sf, DATE_TEXT).filter("id % 14 not in (1, 6, 8, 0)"),
-        prefix=f"WITH src AS (SELECT * FROM ({B.duck(DATE_TEXT)}) x WHERE id % 14 NOT IN (1, 6, 8, 0)) ")
+_scalar("d11_int_or_text", "CASE WHEN regexp_matches(trim(t), '^[+-]?[0-9]+$') THEN coalesce(CAST(TRY_CAST(trim(t) AS INTEGER) AS VARCHAR), t) ELSE t END AS v",
+        lambda: [D.int_or_text(c()).alias("v")])
 
 TERM = """SELECT o_orderkey AS id, concat(CASE WHEN o_orderkey % 2 = 0 THEN '任期：' ELSE '' END,
   CASE o_orderkey % 8 WHEN 0 THEN printf('%04d年%d月—%04d年%d月', CAST(1950 + o_custkey % 60 AS INT), CAST(o_custkey % 12 + 1 AS INT), CAST(1955 + o_custkey % 60 AS INT), CAST(o_custkey % 9 + 1 AS INT))
@@ -98,10 +96,10 @@ def _cleaned(x):
             f"WHEN regexp_matches({s}, '^\\d{{4}}\\.\\d{{1,2}}$') THEN concat(split_part({s}, '.', 1), '.', lpad(split_part({s}, '.', 2), 2, '0')) ELSE rtrim({s}, '.') END")
 
 
-@query("d8_format_entry", f"""WITH s AS (SELECT id, {_cleaned('t')} AS s, CASE WHEN id % 3 = 0 THEN '' ELSE {_cleaned('t')} END AS e FROM ({B.duck(DATE_TEXT)}) x WHERE t IS NOT NULL)
+@query("d8_format_entry", f"""WITH x AS (SELECT id, coalesce(t, '') AS t FROM ({B.duck(DATE_TEXT)}) y), s AS (SELECT id, {_cleaned('t')} AS s, CASE WHEN id % 3 = 0 THEN '' ELSE {_cleaned('t')} END AS e FROM x)
 SELECT id, concat('n', id, ', ', CASE WHEN s = '' THEN '?-?' ELSE concat(s, '-', CASE WHEN e = '' THEN '?' ELSE e END) END) AS entry FROM s""")
 def d8(spark, sf):
-    d = _dates(spark, sf).filter("t is not null")
+    d = _dates(spark, sf)
     end = F.when(F.col("id") % 3 == 0, "").otherwise(c())
     return d.select("id", D.format_entry(F.concat(F.lit("n"), F.col("id").cast("string")), c(), end).alias("entry"))
 
