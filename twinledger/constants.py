@@ -8,7 +8,6 @@ NONE_MARK = "（无）"
 IDEOGRAPHIC_SPACE = "　"
 
 # fixed values: verdicts a decision may carry
-ADOPT_A = ["采纳LLM1", "采纳DS"]
 ADOPT_B = ["采纳LLM2", "采纳QW"]
 CORRECTED = ["自行修正", "两者均存疑"]
 DOUBT = "两者均存疑"
@@ -131,10 +130,6 @@ NAME_STOP_WORDS = [
     "历任", "市长", "书记", "委员", "主任", "常委", "政府", "人民", "中共", "深圳", "广东", "北京", "上海",
     "以来", "任期", "担任", "至今",
 ]
-BUREAU_WORDS = [
-    "局长", "副局长", "处长", "副处长", "科长", "副科长", "厅长", "副厅长", "局党组", "处级", "厅级", "所长",
-    "副所长", "主任", "副主任", "研究生", "本科生", "进修学员", "实习生",
-]
 VICE_PROVINCIAL_WORDS = [
     "省长", "副省长", "省委书记", "省委副书记", "市长", "副市长", "市委书记", "市委副书记", "部长", "副部长",
     "部党组书记", "省委常委", "市委常委", "政治局", "国务院", "总书记", "主席", "副主席", "副国级", "国级",
@@ -144,7 +139,6 @@ VICE_PROVINCIAL_CITIES = [
     "深圳", "广州", "宁波", "青岛", "大连", "厦门", "成都", "武汉", "南京", "杭州", "沈阳", "西安", "哈尔滨",
     "长春", "济南",
 ]
-LEGACY_STUDY_TAGS = ["教育部直属高校", "地方属高校", "国外高校", "中小学/职业院校"]
 GOVERNOR_TITLE_PATTERNS = ["历任.*省长", "历任.*主席", "历任.*市长"]
 SECRETARY_TITLE_PATTERNS = ["历任.*省委书记", "历任.*市委书记", "历任.*自治区.*书记", "历任.*党委书记"]
 TENURE_HEADER_WORDS = ["时间", "任职", "起止", "年份", "职务"]

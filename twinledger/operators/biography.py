@@ -174,6 +174,10 @@ def quality_score(text: Column) -> Column:
     return score.cast("int")
 
 
+def passes_quality(score: Column) -> Column:
+    return score >= K.QUALITY_THRESHOLD
+
+
 def name_mining(df: DataFrame, key: str, text: str, start_year: int) -> DataFrame:
     """(key, ord, name): 2-4 character Han runs of lines dated at or after ``start_year``, first mention only."""
     lines = F.split(F.col(text), "\n")

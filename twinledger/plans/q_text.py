@@ -356,10 +356,10 @@ def p21(spark, sf):
     return B.recipe(spark, sf, TAGGED).select("doc_id", Bio.identity_check(F.col("t"), province="浙江省").alias("ok"))
 
 
-@query("p22_quality_score", f"""SELECT name, CAST(CASE WHEN contains(text, '=== 履历段落 ===') THEN 40 ELSE 0 END + CASE WHEN contains(text, '=== 人物简介 ===') THEN 20 ELSE 0 END
-  + CASE WHEN contains(text, '=== 基本信息 ===') THEN 15 ELSE 0 END + least(25, 2 * len(regexp_extract_all(text, '\\d{{4}}[年.．]'))) AS INTEGER) AS score FROM ({B.duck(B.BIO_TEXT)}) t""")
+@query("p22_quality_score", f"""SELECT *, score >= 60 AS passes FROM (SELECT name, CAST(CASE WHEN contains(text, '=== 履历段落 ===') THEN 40 ELSE 0 END + CASE WHEN contains(text, '=== 人物简介 ===') THEN 20 ELSE 0 END
+  + CASE WHEN contains(text, '=== 基本信息 ===') THEN 15 ELSE 0 END + least(25, 2 * len(regexp_extract_all(text, '\\d{{4}}[年.．]'))) AS INTEGER) AS score FROM ({B.duck(B.BIO_TEXT)}) t) s""")
 def p22(spark, sf):
-    return B.bio_texts(spark, sf).select("name", Bio.quality_score(F.col("text")).alias("score"))
+    return B.bio_texts(spark, sf).select("name", Bio.quality_score(F.col("text")).alias("score")).withColumn("passes", Bio.passes_quality(F.col("score")))
 
 
 MINED = "SELECT doc_id, replace(replace(replace(replace(text, ' the ', '1995王小明'), ' le ', '李四书记'), ' und ', '2003年市长张三丰'), ' de ', '1980赵六') AS t FROM {documents}"
