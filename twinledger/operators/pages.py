@@ -18,12 +18,14 @@ def plain_text(html: Column) -> Column:
     return strip(F.regexp_replace(html, "<[^>]*>", ""))
 
 
-def page_fields(pages: DataFrame, key: str = "page_id", html: str = "html", min_chars: int = 10, max_paragraphs: int = 300) -> DataFrame:
-    """(key, title, paragraphs): title and the paragraphs of at least ``min_chars`` characters, citation marks removed."""
+def page_fields(pages: DataFrame, key: str = "page_id", html: str = "html", min_chars: int = 10, max_paragraphs: int | None = None) -> DataFrame:
+    """(key, title, paragraphs): title and the paragraphs of at least ``min_chars`` characters, citation marks removed; all
+    of them, unless ``max_paragraphs`` asks for the first ones."""
     title = plain_text(F.regexp_extract(F.col(html), r"(?is)<title[^>]*>(.*?)</title>", 1))
     paras = F.regexp_extract_all(F.col(html), F.lit(r"(?is)<p>(.*?)</p>"), 1)
     clean = F.filter(F.transform(paras, lambda p: F.regexp_replace(plain_text(p), CITATION, "")), lambda p: F.length(p) >= min_chars)
-    return pages.select(key, title.alias("title"), F.slice(clean, 1, max_paragraphs).alias("paragraphs"))
+    kept = clean if max_paragraphs is None else F.slice(clean, 1, max_paragraphs)
+    return pages.select(key, title.alias("title"), kept.alias("paragraphs"))
 
 
 def links(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
@@ -150,15 +152,15 @@ def _page_text(html: str, name: str) -> str:
         out.append(f"=== 人物简介 ===\n{summary}")
     info = " | ".join(r.info)
     if len(info) > 20:
-        out.append(f"=== 基本信息 ===\n{info[:1000]}")
+        out.append(f"=== 基本信息 ===\n{info}")
     paras = [p for p in (re.sub(CITATION, "", x) for x in r.paras) if len(p) >= 10]
     if not paras:
         paras = [x for x in r.loose if len(x) >= 10 and (re.search(r"(19|20)\d{2}", x) or any(k in x for k in K.ROLE_WORDS))]
     if paras:
-        out.append("=== 履历段落 ===\n" + "\n".join(paras[:300]))
+        out.append("=== 履历段落 ===\n" + "\n".join(paras))
     for head, cells in r.tables:
         if any(w in head for w in K.TENURE_HEADER_WORDS):
-            out.append("=== 履历表格 ===\n" + "\t".join(cells)[:2000])
+            out.append("=== 履历表格 ===\n" + "\t".join(cells))
     return "\n\n".join(out)
 
 

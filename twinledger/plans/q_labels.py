@@ -94,7 +94,7 @@ def w13(spark, sf):
 # ---- pages
 
 @query("p24_l4_page_fields", """WITH p AS (SELECT page_id, html, [trim(regexp_replace(x, '<[^>]*>', '', 'g'), E' \\t\\n\\r') FOR x IN regexp_extract_all(html, '(?is)<p>(.*?)</p>', 1)] AS ps FROM pages),
-c AS (SELECT page_id, html, list_filter([regexp_replace(x, '\\[\\d+(?:-\\d+)?\\]', '', 'g') FOR x IN ps], lambda x: length(x) >= 10)[1:300] AS ps FROM p)
+c AS (SELECT page_id, html, list_filter([regexp_replace(x, '\\[\\d+(?:-\\d+)?\\]', '', 'g') FOR x IN ps], lambda x: length(x) >= 10) AS ps FROM p)
 SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '<[^>]*>', '', 'g'), E' \\t\\n\\r') AS title, CAST(len(ps) AS INTEGER) AS n, array_to_string(ps, '|') AS body FROM c""")
 def p24(spark, sf):
     f = Pg.page_fields(B.table(spark, sf, "pages"))
