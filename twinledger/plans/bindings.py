@@ -11,18 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from twinledger.functions.ordered import has_large_key
 
 
-SPREAD_BY = {"lineitem": "l_orderkey", "orders": "o_orderkey", "documents": "doc_id", "pages": "page_id", "events": "event_id",
-             "customer": "c_custkey"}
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A provided table.  One that arrives in fewer splits than there are cores (a single row group, so it is small) is
-    spread over them by its key; a table with enough splits is read as it lies."""
-    df = spark.read.parquet(f"{sf}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in SPREAD_BY and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, SPREAD_BY[name])
-    return df
+    """A provided table, read as it lies."""
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def recipe(spark: SparkSession, sf: str, sql: str, **frames: DataFrame) -> DataFrame:
