@@ -24,7 +24,7 @@ def matrix(column) -> np.ndarray:
     """The vectors of a list column, one a row."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     n = len(column)
-    return np.asarray(column.flatten()).reshape(n, -1) if n else np.empty((0, 0), np.float32)
+    return np.asarray(column.flatten(), np.float64).reshape(n, -1) if n else np.empty((0, 0))
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -70,7 +70,7 @@ def first_lists(nodes: DataFrame, dims: int, k: int, orders: int, run: int, seed
             at = np.argpartition(-sims, m - 1, axis=1)[:, :m]
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, m)), pa.array(ids[at].ravel()), pa.array(np.take_along_axis(sims, at, 1).ravel())], schema=EDGE)
 
-    keyed = nodes.mapInArrow(keys, "o long, code long, fine double, id long, v array<double>")
+    keyed = nodes.mapInArrow(keys, "o long, code long, fine double, id long, v array<float>")
     dealt = keyed.repartitionByRange(partitions(nodes.sparkSession), "o", "code", "fine").sortWithinPartitions("o", "code", "fine", "id")
     return dealt.select("id", "v").mapInArrow(compare, EDGE_DDL)
 
@@ -108,7 +108,15 @@ def descend(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     return top(graph.unionByName(found), k)
 
 
-def build_graph(nodes: DataFrame, dims: int, k: int = 20, orders: int = 8, run: int = 128, rounds: int = 3, seed: int = 0) -> DataFrame:
+def small(v):
+    """Vectors as they travel while the graph is built: scaled to [-1, 1], in single precision."""
+    most = F.array_max(F.transform(v, F.abs))
+    return F.transform(v, lambda x: (x / most).cast("float"))
+
+
+def build_graph(nodes: DataFrame, dims: int, k: int = 32, orders: int = 8, run: int = 128, rounds: int = 4, seed: int = 0) -> DataFrame:
+    """a, b, sim: about the k nearest b of each node a.  Similarities are good to single precision; answers are scored anew."""
+    nodes = cut(nodes.select("id", small(F.col("v")).alias("v")))
     graph = cut(top(first_lists(nodes, dims, k, orders, run, seed), k))
     for _ in range(rounds):
         graph = cut(descend(graph, nodes, k))
@@ -154,7 +162,7 @@ def graph_width(graph: DataFrame) -> int:
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
-            beam: int = 96, opened: int = 24, hops: int = 4, **graph_options) -> DataFrame:
+            beam: int = 96, opened: int = 16, hops: int = 4, **graph_options) -> DataFrame:
     """query_id, rank (from 1), id, score: each query's k nearest of all other rows, largest cosine first.
 
     queries: rows of `vectors`, by id.  Ties go to the smaller id.  Vectors that are null, zero, of another length than
