@@ -224,6 +224,31 @@ def test_jaccard_rings(spark, frame, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == linked_components(rows, 4, 85)
 
 
+def copies_and_outliers():
+    """A text, copies with one edit each, and outliers that are linked to one copy each but not to the text."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(103)]
+    rows = [(0, " ".join(base), "en", "s0")]
+    for i in range(60):
+        w = list(base)
+        w[rng.choice([8, 20, 32])] = f"c{i}"
+        rows.append((100 + i, " ".join(w), "en", "s0"))
+        if i % 4 == 0:
+            w[44 + i % 12], w[60 + i % 30] = f"x{i}", f"y{i}"
+            rows.append((10 + i // 4, " ".join(w), "en", "s0"))
+    return rows
+
+
+def test_jaccard_outliers_around_a_pivot(spark, frame, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SMALL", 10)
+    monkeypatch.setattr(jaccard_join, "WHOLE", 20)
+    rows = copies_and_outliers()
+    expected = linked_components(rows, 4, 85)
+    assert {c for _, c in expected.values()} == {0}
+    got = jaccard_join.jaccard_components(frame(rows, extra=False)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == expected
+
+
 def test_jaccard_threshold_is_exact(spark, frame):
     # 17 of 20 shingles shared: just linked; 16 of 20: not
     base = [f"a{i}" for i in range(23)]

@@ -254,16 +254,18 @@ def links(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id"
     known = cut(overlaps(pairs, texts, n, percent))
     labels = components(known.where(linked(percent)))
     regions = members
+    used = members.select(F.col("pivot").alias("p")).distinct()
     while rounds and not regions.isEmpty():
         rounds -= 1
-        regions = cut(rings(regions, known, labels, percent))
+        regions = cut(rings(regions, known, labels, percent, used))
+        used = used.unionByName(regions.select(F.col("pivot").alias("p"))).distinct()
         pairs = cut(region_pairs(regions, percent, everything=rounds == 0).join(known, ["a", "b"], "left_anti"))
-        if pairs.isEmpty():
-            break
-        new = cut(overlaps(pairs, texts, n, percent))
-        found = new.where(linked(percent)).select("a", "b")
-        labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found))
-        known = known.unionByName(new)
+        # a round without new pairs is not the last: large regions still fall into the rings of their next pivot
+        if not pairs.isEmpty():
+            new = cut(overlaps(pairs, texts, n, percent))
+            found = new.where(linked(percent)).select("a", "b")
+            labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found))
+            known = known.unionByName(new)
         regions = regions.where("large")
     return points, labels
 
@@ -275,9 +277,11 @@ def with_pivots(members: DataFrame) -> DataFrame:
     return cut(members.join(pivots, "region"))
 
 
-def rings(regions: DataFrame, known: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def rings(regions: DataFrame, known: DataFrame, labels: DataFrame, percent: int, used: DataFrame) -> DataFrame:
     """The parts of regions that still hold points of more than one component: region, p, size, label, pivot, large.
 
+    used: p, the pivots of all rounds so far.
+
     A point's ring is its distance to the pivot in units of the threshold; it belongs to that ring and the next.
     """
     far = known.select(F.explode(F.array(F.struct(F.col("a").alias("p"), F.col("b").alias("pivot")), F.struct(F.col("b").alias("p"), F.col("a").alias("pivot")))).alias("k"),
@@ -288,8 +292,7 @@ def rings(regions: DataFrame, known: DataFrame, labels: DataFrame, percent: int)
     at = at.withColumn("ring", F.explode(F.array(ring, ring + 1))).select(F.xxhash64("region", "ring", "pivot").alias("region"), "p", "size")
     at = at.join(labels, at.p == labels.node, "left").select("region", "p", "size", F.coalesce("label", "p").alias("label"))
     # a point that was a pivot comes last, so a ring gets another one each round
-    used = regions.select(F.col("pivot").alias("p")).distinct().withColumn("used", F.lit(1))
-    often = at.groupBy("p").agg(F.count("*").alias("often")).join(used, "p", "left").select("p", F.struct(F.col("used").isNull().alias("fresh"), "often", "p").alias("often"))
+    often = at.groupBy("p").agg(F.count("*").alias("often")).join(used.withColumn("used", F.lit(1)), "p", "left").select("p", F.struct(F.col("used").isNull().alias("fresh"), "often", "p").alias("often"))
     found = at.join(often, "p").groupBy("region").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.max_by("p", "often").alias("pivot")).where("lo <> hi")
     return at.join(found.select("region", "n", "pivot"), "region").withColumn("large", F.col("n") > WHOLE)
 
