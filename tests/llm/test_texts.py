@@ -249,6 +249,19 @@ def test_jaccard_outliers_around_a_pivot(spark, frame, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == expected
 
 
+def test_jaccard_null_and_repeated_ids(spark, frame):
+    words_ = [f"a{i}" for i in range(60)]
+    near = words_[:30] + ["changed"] + words_[31:]
+    other = [f"b{i}" for i in range(60)]
+    rows = [(None, " ".join(words_), None, None), (None, " ".join(near), None, None),
+            (7, " ".join(other), None, None), (7, " ".join(other[:-1]), None, None), (7, "x y z " * 9 + "end", None, None), (3, " ".join(other[1:]), None, None),
+            (5, " ".join(f"d{i}" for i in range(60)), None, None), (5, " ".join(f"e{i}" for i in range(60)), None, None), (4, " ".join(f"e{i}" for i in range(59)), None, None)]
+    got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(frame(rows)).collect())
+    sizes = [len({tuple(t.split()[i:i + 4]) for i in range(len(t.split()) - 3)}) for _, t, _, _ in rows]
+    linked_to = [None, None, 3, 3, 7, 3, 5, 4, 4]
+    assert got == collections.Counter((r[0], n, c) for r, n, c in zip(rows, sizes, linked_to))
+
+
 def test_jaccard_threshold_is_exact(spark, frame):
     # 17 of 20 shingles shared: just linked; 16 of 20: not
     base = [f"a{i}" for i in range(23)]

@@ -57,25 +57,28 @@ def prefix(n, percent: int):
 
 
 def read_sets(docs: DataFrame, n: int) -> DataFrame:
-    """For each document: doc_id, point, size; and counts of shingles by hash cell, in rows of CHUNK cells."""
+    """For each document: doc_id, row, point, size; and counts of shingles by hash cell, in rows of CHUNK cells.
+
+    docs: key (struct of id and row), text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word_hash = words_hashed.__getitem__
         cells = np.zeros(CELLS, np.uint32)
-        names = ["doc_id", "point", "size", "chunk", "counts"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-        for held in slices(batches, "id", "text", SLICE, bytes.lower):
+        names = ["doc_id", "row", "point", "size", "chunk", "counts"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        for held in slices(batches, "key", "text", SLICE, bytes.lower):
             rows = []
             for key, words in held:
                 found = shingles(words, word_hash, n)
                 np.add.at(cells, (found & np.uint64(CELLS - 1)).astype(np.int64), 1)
-                rows.append((key, point(found) if len(found) else None, len(found), None, None))
+                rows.append((key["id"], key["row"], point(found) if len(found) else None, len(found), None, None))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
-        full = [(None, None, None, i, _packed(part)) for i, part in enumerate(cells.reshape(-1, CHUNK)) if part.any()]
+        full = [(None, None, None, None, i, _packed(part)) for i, part in enumerate(cells.reshape(-1, CHUNK)) if part.any()]
         if full:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*full), kinds)], names=names)
 
-    return docs.mapInArrow(run, "doc_id long, point long, size long, chunk int, counts binary")
+    return docs.mapInArrow(run, "doc_id long, row long, point long, size long, chunk int, counts binary")
 
 
 def _packed(a: np.ndarray) -> bytes:
@@ -117,7 +120,7 @@ def first_regions(docs: DataFrame, counts: np.ndarray, n: int, percent: int) ->
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word_hash = words_hashed.__getitem__
-        for held in slices(batches, "id", "text", SLICE, bytes.lower):
+        for held in slices(batches, "key", "text", SLICE, bytes.lower):
             points, lists = [], []
             seen: set[int] = set()
             for _, words in held:
@@ -237,8 +240,11 @@ def links(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id"
     """(points, labels).  points: doc_id, point, size for each row; labels: node, label for each point that has a link,
     the label being the smallest point that links reach."""
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # an id may be null or stand for several texts, so texts are found again by a hash of both
+    slim = slim.select(F.struct("id", F.xxhash64("id", "text").alias("row")).alias("key"), "text")
     both = cut(read_sets(slim, n))
-    points = both.where("chunk is null").select("doc_id", "point", "size")
+    rows = both.where("chunk is null").select("doc_id", "row", "point", "size")
+    points = rows.drop("row")
     counts = cell_counts(both.where("chunk is not null").select("chunk", "counts"))
     met = cut(first_regions(slim, counts, n, percent))
 
@@ -248,8 +254,8 @@ def links(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id"
     pairs = cut(near.unionByName(pivots).groupBy("a", "b").agg(F.max("must").alias("must")))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("point")).unionByName(members.select(F.col("p").alias("point"))).distinct()
     # one document for each point that has a pair; only these texts travel
-    chosen = points.join(wanted, "point").groupBy("point").agg(F.min("doc_id").alias("id"))
-    texts = cut(slim.join(chosen, "id").dropDuplicates(["point"]).select("point", "text"))
+    chosen = rows.join(wanted, "point").groupBy("point").agg(F.min("row").alias("row"))
+    texts = cut(slim.select(F.col("key.row").alias("row"), "text").join(chosen, "row").dropDuplicates(["point"]).select("point", "text"))
 
     known = cut(overlaps(pairs, texts, n, percent))
     labels = components(known.where(linked(percent)))
@@ -320,7 +326,8 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: s
     shingles, or its whole word sequence if that is shorter.  Two documents are linked when 100 * intersection >=
     percent * union.  component_id is the smallest id that links reach.  A null text or one without words has no
     shingles, no link and itself as component.  A null id never names a component unless all its rows have one;
-    repeated rows are linked like any equal texts.  Shingles and sets are told apart by 64-bit hashes.
+    repeated rows are linked like any equal texts, and so are different texts of one id.  Shingles, sets and rows are told
+    apart by 64-bit hashes.
     """
     points, labels = links(docs, n, percent, id_col, text_col)
     firsts = points.where("point is not null").groupBy("point").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
