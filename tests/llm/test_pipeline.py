@@ -57,6 +57,40 @@ def test_stages(spark, tmp_path):
             assert kept == set(texts) and max(r.offset + r.length for r in after) <= 1024
 
 
+def test_stages_keep_rows_of_null_and_repeated_ids(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 40")
+    text = {r.doc_id: r.text for r in docs.collect()}
+    odd = [(None, "a first clean text without an id about the river"), (None, "another clean text without an id about the hill"),
+           (3, text[3]), (3, text[3]), (5, "12 34"), (7, text[9].upper()), (7, "one more text under an id that is used twice")]
+    a = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+    near = [(None, a), (None, a + " more"), (8, a.replace("wordba", "x")), (8, a.replace("wordbb", "y"))]
+    frame = lambda rows: docs.unionByName(spark.createDataFrame([(k, t, "en", "src0", len(t)) for k, t in rows], docs.schema))
+    stages = dict(corpus_pipeline.STAGES)
+    run = lambda name, rows: collections.Counter((r.doc_id, r.text) for r in stages[name](spark, rows, SF).collect())
+
+    got = run("language_id", frame(odd))
+    assert {k: got[k] for k in set(odd)} == {k: n + (k in text.items()) for k, n in collections.Counter(odd).items() if k[1] != "12 34"} | {(5, "12 34"): 0}
+
+    got = run("exact_dedup", frame(odd))
+    best = {}
+    for k, t in [*text.items(), *odd]:
+        low = t.translate(LOWER)
+        best[low] = max(best.get(low, (-2, "")), (-1 if k is None else k, low))
+    assert collections.Counter((k, t.translate(LOWER)) for k, t in got.elements()) == collections.Counter((None if k == -1 else k, low) for k, low in best.values())
+
+    got = run("ngram_jaccard", frame(odd[:2] + near + [(3, text[3]), (None, ""), (None, "")]))
+    alone = {c for _, c in linked_components(list(text.items()), 5, 80).values()}
+    assert all(got[k] == 1 for k in [*odd[:2], (None, "")]) and got[3, text[3]] == (3 in alone)
+    assert sorted(got[k] for k in near) == [0, 0, 0, 1] and got[near[2]] + got[near[3]] == 1
+
+    rows = [(None, f"a clean text {i} " * 30) for i in range(200)] + [(4, f"another text {i} " * 30) for i in range(200)]
+    got = run("source_mix", frame([*rows, rows[0], rows[0]]))
+    total = sum(len(words(t)) for _, t in {*text.items(), *rows})
+    took = sum(len(words(t)) * n for (_, t), n in got.items())
+    assert max(got.values()) == 1 and set(got) <= {*text.items(), *rows}
+    assert 0.8 * total <= took < total and any(k is None for k, _ in got)
+
+
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 0 and "sequence_id" in out.columns
