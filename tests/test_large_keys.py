@@ -6,8 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from twinledger import constants as K
 from twinledger.functions import ordered as O
-from twinledger.operators import flatten as X
+from twinledger.operators import flatten as X, queue as Q, reconcile as R
 from twinledger.plans import bindings as B, check
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -41,3 +42,24 @@ def test_a_row_carries_all_its_texts(spark):
     assert parts.count() == 7
     row = X.whole_texts(parts, "judge1").collect()
     assert [r.judge1 for r in row] == [" | ".join(f"t{i}" for i in range(n))]
+
+
+@pytest.mark.parametrize("large", [True, False])
+def test_a_line_is_one_difference(spark, large):
+    n = 25
+    rows = [("p", 1, i, "a", f"u{i}", "x", n, 2) for i in range(n)] + [("p", 1, i, "b", f"v{i}", "y", n, 2) for i in range(2)]
+    rows += [("q", 4, i, "b", f"u{i}", None, 0, n) for i in range(n)]
+    u = spark.createDataFrame(rows, "name string, line_pos long, pos long, side string, unit string, position string, n_a long, n_b long")
+    got = {r.name: (r.part, r.scope, r.value_a, r.value_b) for r in R.group_diffs(u, large, part_rows=4).collect()}
+    assert R.group_diffs(u, large, part_rows=4).count() == 2
+    assert got == {"p": (0, "episode_split", f"{n}条: " + "; ".join(f"u{i} x" for i in range(n)), "2条: v0 y; v1 y"),
+                   "q": (0, "episode_missing", K.NONE_MARK, "; ".join(f"u{i} " for i in range(n)))}
+
+
+def test_a_person_is_one_request(spark, monkeypatch):
+    eps = spark.range(1, 26).selectExpr("'p' as name", "id as seq", "id as source_line", "'' as start", "'' as end", "concat('u', id) as unit", "'x' as position")
+    whole = [tuple(r) for r in Q.episode_requests(eps, 2).collect()]
+    monkeypatch.setattr(Q, "PART_ROWS", 4)
+    got = Q.episode_requests(eps, 2).collect()
+    assert [tuple(r) for r in got] == whole and (got[0].part, got[0].n_episodes) == (0, 25)
+    assert Q.episode_requests(eps, 2, max_episodes=10).count() == 3

@@ -121,7 +121,7 @@ def escalate(field_decisions: DataFrame, group_decisions: DataFrame) -> DataFram
 def episode_requests(eps: DataFrame, step: int, max_episodes: int | None = None) -> DataFrame:
     """Request text over numbered episodes (step 2 classification, step 3 rank), per person and part.
 
-    ``max_episodes`` sets the chunk size; without it a person is one request up to the part bound of ordered texts.
+    ``max_episodes`` sets the chunk size; without it a person is one request whatever the number of episodes.
     """
     e = F.coalesce
     if step == 2:
@@ -136,6 +136,10 @@ def episode_requests(eps: DataFrame, step: int, max_episodes: int | None = None)
         raise ValueError("episode requests exist for steps 2 and 3")
     out = joined_parts(eps, ["name"], "seq", line, "\n", "body", max_episodes or PART_ROWS,
                        [F.count(F.lit(1)).alias("n_episodes")])
+    if max_episodes is None:
+        every = F.sort_array(F.collect_list(F.struct("part", "body")))
+        out = out.groupBy("name").agg(F.lit(0).alias("part"), F.sum("n_episodes").alias("n_episodes"),
+                                      F.array_join(F.transform(every, lambda p: p["body"]), "\n").alias("body"))
     flagged = out.withColumns({"needs_university": T.any_word(F.col("body"), K.UNIVERSITY_WORDS),
                                "needs_enterprise": T.any_word(F.col("body"), K.ENTERPRISE_WORDS)})
     head = (

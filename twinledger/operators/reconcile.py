@@ -118,25 +118,27 @@ def group_diffs(u: DataFrame, large: bool | None = None, part_rows: int = PART_R
     """Lines whose two sides differ in size (episode_split) or that exist on one side only (episode_missing).
 
     Each side is written ``unit position; unit position; ...`` in arrival order; only rows of such lines are put in
-    order.  A very large line is described in numbered parts.
+    order.  A line is one row whatever its size (``part`` 0); ``part_rows`` only bounds what one task puts in order.
     """
     rows = u.filter("n_a <> n_b")
     text = F.concat(F.coalesce("unit", F.lit("")), F.lit(" "), F.coalesce("position", F.lit("")))
     texts = joined_text(rows, ["name", "line_pos", "side", "n_a", "n_b"], ["pos"], text, "; ", "desc", part_rows, large)
-    j = texts.groupBy("name", "line_pos", "n_a", "n_b", "part").agg(
-        F.max(F.when(F.col("side") == "a", F.col("desc"))).alias("da"),
-        F.max(F.when(F.col("side") == "b", F.col("desc"))).alias("db"))
+
+    def side(s: str) -> Column:
+        every = F.sort_array(F.collect_list(F.when(F.col("side") == s, F.struct("part", "desc"))))
+        return F.array_join(F.transform(every, lambda p: p["desc"]), "; ")
+
+    j = texts.groupBy("name", "line_pos", "n_a", "n_b").agg(side("a").alias("da"), side("b").alias("db"))
     split = (F.col("n_a") > 0) & (F.col("n_b") > 0)
 
     def shown(n: str, d: str) -> Column:
-        text = F.coalesce(F.col(d), F.lit(""))
         return (
-            F.when(split, F.when(F.col("part") == 0, F.concat(F.col(n).cast("string"), F.lit("条: "), text)).otherwise(text))
-            .when((F.col(n) == 0) & (F.col("part") == 0), K.NONE_MARK).otherwise(text)
+            F.when(split, F.concat(F.col(n).cast("string"), F.lit("条: "), F.col(d)))
+            .when(F.col(n) == 0, K.NONE_MARK).otherwise(F.col(d))
         )
 
     return j.select(
-        "name", F.col("line_pos").alias("source_line"), "part",
+        "name", F.col("line_pos").alias("source_line"), F.lit(0).alias("part"),
         F.when(split, "episode_split").otherwise("episode_missing").alias("scope"),
         F.when(split, "拆分方式").when(F.col("n_a") == 0, "LLM1缺失").otherwise("LLM2缺失").alias("field"),
         shown("n_a", "da").alias("value_a"), shown("n_b", "db").alias("value_b"), F.lit(MEDIUM).alias("level"))
