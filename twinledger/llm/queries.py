@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinledger.llm import (exact_dedup, jaccard_join, language_id, license_scan, nn_descent, oracles, packing, quality_bayes, source_mix,
-                            substring_dedup, token_counts)
+from twinledger.llm import (exact_dedup, jaccard_join, language_id, license_scan, nn_descent, oracles, packing, periodic_runs, quality_bayes, sharding,
+                            source_mix, spelling_variants, substring_dedup, token_counts)
+from twinledger.llm.common import WORD
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -104,6 +105,37 @@ def op10_ngram_jaccard(spark, sf_dir):
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_external_shuffle(spark, sf_dir):
+    out = sharding.shuffle_into_shards(table(spark, sf_dir, "documents"), 8)
+    return out.select("doc_id", "size", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id, text; in a tenth of the documents, by a hash of the id, the words from some place on repeat with a period."""
+    docs = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    docs = docs.withColumn("w", F.when(F.expr("h % 10 = 0"), F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))).withColumn("n", F.size("w"))
+    docs = docs.withColumn("a", F.expr("if(n > 0, cast((h div 10) % n as int), 0)"))
+    docs = docs.withColumn("p", F.expr("1 + (n - a) div (3 + (h div 10) % 8)"))
+    changed = F.expr("array_join(concat(slice(w, 1, a), transform(sequence(a, n - 1), i -> w[cast(a + (i - a) % p as int)])), ' ')")
+    return docs.select("doc_id", F.when(F.expr("n > 0"), changed).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    out = periodic_runs.periodic_runs(with_repeats(table(spark, sf_dir, "documents")))
+    best = out.withColumn("best", F.expr(periodic_runs.strongest()))
+    listed = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')"
+    return best.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                       F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                       F.sha2(F.expr(listed), 256).alias("runs_sha256"), F.sha2("collapsed_text", 256).alias("collapsed_sha256"))
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    return spelling_variants.spelling_variants(table(spark, sf_dir, "documents"), typo=97)
+
+
 @query
 def pipeline(spark, sf_dir):
     import corpus_pipeline
