@@ -150,7 +150,7 @@ def test_run_query(spark, tmp_path, rows, monkeypatch, piece):
         want.append((key, len(found), *best, 1000 * best[1] // best[2] if found else None,
                      hashlib.sha256("".join(f"{s},{n},{q}\n" for s, n, q in found).encode()).hexdigest(), hashlib.sha256(kept).hexdigest()))
     assert collections.Counter(map(tuple, got)) == collections.Counter(want)
-    assert sum(r.n_runs > 0 for r in got) > 50 and {r.collapsed_sha256 for r in got if r.doc_id in (1000, 1001, 1002)} == {EMPTY}
+    assert sum(r.n_runs > 0 for r in got) > 40 and {r.collapsed_sha256 for r in got if r.doc_id in (1000, 1001, 1002)} == {EMPTY}
 
 
 def test_runs_of_clashing_names_and_no_rows(spark, frame):
