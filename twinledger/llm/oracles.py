@@ -194,8 +194,60 @@ q AS (SELECT doc_id, p, hpost, ppost, 1 / (1 + exp(-(ln(p / (1 - p)) + ln(ppost
 SELECT doc_id, round(p, 6) AS evidence, round(hpost, 6) AS host_posterior, round(ppost, 6) AS path_posterior, round(q, 6) AS quality, q >= {keep_at} AS keep FROM q"""
 
 
+CRC_TABLE = "crc_table AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)) AS t)"
+
+
+def _crc32(value: str) -> str:
+    """crc32 of a text of code points below U+0800, with crc_table in reach."""
+    codes = f"list_transform(string_split({value}, ''), lambda c: unicode(c)::BIGINT)"
+    utf8 = f"flatten(list_transform({codes}, lambda c: CASE WHEN c < 128 THEN [c] ELSE [192 + (c >> 6), 128 + (c & 63)] END))"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {utf8}), lambda v, b: xor(v >> 8, t[1 + (xor(v, b) & 255)])), 4294967295)"
+
+
+def runs() -> str:
+    """Stretches of each lag as islands of matching places; those that a stretch of a smaller lag covers go."""
+    return f"""
+WITH {CRC_TABLE},
+docs AS (SELECT doc_id, {WORDS} AS w, {_crc32('CAST(doc_id AS VARCHAR)')} AS h FROM documents, crc_table),
+dealt AS (SELECT doc_id, w, h, len(w) AS n, (h // 10) % greatest(len(w), 1) AS a, 3 + (h // 10) % 8 AS parts FROM docs),
+texts AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // parts) END]) ELSE w END AS w FROM dealt),
+words AS (SELECT doc_id, n, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM texts),
+hits AS (SELECT y.doc_id, y.i, y.i - x.i AS q FROM words x JOIN words y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+islands AS (SELECT doc_id, q, min(i) - q AS s, count(*) + q AS size FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS isle FROM hits) GROUP BY doc_id, q, isle),
+long_ AS (SELECT * FROM islands WHERE size >= greatest(6, 4 * q)),
+runs AS (SELECT * FROM long_ a WHERE NOT EXISTS (SELECT 1 FROM long_ b WHERE b.doc_id = a.doc_id AND b.q < a.q AND b.s <= a.s AND b.s + b.size >= a.s + a.size)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + size)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS line FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || size || ',' || q || chr(10), '' ORDER BY s, q) AS line FROM runs GROUP BY doc_id),
+best AS (SELECT doc_id, s, size, q FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY size / q DESC, s, q) = 1)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s AS start, size AS length, q AS period, 1000 * size // q AS exponent_milli,
+       sha256(coalesce(listed.line, '')) AS runs_sha256, sha256(coalesce(kept.line, '')) AS collapsed_sha256
+FROM documents LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id) LEFT JOIN best USING (doc_id)"""
+
+
+def variants(typo: int = 97) -> str:
+    """Near words by the word with one code point left out: the same place for a replaced one, the other word for an inserted one."""
+    return f"""
+WITH RECURSIVE {CRC_TABLE},
+found AS (SELECT doc_id, unnest(regexp_extract_all({_lower('text')}, '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')) AS r FROM documents),
+hashed AS (SELECT r, count(*) AS k, {_crc32("(CAST(doc_id AS VARCHAR) || ':' || r)")} AS h FROM found, crc_table GROUP BY doc_id, r, t),
+counts AS (SELECT CASE WHEN h % {typo} = 0 THEN left(r, h % length(r)) || substring(r, h % length(r) + 2) ELSE r END AS word, sum(k)::BIGINT AS n FROM hashed GROUP BY 1),
+words AS (SELECT word, n FROM counts WHERE length(word) >= 5 AND n >= 3),
+holes AS (SELECT word, n, i, left(word, i) || substring(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (SELECT a.word, b.word AS other, b.n FROM holes a JOIN holes b USING (rest, i) WHERE a.word <> b.word
+         UNION SELECT h.word, w.word, w.n FROM holes h JOIN words w ON h.rest = w.word
+         UNION SELECT w.word, h.word, h.n FROM holes h JOIN words w ON h.rest = w.word),
+best AS (SELECT word, count(*) AS n_near, min({{'rank': -n, 'other': other}}) AS b FROM near GROUP BY word),
+forms AS (SELECT word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.rank >= 2 * words.n THEN b.other END AS form, CASE WHEN -b.rank >= 2 * words.n THEN -b.rank END AS form_n
+          FROM words LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS at FROM forms UNION ALL SELECT walk.word, forms.form FROM walk JOIN forms ON forms.word = walk.at WHERE forms.form IS NOT NULL),
+ends AS (SELECT walk.word, walk.at AS root FROM walk JOIN forms ON forms.word = walk.at WHERE forms.form IS NULL)
+SELECT word, form, root, n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n FROM forms JOIN ends USING (word)"""
+
+
 def build(domains: dict, weights: dict, percent: int) -> dict[str, str]:
     return {
         "op2_language_id": language(), "op3_substring_dedup": substrings(), "op4_source_mix": mixture(domains, weights, percent, 2, 7), "op6_exact_dedup": exact(),
         "op7_license_scan": licences(), "op8_nn_descent": neighbours(), "op9_quality_classifier": site_quality(), "op10_ngram_jaccard": jaccard(),
+        "op12_periodic_runs": runs(), "op13_spelling_variants": variants(),
     }

@@ -143,5 +143,5 @@ def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
 
-#: Token counts and packing rest on a tokenizer's vocabulary, so op1, op5 and the pipeline have none.
+#: Token counts and packing rest on a tokenizer's vocabulary and shuffling on the session's random numbers, so op1, op5, op11 and the pipeline have none.
 ORACLES = oracles.build(MIX_DOMAINS, MIX_WEIGHTS, MIX_PERCENT)
