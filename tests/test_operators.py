@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from twinledger import constants as K
 from twinledger.functions import dates as D, text as T
-from twinledger.operators import biography as Bio, flatten as X, labels as Lb, merge as M, pages as Pg, panel as P, quality as Ql, queue as Q, reconcile as R, roster as L
+from twinledger.operators import biography as Bio, flatten as X, labels as Lb, matching as Mt, merge as M, pages as Pg, panel as P, quality as Ql, queue as Q, reconcile as R, roster as L
 from twinledger.sources import readers, sinks
 from twinledger.streaming import incremental as I
 
@@ -233,13 +233,54 @@ def test_greedy_match_against_brute_force(spark):
     data = {f"n{i}": ([word() for _ in range(rnd.randint(1, 7))], [word() for _ in range(rnd.randint(0, 7))]) for i in range(40)}
     mk = lambda j: spark.createDataFrame([(n, i, "", "", u, "") for n, x in data.items() for i, u in enumerate(x[j])],
                                          "name string, pos int, start string, end string, unit string, position string")
-    got = {(r.name, r.g_no): r.pred.pos if r.pred else None for r in Ql.match_episodes(mk(0), mk(1)).collect()}
-    for n, (g, p) in data.items():
-        assert [got[n, i + 1] for i in range(len(g))] == brute_match(g, p), n
-    left = Ql.match_episodes(mk(0), mk(1), weighted=True)
+    for pairs in (9, 4096):  # people of more pairs go in blocks
+        got = {(r.name, r.g_no): r.pred.pos if r.pred else None for r in Mt.match_episodes(mk(0), mk(1), K.EPISODE_FIELDS, pairs=pairs, block=3).collect()}
+        assert len(got) == sum(len(g) for g, _ in data.values())
+        for n, (g, p) in data.items():
+            assert [got[n, i + 1] for i in range(len(g))] == brute_match(g, p), n
+    left = Mt.match_episodes(mk(0), mk(1), K.EPISODE_FIELDS, weighted=True)
     assert left.filter("pred is not null").count() == sum(len(p) for _, p in data.values())
-    with pytest.raises(ValueError):
-        Ql.match_episodes(mk(0), mk(1), large=True)
+
+
+def weighted_match(gold, pred):
+    """Pairs of (unit, position) by 0.6 and 0.4, above 0.3; then the pred left over."""
+    part = lambda x, y: len(set(x) & set(y)) / max(len(set(x) | set(y)), 1)
+    used, out = set(), []
+    for g in gold:
+        best, at = 0.3, None
+        for j, p in enumerate(pred):
+            s = part(g[0], p[0]) * 0.6 + part(g[1], p[1]) * 0.4
+            if j not in used and s > best:
+                best, at = s, j
+        used.add(at)
+        out.append(at)
+    return out, [j for j in range(len(pred)) if j not in used]
+
+
+@pytest.mark.parametrize("pairs", [9, 4096])
+def test_weighted_match_against_brute_force(spark, pairs):
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("abcdefg") for _ in range(rnd.randint(0, 5)))
+    rows = lambda n: [(word(), word()) for _ in range(n)]
+    data = {f"n{i}": (rows(rnd.randint(1, 9)), rows(rnd.randint(0, 9))) for i in range(40)}
+    mk = lambda j: spark.createDataFrame([(n, i, "", "", u, v) for n, x in data.items() for i, (u, v) in enumerate(x[j])],
+                                         "name string, pos int, start string, end string, unit string, position string")
+    got = Mt.match_episodes(mk(0), mk(1), K.EPISODE_FIELDS, weighted=True, pairs=pairs, block=9).collect()
+    for n, (g, p) in data.items():
+        hits, left = weighted_match(g, p)
+        own = [r for r in got if r.name == n]
+        assert [r.pred.pos if r.pred else None for r in sorted((r for r in own if r.gold), key=lambda r: r.g_no)] == hits, n
+        assert sorted(r.pred.pos for r in own if not r.gold) == left, n
+
+
+def test_match_of_a_person_of_50_000_rows(spark):
+    """One person with 50,000 rows of 2,000 units: the i-th row of a unit takes the i-th row of its like."""
+    rows = spark.range(50_000).select(
+        F.when(F.col("id") < 49_900, F.lit("hot")).otherwise(F.concat(F.lit("p"), F.col("id") % 20)).alias("name"), F.col("id").alias("pos"),
+        F.lit("").alias("start"), F.lit("").alias("end"), F.expr("concat(chr(19968 + id % 2000), chr(23000 + id % 2000))").alias("unit"), F.lit("").alias("position"))
+    got = Mt.match_episodes(rows, rows.withColumn("pos", F.col("pos") * 3), K.EPISODE_FIELDS, block=8192)
+    r = got.agg(F.count("*").alias("n"), F.count_if(F.col("pred.pos") == 3 * F.col("gold.pos")).alias("same")).first()
+    assert (r.n, r.same) == (50_000, 50_000)
 
 
 def test_responses(spark):

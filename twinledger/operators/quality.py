@@ -6,77 +6,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from twinledger import constants as K
 from twinledger.functions import dates as D, text as T
-from twinledger.functions.ordered import has_large_key
-
-# matching walks one person's records in order, each step depending on the last, so a person must fit one task
-MATCH_BOUND = 20_000
 
 
 def _ratio(a: Column, b: Column) -> Column:
     return F.when(b > 0, a / b).otherwise(F.lit(0.0))
 
 
-def greedy_pairs(gold: Column, pred: Column, score, accept) -> Column:
-    """Array of struct(g, p) positions: each gold element, in order, takes the free element with the best score.
-
-    The first wins among equals; ``accept(score)`` must hold, else p is null.  ``gold`` and ``pred`` are arrays.
-    """
-    start = F.struct(F.array().cast("array<int>").alias("used"), F.array().cast("array<struct<g:int,p:int>>").alias("out"))
-
-    def step(acc: Column, g: Column) -> Column:
-        free = F.filter(F.transform(pred, lambda p, i: F.struct(score(g, p).alias("s"), (-i).alias("i"))),
-                        lambda x: ~F.array_contains(acc["used"], -x["i"]))
-        best = F.array_max(free)
-        hit = F.coalesce(accept(best["s"]), F.lit(False))
-        n = F.size(acc["out"])
-        return F.struct(
-            F.when(hit, F.array_append(acc["used"], -best["i"])).otherwise(acc["used"]).alias("used"),
-            F.array_append(acc["out"], F.struct(n.alias("g"), F.when(hit, -best["i"]).alias("p"))).alias("out"))
-
-    return F.aggregate(gold, start, step, lambda acc: acc["out"])
-
-
-
-def match_episodes(gold: DataFrame, pred: DataFrame, fields: list[str] = K.EPISODE_FIELDS, weighted: bool = False,
-                   large: bool | None = None) -> DataFrame:
-    """(name, g_no, gold, pred): greedy matching on the characters of the unit, per person in ``pos`` order.
-
-    Default: unit similarity of at least 0.3.  ``weighted``: 0.6 unit + 0.4 position, strictly above 0.3, and the
-    pred rows left over come out with a null gold.  A person above ``MATCH_BOUND`` records is refused.
-    """
-    if large is None:
-        large = has_large_key(gold.select("name").unionByName(pred.select("name")), ["name"], MATCH_BOUND)
-    if large:
-        raise ValueError(f"matching is sequential per person; someone has more than {MATCH_BOUND} records")
-
-    def grouped(df: DataFrame, out: str) -> DataFrame:
-        e = F.struct(F.col("pos"), *fields)
-        return df.groupBy("name").agg(F.sort_array(F.collect_list(e)).alias(out))
-
-    j = grouped(gold, "g").join(grouped(pred, "p"), "name", "full_outer" if weighted else "left")
-    keys = ["unit", "position"] if weighted else ["unit"]
-    norm = (lambda c: F.coalesce(c, F.lit(""))) if weighted else T.eval_norm
-    sets = lambda arr: F.transform(F.coalesce(arr, F.array()), lambda e: F.struct(*[T.char_set(norm(e[k])).alias(k) for k in keys]))
-    # arrays of character sets once per person; the generator keeps them from being rebuilt per comparison
-    j = j.select("name", F.inline(F.array(F.struct("g", "p", sets(F.col("g")).alias("gs"), sets(F.col("p")).alias("ps")))))
-    if weighted:
-        empty_aware = lambda a, b: F.coalesce(F.size(F.array_intersect(a, b)) / F.greatest(F.size(F.array_union(a, b)), F.lit(1)), F.lit(0.0))
-        score = lambda a, b: empty_aware(a["unit"], b["unit"]) * 0.6 + empty_aware(a["position"], b["position"]) * 0.4
-        accept = lambda s: s > 0.3
-    else:
-        score = lambda a, b: T.set_jaccard(a["unit"], b["unit"])
-        accept = lambda s: s >= 0.3
-    j = j.withColumn("m", greedy_pairs(F.col("gs"), F.col("ps"), score, accept))
-    hits = j.select("name", "g", "p", F.explode("m").alias("x")).select(
-        "name", (F.col("x.g") + 1).alias("g_no"), F.try_element_at("g", F.col("x.g") + 1).alias("gold"),
-        F.try_element_at("p", F.col("x.p") + 1).alias("pred"))
-    if not weighted:
-        return hits
-    left = j.select("name", F.col("p"), F.transform("m", lambda x: x["p"]).alias("used")).select(
-        "name", F.posexplode("p").alias("i", "pred"), "used").filter(~F.coalesce(F.array_contains("used", F.col("i")), F.lit(False)))
-    return hits.unionByName(left.select("name", F.lit(None).cast("int").alias("g_no"), F.lit(None).cast(hits.schema["gold"].dataType).alias("gold"), "pred"))
-
-
 def step1_scores(gold: DataFrame, pred: DataFrame, matched: DataFrame, fields: list[str] = ("unit", "position", "start", "end")) -> DataFrame:
     """Per person: gold, predicted and matched counts, recall, precision, F1 and correct counts per field."""
     eq = [F.count_if(T.eval_norm(F.col(f"gold.{f}")) == F.when(F.col("pred").isNull(), "").otherwise(T.eval_norm(F.col(f"pred.{f}")))).alias(f"{f}_ok") for f in fields]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from twinledger import constants as K
-from twinledger.operators import legacy as Lg, quality as Ql, reconcile as R
+from twinledger.operators import legacy as Lg, matching as Mt, quality as Ql, reconcile as R
 from twinledger.plans import bindings as B, q_reconcile as QR, sqltext as S
 from twinledger.plans.registry import query
 from twinledger.sources import readers
@@ -82,34 +82,85 @@ def a1(spark, sf):
     return R.with_line_keys(e, pos="n").select("name", "k1", "k2", "line_pos", "line_zero")
 
 
-# ---- matching (sequential by definition: no SQL; tests compare with brute force)
+# ---- matching: the oracle walks each person's records in a recursive CTE, with a list of what is taken
+
+def _set(x: str) -> str:
+    return f"list_sort(list_distinct(list_filter(string_split({x}, ''), lambda c: c <> '')))"
+
+
+def _alike(x: str, y: str, empty: str) -> str:
+    both = f"len(list_intersect({x}, {y}))"
+    return f"CASE WHEN len({x}) + len({y}) = 0 THEN {empty} ELSE {both} / (len({x}) + len({y}) - {both}) END"
+
+
+def _matching(weighted: bool) -> str:
+    """CTEs that end in `m` (name, g_no, p_no): what each gold takes, and the preds left over if weighted."""
+    score = f"{_alike('g.us', 'p.us', '0.0')} * 0.6::DOUBLE + {_alike('g.vs', 'p.vs', '0.0')} * 0.4::DOUBLE" if weighted else _alike("g.us", "p.us", "1.0")
+    extra = "UNION ALL SELECT name, NULL, pos FROM p ANTI JOIN hits ON hits.name = p.name AND hits.p_no = p.pos" if weighted else ""
+    return f"""
+g AS MATERIALIZED (SELECT *, {_set('unit')} AS us, {_set('position')} AS vs FROM a),
+p AS MATERIALIZED (SELECT *, {_set('unit')} AS us, {_set('position')} AS vs FROM b),
+scored AS (SELECT g.name, g.pos AS g_no, p.pos AS p_no, {score} AS s FROM g JOIN p ON g.name = p.name),
+liked AS MATERIALIZED (SELECT name, g_no, list(p_no ORDER BY s DESC, p_no) AS preds FROM scored WHERE s {'> 0.3::DOUBLE' if weighted else '>= 0.3::DOUBLE'} GROUP BY name, g_no),
+turns AS MATERIALIZED (SELECT g.name, g.pos AS g_no, coalesce(preds, []) AS preds FROM g LEFT JOIN liked ON liked.name = g.name AND liked.g_no = g.pos),
+walk AS (
+  SELECT DISTINCT name, 0::BIGINT AS g_no, []::BIGINT[] AS used, NULL::BIGINT AS p_no FROM turns
+  UNION ALL
+  SELECT name, g_no, CASE WHEN p_no IS NULL THEN used ELSE list_append(used, p_no) END, p_no
+  FROM (SELECT t.name, t.g_no, w.used, list_filter(t.preds, lambda x: NOT list_contains(w.used, x))[1] AS p_no FROM walk w JOIN turns t ON t.name = w.name AND t.g_no = w.g_no + 1) n),
+hits AS MATERIALIZED (SELECT name, g_no, p_no FROM walk WHERE g_no > 0),
+m AS MATERIALIZED (SELECT name, CAST(g_no AS INTEGER) AS g_no, p_no FROM hits {extra})"""
+
+
+MATCHED = B.EPISODES_WITH.replace("WITH ", "WITH RECURSIVE ", 1) + ","
+UNITS = "SELECT m.name, m.g_no, a.unit AS gold_unit, b.unit AS pred_unit FROM m LEFT JOIN a ON a.name = m.name AND a.pos = m.g_no LEFT JOIN b ON b.name = m.name AND b.pos = m.p_no"
+_SAME = {f: f"""CAST(count(*) FILTER (trim(a."{f}") = coalesce(trim(b."{f}"), '')) AS BIGINT) AS {f}_ok""" for f in ("unit", "position", "start", "end")}
+SCORES = f"""s AS MATERIALIZED (SELECT m.name, count(*) AS n_gold, count(m.p_no) AS matched, {', '.join(_SAME.values())}
+  FROM m JOIN a ON a.name = m.name AND a.pos = m.g_no LEFT JOIN b ON b.name = m.name AND b.pos = m.p_no GROUP BY m.name),
+n AS (SELECT name, count(*) AS n_pred FROM b GROUP BY name),
+r AS (SELECT s.*, coalesce(n_pred, 0) AS n_pred, matched / n_gold AS recall, CASE WHEN coalesce(n_pred, 0) > 0 THEN matched / n_pred ELSE 0.0 END AS precision FROM s LEFT JOIN n USING (name)),
+step1 AS MATERIALIZED (SELECT *, CASE WHEN recall + precision > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM r)"""
+
 
 def _matched(spark, sf):
-    return Ql.match_episodes(B.episodes_a(spark, sf), B.episodes_b(spark, sf))
+    return Mt.match_episodes(B.episodes_a(spark, sf), B.episodes_b(spark, sf), K.EPISODE_FIELDS)
 
 
-@query("j13_greedy_match")
+@query("j13_greedy_match", MATCHED + _matching(False) + " " + UNITS)
 def j13(spark, sf):
     return _matched(spark, sf).select("name", "g_no", F.col("gold.unit").alias("gold_unit"), F.col("pred.unit").alias("pred_unit"))
 
 
-@query("j14_weighted_match")
+@query("j14_weighted_match", MATCHED + _matching(True) + " " + UNITS)
 def j14(spark, sf):
-    m = Ql.match_episodes(B.episodes_a(spark, sf), B.episodes_b(spark, sf), weighted=True)
+    m = Mt.match_episodes(B.episodes_a(spark, sf), B.episodes_b(spark, sf), K.EPISODE_FIELDS, weighted=True)
     return m.select("name", "g_no", F.col("gold.unit").alias("gold_unit"), F.col("pred.unit").alias("pred_unit"))
 
 
-@query("a10_step1_scores")
+@query("a10_step1_scores", MATCHED + _matching(False) + "," + SCORES + " SELECT * FROM step1")
 def a10(spark, sf):
     return Ql.step1_scores(B.episodes_a(spark, sf), B.episodes_b(spark, sf), _matched(spark, sf))
 
 
-@query("f12_legacy_compare")
+TAG_A = "CASE WHEN {e}.k1 % 3 = 0 THEN 'a' ELSE 'b' END"
+TAG_B = "CASE WHEN {e}.k2 % 4 = 0 THEN 'c' WHEN {e}.k1 % 3 = 0 THEN 'a' ELSE 'b' END"
+_YEARS = {x: f"coalesce({S.frac_year(f'{x}.start')}, -1.0)" for x in ("a", "b")}
+LEGACY_DIFFS = f"""both_ AS MATERIALIZED (SELECT m.name, m.g_no, m.p_no, a.start AS sa, b.start AS sb, {_YEARS['a']} AS fa, {_YEARS['b']} AS fb, {TAG_A.format(e='a')} AS ta, {TAG_B.format(e='b')} AS tb,
+  a.unit AS ua, b.unit AS ub FROM m LEFT JOIN a ON a.name = m.name AND a.pos = m.g_no LEFT JOIN b ON b.name = m.name AND b.pos = m.p_no),
+counts AS (SELECT name, count(*) FILTER (side = 'a') AS n_a, count(*) FILTER (side = 'b') AS n_b FROM (SELECT name, 'a' AS side FROM a UNION ALL SELECT name, 'b' FROM b) GROUP BY name),
+gaps AS (SELECT *, CASE WHEN fa < 0 OR fb < 0 THEN 0.0 ELSE abs(fa - fb) END AS years FROM both_ WHERE g_no IS NOT NULL AND p_no IS NOT NULL)
+SELECT name, 'count' AS field, CAST(n_a AS VARCHAR) AS value_a, CAST(n_b AS VARCHAR) AS value_b, CASE WHEN abs(n_a - n_b) > 4 THEN 'HIGH' ELSE 'MEDIUM' END AS level FROM counts WHERE abs(n_a - n_b) > 2
+UNION ALL SELECT name, 'start', sa, sb, CASE WHEN years > 2 THEN 'HIGH' ELSE 'MEDIUM' END FROM gaps WHERE years > 1
+UNION ALL SELECT name, 'org_tag', ta, tb, 'MEDIUM' FROM gaps WHERE ta <> tb
+UNION ALL SELECT name, 'unmatched', ua, ub, NULL FROM both_ WHERE g_no IS NULL OR p_no IS NULL"""
+
+
+@query("f12_legacy_compare", MATCHED + _matching(True) + "," + LEGACY_DIFFS)
 def f12(spark, sf):
     tag = F.when(F.col("k1") % 3 == 0, "a").otherwise("b")
     a = B.episodes_a(spark, sf).withColumn("org_tag", tag)
     b = B.episodes_b(spark, sf).withColumn("org_tag", F.when(F.col("k2") % 4 == 0, "c").otherwise(tag))
-    m = Ql.match_episodes(a, b, ["start", "unit", "position", "org_tag"], weighted=True)
+    m = Mt.match_episodes(a, b, ["start", "unit", "position", "org_tag"], weighted=True)
     n = (a.select("name", F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(b.select("name", F.lit(0).alias("a"), F.lit(1).alias("b")))
          .groupBy("name").agg(F.sum("a").alias("n_a"), F.sum("b").alias("n_b")))
     return Ql.compare_legacy(m, n)
@@ -182,7 +233,9 @@ def a12(spark, sf):
     return Ql.leaderboard_classes(acc)
 
 
-@query("a12_extraction_leaderboard")
+@query("a12_extraction_leaderboard", MATCHED + _matching(False) + "," + SCORES + "," + LABEL_ACC.removeprefix("WITH ").removeprefix(B.EPISODES_WITH.removeprefix("WITH ")) + """,
+per AS (SELECT name % 4 AS model, avg(f1) AS f1, avg(recall) AS recall FROM step1 GROUP BY 1), acc AS (SELECT model, sum(correct) / sum(total) AS label_acc FROM lab GROUP BY model)
+SELECT model, label_acc, coalesce(f1, 0) AS f1, coalesce(recall, 0) AS recall, (label_acc + coalesce(f1, 0)) / 2 AS score FROM acc LEFT JOIN per USING (model)""")
 def a12x(spark, sf):
     s1 = Ql.step1_scores(B.episodes_a(spark, sf), B.episodes_b(spark, sf), _matched(spark, sf)).withColumn("model", F.col("name") % 4)
     return Ql.leaderboard_extraction(s1, _labels(spark, sf))
