@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from twinledger import constants as K
+from twinledger import constants as K, manuals
 from twinledger.functions import dates as D, text as T
 from twinledger.operators import biography as Bio, flatten as X, labels as Lb, matching as Mt, merge as M, pages as Pg, panel as P, quality as Ql, queue as Q, reconcile as R, roster as L
 from twinledger.sources import readers, sinks
@@ -335,5 +335,25 @@ def test_upsert_and_claims(spark):
 
 
 def test_rules(spark):
-    df = spark.createDataFrame([("中共浙江省委", "副书记"), ("浙江省政府", "省长"), ("某地", "工人")], "u string, p string")
-    assert [r[0] for r in df.select(Lb.rule_classify(F.col("u"), F.col("p"), Lb.FLAG_RULES)).collect()] == ["省委副书记（非省长）", "省长", None]
+    df = spark.createDataFrame([("中共浙江省委", "副书记", None), ("浙江省政府", "省长", None), ("某地", "工人", None), (None, None, None), ("北京大学", "校长", "副部级")], "u string, p string, l string")
+    got = Lb.classify_by_rules(df, manuals.class_rules(spark), "u", "p", "l").collect()
+    assert [r.flag for r in got] == ["省委副书记（非省长）", "省长", None, None, "高校/党校任职"]
+    assert [r["rank"] for r in got] == ["副部级", "正部级", None, None, "副部级"]
+    assert [r["rank"] for r in Lb.classify_by_rules(df, manuals.class_rules(spark), "u", "p").collect()][-1] is None
+    with pytest.raises(ValueError):
+        Lb.classify_by_rules(df, manuals.class_rules(spark), "u", "p", most=3)
+
+
+def test_unit_rules_against_every_name(spark):
+    """Thousands of names, some of one character, some within others, against looking for each."""
+    rnd = random.Random(8)
+    word = lambda n: "".join(rnd.choice("甲乙丙丁戊己") for _ in range(n))
+    rules = [(i, word(rnd.randint(1, 5)), f"t{i}", None, None, rnd.choice([None, 1990]), rnd.choice([None, 2000])) for i in range(3000)]
+    eps = [(word(rnd.randint(0, 9)), rnd.choice(["1989.01", "1995.03", "2001", ""])) for _ in range(400)] + [(None, "1995")]
+    df = spark.createDataFrame([(u, s, i) for i, (u, s) in enumerate(eps)], "unit string, start string, i int")
+    got = {r.i: r.unit_tag for r in Lb.unit_rules(df, spark.createDataFrame(rules, manuals.UNIT_SCHEMA)).collect()}
+    assert len(got) == len(eps)
+    for i, (u, s) in enumerate(eps):
+        y = int(s[:4]) if s else None
+        ok = [r for r in rules if u and r[1] in u and (r[5] is None or (y and y >= r[5])) and (r[6] is None or (y and y <= r[6]))]
+        assert got[i] == (min(ok, key=lambda r: (-len(r[1]), r[0]))[2] if ok else None)

@@ -12,69 +12,69 @@ from twinledger import constants as K
 from twinledger.functions import dates as D, text as T
 from twinledger.functions.ordered import CHUNK_ROWS, following
 
-# fixed values: rules in order; (value, unit pattern, position pattern, position exclusion)
-FLAG_RULES = [
-    ("学习进修", "", "本科生|研究生|进修学员|访问学者|留学", ""),
-    ("政治局常委", "政治局", "常委|常务委员", ""),
-    ("政治局委员", "政治局", "委员", ""),
-    ("省组织部副部长", "省委组织部", "副部长", ""),
-    ("省组织部长", "省委组织部", "部长", "副"),
-    ("市组织部长", "市委组织部", "部长", "副"),
-    ("省委书记", "省委|自治区党委", "书记", "副书记|秘书|常委"),
-    ("省委副书记（非省长）", "省委|自治区党委", "副书记", ""),
-    ("省常委（其他）", "省委|自治区党委", "常委", "书记"),
-    ("市委书记", "市委", "书记", "副书记|秘书|常委"),
-    ("市委副书记（非市长）", "市委", "副书记", ""),
-    ("市常委（其他）", "市委", "常委", "书记"),
-    ("副省长（非常委）", "省政府|自治区政府|省人民政府", "副省长|副主席", ""),
-    ("省长", "省政府|自治区政府|省人民政府", "省长|主席", "副"),
-    ("副市长（非常委）", "市政府|市人民政府", "副市长", ""),
-    ("市长", "市政府|市人民政府", "市长", "副"),
-    ("高校/党校任职", "大学|学院|党校", "教授|校长|院长|讲师|教师", ""),
-    ("军队", "军委|战区|军区", "", ""),
-]
-CENTRAL_RULES = [("中央", "^(中共中央|国务院|全国人大|全国政协|最高人民)", "", ""), ("地方", "[省市县区州盟旗]", "", "")]
-RANK_RULES = [
-    ("无", "", "本科生|研究生", ""), ("正部级", "", "(^|[、，,])(省长|省委书记)", ""), ("副部级", "省委", "常委", ""),
-    ("副部级", "", "副省长", ""), ("副厅级", "市委", "常委", ""), ("正国级", "政治局", "常委", ""),
-]
-# fixed values: unit names and the tag or level they carry, with optional years of validity
-UNIT_RULES = [
-    ("南京农业大学", "部属高校（非教育部）", None, 1999), ("南京农业大学", "教育部直属高校", 2000, None),
-    ("北京理工大学", "部属高校（非教育部）", None, None), ("大学", "地方属高校", None, None),
-]
-
-
-def rule_classify(unit: Column, position: Column, rules: list[tuple]) -> Column:
-    """Value of the first rule that matches, else null."""
-    out = None
-    for value, u, p, no in rules:
+# a rule table is written by people; one of more rules is taken for a mistake
+MOST_RULES = 2_000
+
+
+def classify_by_rules(rows: DataFrame, rules: DataFrame, unit: str = "unit", position: str = "position", level: str | None = None, most: int = MOST_RULES) -> DataFrame:
+    """Adds a column for each ``kind`` of the rules: the value of the first rule by ``ord`` that holds, else null.
+
+    ``rules``: kind, ord, value and the patterns level, unit, position, exclude (for the position), null or empty for
+    any.  ``level`` names a column of the unit's level; without it, rules that ask for a level do not hold.  Null texts
+    count as empty.  Rules are read once, their number is checked, and their patterns become constants of one
+    expression, compiled once per task; more than ``most`` are refused.
+    """
+    found = rules.orderBy("kind", "ord").limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} rules")
+    texts = {"unit": unit, "position": position, "exclude": position} | ({"level": level} if level else {})
+    out = {}
+    for r in found:
         hit = F.lit(True)
-        if u:
-            hit = hit & unit.rlike(u)
-        if p:
-            hit = hit & position.rlike(p)
-        if no:
-            hit = hit & ~position.rlike(no)
-        out = F.when(hit, value) if out is None else out.when(hit, value)
-    return out
+        for field, pattern in ((f, r[f]) for f in ("level", "unit", "position", "exclude") if r[f]):
+            if field not in texts:
+                hit = F.lit(False)
+                continue
+            match = F.coalesce(F.col(texts[field]), F.lit("")).rlike(pattern)
+            hit = hit & (~match if field == "exclude" else match)
+        out[r["kind"]] = out[r["kind"]].when(hit, r["value"]) if r["kind"] in out else F.when(hit, r["value"])
+    return rows.withColumns(out)
 
 
-def unit_rules(eps: DataFrame, rules: list[tuple] = UNIT_RULES) -> DataFrame:
-    """Adds ``unit_tag``: the rule with the longest name contained in the unit and valid in the start year.
+def unit_names(texts: DataFrame, rules: DataFrame) -> DataFrame:
+    """(unit, names): for distinct texts ``unit``, the rules whose ``unit_name`` they contain, longest first, then by ord.
 
-    The rule list is a literal of known size, so it rides inside the expression.
+    A name is found by its rarest two characters: a text is cut into all its pieces of two, which meet the names by
+    equality; only then is the whole name looked for.  Names of one character are found by that character.
+    """
+    def pieces(c: str, least: int) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.char_length(c)), lambda i: F.substr(F.col(c), i, F.lit(2)))
+        return F.array_distinct(F.filter(each, lambda p: F.char_length(p) >= least))
+
+    named = rules.filter(F.coalesce("unit_name", F.lit("")) != "")
+    keys = F.when(F.char_length("unit_name") == 1, F.array("unit_name")).otherwise(pieces("unit_name", 2))
+    piece = named.select("unit_name", "ord", F.explode(keys).alias("piece"))
+    common = piece.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    rarest = piece.join(common, "piece").groupBy("unit_name", "ord").agg(F.min_by("piece", F.struct("n", "piece")).alias("piece"))
+    known = named.join(rarest, ["unit_name", "ord"])
+    cut = texts.filter("unit is not null and unit <> ''").withColumn("piece", F.explode(F.array_distinct(F.concat(pieces("unit", 1), F.split("unit", "")))))
+    met = cut.join(known, "piece").filter(F.contains("unit", "unit_name"))
+    rule = F.struct((-F.char_length("unit_name")).alias("shorter"), "ord", "unit_name", "tag", "level", "central", "first_year", "last_year")
+    return met.groupBy("unit").agg(F.sort_array(F.collect_set(rule)).alias("names"))
+
+
+def unit_rules(eps: DataFrame, rules: DataFrame) -> DataFrame:
+    """Adds unit_tag, unit_level, unit_central: of the rule with the longest name contained in the unit and valid in the start year.
+
+    ``rules``: ord, unit_name, tag, level, central, first_year, last_year (null: no bound).  A rule with a bound does
+    not hold without a year.  Names are looked for in distinct units, so work grows with these and with the rules that
+    share a piece with them, not with rows times rules.
     """
     year = D.parse_year(F.col("start"))
-    hits = []
-    for i, (name, tag, first, last) in enumerate(rules):
-        ok = F.contains(F.col("unit"), F.lit(name))
-        if first is not None:
-            ok = ok & (year >= first)
-        if last is not None:
-            ok = ok & (year <= last)
-        hits.append(F.when(ok, F.struct(F.lit(len(name)).alias("n"), F.lit(-i).alias("o"), F.lit(tag).alias("tag"))))
-    return eps.withColumn("unit_tag", F.array_max(F.array_compact(F.array(*hits)))["tag"])
+    valid = lambda r: (r["first_year"].isNull() | F.coalesce(year >= r["first_year"], F.lit(False))) & (r["last_year"].isNull() | F.coalesce(year <= r["last_year"], F.lit(False)))
+    j = eps.join(unit_names(eps.select("unit").distinct(), rules), "unit", "left")
+    j = j.withColumn("_rule", F.try_element_at(F.filter("names", valid), F.lit(1)))
+    return j.select(*[eps[c] if c == "unit" else F.col(c) for c in eps.columns], *[F.col(f"_rule.{c}").alias(f"unit_{c}") for c in ("tag", "level", "central")])
 
 
 def rule_check(rows: DataFrame, keys: list[str]) -> DataFrame:

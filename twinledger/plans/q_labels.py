@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from twinledger import constants as K
+from twinledger import constants as K, manuals
 from twinledger.operators import audit as A, labels as Lb, pages as Pg
 from twinledger.plans import bindings as B, sqltext as S
 from twinledger.plans.registry import query
@@ -28,19 +28,38 @@ def _posts(spark, sf):
     return B.recipe(spark, sf, POSTS.replace('"end"', "`end`") + "{a}", a=a)
 
 
-def _rules(rules):
-    out = "CASE "
-    for v, u, p, no in rules:
-        c = [f"regexp_matches(unit, '{u}')" if u else "", f"regexp_matches(position, '{p}')" if p else "", f"NOT regexp_matches(position, '{no}')" if no else ""]
-        out += f"WHEN {' AND '.join(x for x in c if x)} THEN '{v}' "
-    return out + "END"
+# units of both manuals, some within longer names, some with other names or years
+UNITS = ["北京大学光华管理学院", "中国矿业大学（北京）", "中国科学院大学", "南京农业大学", "西安交通大学电气学院", "中国纺织大学", "哈尔滨工业大学", "郑州大学", "中石油辽宁销售分公司", "国家电网山东省电力公司",
+         "国家电网", "招商局集团", "中国银行", "中国农业发展银行", "中国农业银行浙江省分行", "中信集团", "一汽", "中国铁道建筑集团", "中铁建", "某集团", "中央党校", "浙江省委党校", "", "浙江省政府", "中共杭州市委", "国务院", "中共中央政治局", "南京军区", "宁波市人民政府", "外交学院"]
+TITLES = ["校长", "常务副校长", "副校长", "董事长", "总经理", "副总经理", "书记", "副书记", "常委", "省长", "市长", "副市长", "研究生", "教授", "处长", "系主任", "秘书", "秘书长", "委员", "讲师"]
+_pick = lambda k, names: f"CASE {k} % {len(names)} " + " ".join(f"WHEN {i} THEN {S.q(n)}" for i, n in enumerate(names)) + " END"
+STAFF = f"""SELECT name, source_line, k1, k2, CASE WHEN k1 % 31 = 0 THEN '' ELSE concat(CAST(1985 + k2 % 30 AS VARCHAR(4)), '.09') END AS start, {_pick('k1', UNITS)} AS unit, {_pick('k2', TITLES)} AS position FROM """
+_value = lambda v: "NULL" if v is None else str(v) if isinstance(v, int) else S.q(v)
+UNIT_TABLE = "(VALUES " + ", ".join(f"({', '.join(map(_value, r))})" for r in manuals.unit_rows()) + ") AS r(ord, unit_name, tag, level, central, first_year, last_year)"
+STAFFED = f"""WITH a AS ({B.DUCK_A}), e AS MATERIALIZED ({STAFF} a), u AS (SELECT DISTINCT unit, TRY_CAST(substring(start, 1, 4) AS INT) AS y FROM e),
+known AS (SELECT unit, y, tag, level, central FROM u JOIN {UNIT_TABLE} ON contains(unit, unit_name) AND (first_year IS NULL OR y >= first_year) AND (last_year IS NULL OR y <= last_year)
+  QUALIFY row_number() OVER (PARTITION BY unit, y ORDER BY length(unit_name) DESC, r.ord) = 1),
+s AS MATERIALIZED (SELECT e.*, tag AS unit_tag, level AS unit_level, central AS unit_central FROM e LEFT JOIN known ON known.unit = e.unit AND known.y IS NOT DISTINCT FROM TRY_CAST(substring(e.start, 1, 4) AS INT))"""
 
 
-@query("p34_rule_classify", PW + f" SELECT name, source_line, k1, k2, {_rules(Lb.FLAG_RULES)} AS flag, {_rules(Lb.CENTRAL_RULES)} AS central, {_rules(Lb.RANK_RULES)} AS rank FROM e")
+def _rule_case(kind):
+    """The rules of one kind as a CASE over s; regular expressions match anywhere, as in Spark."""
+    fields = {"level": "coalesce(unit_level, '')", "unit": "unit", "position": "position", "exclude": "position"}
+    whens = []
+    for _, _, value, *patterns in (r for r in manuals.rule_rows() if r[0] == kind):
+        tests = [f"{'NOT ' if f == 'exclude' else ''}regexp_matches({x}, {S.q(p)})" for (f, x), p in zip(fields.items(), patterns) if p]
+        whens.append(f"WHEN {' AND '.join(tests)} THEN {S.q(value)}")
+    return f"CASE {' '.join(whens)} END AS {kind}"
+
+
+def _staff(spark, sf):
+    a = B.episodes_a(spark, sf)
+    return Lb.unit_rules(B.recipe(spark, sf, STAFF + "{a}", a=a), manuals.unit_rules(spark))
+
+
+@query("p34_rule_classify", STAFFED + f" SELECT name, source_line, k1, k2, {', '.join(map(_rule_case, manuals.RULES))} FROM s")
 def p34(spark, sf):
-    u, p = F.col("unit"), F.col("position")
-    return _posts(spark, sf).select("name", "source_line", "k1", "k2", Lb.rule_classify(u, p, Lb.FLAG_RULES).alias("flag"),
-                                    Lb.rule_classify(u, p, Lb.CENTRAL_RULES).alias("central"), Lb.rule_classify(u, p, Lb.RANK_RULES).alias("rank"))
+    return Lb.classify_by_rules(_staff(spark, sf), manuals.class_rules(spark), level="unit_level").select("name", "source_line", "k1", "k2", *manuals.RULES)
 
 
 @query("p35_rule_check", PW + f""" SELECT name, source_line, k1, k2, 'city_not_empty' AS violation FROM e WHERE ({S.one_of('flag', K.PROVINCE_FLAGS)} OR {S.one_of('org_tag', K.CENTRAL_TAGS)}) AND city <> ''
@@ -50,10 +69,9 @@ def p35(spark, sf):
     return Lb.rule_check(_posts(spark, sf), ["name", "source_line", "k1", "k2"])
 
 
-@query("j16_unit_rules", PW + """ SELECT name, source_line, k1, k2, CASE WHEN contains(unit, '南京农业大学') THEN CASE WHEN CAST(substring(start, 1, 4) AS INT) <= 1999 THEN '部属高校（非教育部）' ELSE '教育部直属高校' END
-  WHEN contains(unit, '北京理工大学') THEN '部属高校（非教育部）' WHEN contains(unit, '大学') THEN '地方属高校' END AS unit_tag FROM e""")
+@query("j16_unit_rules", STAFFED + " SELECT name, source_line, k1, k2, unit_tag, unit_level, unit_central FROM s")
 def j16(spark, sf):
-    return Lb.unit_rules(_posts(spark, sf)).select("name", "source_line", "k1", "k2", "unit_tag")
+    return _staff(spark, sf).select("name", "source_line", "k1", "k2", "unit_tag", "unit_level", "unit_central")
 
 
 @query("w8_concurrent_flags", PW + """ SELECT name, source_line, k1, k2, CASE WHEN flag = '省委副书记（非省长）' AND bool_or(flag = '省长') OVER w THEN '省委副书记（省长）'
