@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from twinledger import constants as K, manuals
 from twinledger.functions import dates as D, text as T
 from twinledger.operators import biography as Bio, flatten as X, labels as Lb, matching as Mt, merge as M, pages as Pg, panel as P, quality as Ql, queue as Q, reconcile as R, roster as L
-from twinledger.sources import readers, sinks
+from twinledger.sources import readers, sinks, store as Store
 from twinledger.streaming import incremental as I
 
 
@@ -326,6 +326,53 @@ def test_stream_once(spark, tmp_path):
     assert spark.read.parquet(store).count() == 4
 
 
+def stored(spark, path):
+    return sorted((r.name, r.result) for r in Store.read_store(spark, path).collect())
+
+
+def test_store_is_written_once(spark, tmp_path, monkeypatch):
+    path, s = str(tmp_path / "store"), "name string, result string"
+    first = spark.createDataFrame([("p", "1"), ("q", "2"), ("x", None), (None, "n")], s)
+    second = spark.createDataFrame([("q", "3"), ("r", "4"), ("p", None)], s)
+    assert Store.read_store(spark, path, s).count() == 0
+    assert Store.store_results(first, path, batch="a", buckets=4) and not Store.store_results(first, path, batch="a", buckets=4)
+    assert sorted(r.result for r in Store.read_store(spark, path).collect()) == ["1", "2", "n"]
+    files = {f: f.stat().st_mtime_ns for f in (tmp_path / "store").rglob("*.parquet")}
+
+    def lost(*_):
+        raise RuntimeError("the driver is lost after the data and before the commit")
+
+    with monkeypatch.context() as m:
+        m.setattr(Store, "_buckets_in", lost)
+        with pytest.raises(RuntimeError):
+            Store.store_results(second, path, batch="b", buckets=4)
+    assert sorted(r.result for r in Store.read_store(spark, path).collect()) == ["1", "2", "n"]
+    assert Store.store_results(second, path, batch="b", buckets=4) and not Store.store_results(second, path, batch="b", buckets=4)
+    assert sorted(r.result for r in Store.read_store(spark, path).collect()) == ["1", "3", "4", "n"]
+    assert {f: f.stat().st_mtime_ns for f in files} == files  # what earlier versions wrote stays as it is
+    touched = {r.bucket for r in Store.commits(spark, path).filter("batch = 'b'").collect()}
+    assert touched == {r.b for r in second.filter("result is not null").select(F.pmod(F.xxhash64("name"), F.lit(4)).alias("b")).collect()}
+    assert not Store.store_results(first.limit(0), path, batch="c", buckets=4)
+
+
+def test_stream_into_store(spark, tmp_path):
+    src, path, ck = (str(tmp_path / x) for x in ("in", "store", "ck"))
+    schema = "name string, result string"
+    run = lambda: I.stream_to_store(spark, src, schema, path, ck, files=1).awaitTermination()
+    spark.createDataFrame([("p", "1"), ("q", "2")], schema).coalesce(1).write.parquet(src)
+    run()
+    spark.createDataFrame([("q", "3"), ("r", "4")], schema).coalesce(1).write.mode("append").parquet(src)
+    run()
+    assert stored(spark, path) == [("p", "1"), ("q", "3"), ("r", "4")]
+    # the stream dies after the batch is stored and before it notes that: the batch comes again
+    last = max((f for f in (tmp_path / "ck" / "commits").iterdir() if f.name.isdigit()), key=lambda f: int(f.name))
+    for f in (last, last.with_name(f".{last.name}.crc")):
+        f.unlink(missing_ok=True)
+    n = Store.commits(spark, path).count()
+    run()
+    assert stored(spark, path) == [("p", "1"), ("q", "3"), ("r", "4")] and Store.commits(spark, path).count() == n
+
+
 def test_upsert_and_claims(spark):
     s = "name string, v int"
     old, new = spark.createDataFrame([("p", 1), ("q", 2)], s), spark.createDataFrame([("q", 3), ("r", 4)], s)

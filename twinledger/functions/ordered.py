@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 CHUNK_ROWS = 1_000_000
 PART_ROWS = 100_000
@@ -30,16 +30,22 @@ def has_large_key(df: DataFrame, keys: list[str], bound: int = CHUNK_ROWS) -> bo
     return not df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > bound).isEmpty()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the session names; one of this machine only if all runs on it and none is named."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder the session names; one of this machine only if all runs on it and none is named."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None)
         if named is None:
             if not sc.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             named = tempfile.mkdtemp(prefix="spark-")
         sc.setCheckpointDir(named)
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

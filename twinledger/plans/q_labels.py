@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from twinledger import constants as K, manuals
+from twinledger.functions.ordered import shared_folder
 from twinledger.operators import audit as A, labels as Lb, pages as Pg
 from twinledger.plans import bindings as B, sqltext as S
 from twinledger.plans.registry import query
+from twinledger.sources import store as Store
 from twinledger.streaming import incremental as I
 
 # ---- one post per lineitem row, with texts the rules can read
@@ -225,3 +229,44 @@ def u4(spark, sf):
 @query("u5_keep_first", BOTH.format("ASC"))
 def u5(spark, sf):
     return I.keep_first(B.recipe(spark, sf, OLD), B.recipe(spark, sf, NEW), ["name"], "seq")
+
+
+# ---- the result store, filled by batches and by a stream of files
+
+RESULTS = "SELECT o_custkey AS name, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE concat('r', o_orderkey) END AS result, o_orderkey AS seq FROM {orders}"
+PARTS = ["o_orderkey % 5 < 3", "o_orderkey % 5 = 3", "o_orderkey % 5 = 4"]
+# the last part that has a result of the name, and in it the largest seq
+STORED = "WITH u AS (" + " UNION ALL ".join(f"SELECT {i} AS part, * FROM ({B.duck(RESULTS)} WHERE {w}) p" for i, w in enumerate(PARTS)) + """)
+SELECT name, seq, result FROM u WHERE result IS NOT NULL QUALIFY row_number() OVER (PARTITION BY name ORDER BY part DESC, seq DESC) = 1"""
+
+
+def _parts(spark, sf):
+    return [B.recipe(spark, sf, f"{RESULTS} WHERE {w}") for w in PARTS]
+
+
+def _new_folder(spark):
+    return f"{shared_folder(spark)}/store-{uuid.uuid4().hex}"
+
+
+def _as_stored(df):
+    return df.groupBy("name").agg(F.max_by("result", F.when(F.col("result").isNotNull(), F.col("seq"))).alias("result"), F.max(F.when(F.col("result").isNotNull(), F.col("seq"))).alias("seq"))
+
+
+@query("k4_result_store", STORED)
+def k4(spark, sf):
+    path = _new_folder(spark)
+    for i, part in enumerate(_parts(spark, sf)):
+        Store.store_results(part, path, batch=str(i), order="seq")
+        Store.store_results(part, path, batch=str(i), order="seq")  # a rerun adds nothing
+    return Store.read_store(spark, path).select("name", "seq", "result")
+
+
+@query("i1_stream_store", STORED)
+def i1_stream(spark, sf):
+    """Files of three days; the stream is started after each, and once more with nothing new."""
+    path = _new_folder(spark)
+    for i, part in enumerate(_parts(spark, sf)):
+        part.write.parquet(f"{path}/files/day{i}")
+        I.stream_to_store(spark, f"{path}/files/*", part.schema, f"{path}/store", f"{path}/checkpoint", work=_as_stored).awaitTermination()
+    I.stream_to_store(spark, f"{path}/files/*", part.schema, f"{path}/store", f"{path}/checkpoint", work=_as_stored).awaitTermination()
+    return Store.read_store(spark, f"{path}/store").select("name", "seq", "result")

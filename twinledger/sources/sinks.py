@@ -1,4 +1,4 @@
-"""Sinks: final rows, role subsets, review tables, the result store, run reports."""
+"""Sinks: final rows, role subsets, review tables, run reports."""
 
 from __future__ import annotations
 
@@ -23,11 +23,6 @@ def write_review(review: DataFrame, path: str, fmt: str = "parquet") -> None:
     review.write.mode("overwrite").option("header", True).format(fmt).save(path)
 
 
-def store_results(results: DataFrame, path: str, key: str = "name") -> None:
-    """Add results to a store whose batches live in their own folders; placeholders (null results) are left out."""
-    results.filter(F.col("result").isNotNull()).write.mode("append").parquet(path)
-
-
 def write_report(summary: DataFrame, path: str) -> bool:
     """Write a run or failure report as JSON; nothing is written when there is nothing to report."""
     if summary.isEmpty():

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from twinledger.sources import store
+
 
 def incremental(todo: DataFrame, done: DataFrame, key: str = "name", force: bool = False) -> DataFrame:
     """Rows of ``todo`` whose key is not done; each key is claimed once per run."""
@@ -37,6 +39,21 @@ def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
+def stream_to_store(spark: SparkSession, source: str, schema, path: str, checkpoint: str, key: str = "name",
+                    work: Callable[[DataFrame], DataFrame] = lambda df: df, files: int | None = None) -> StreamingQuery:
+    """Process the files that are new since the checkpoint, put the results into the store at ``path``, then stop.
+
+    A batch is stored under the checkpoint and its number: one that is repeated after a crash, whether it was stored before or not, leaves
+    the store as if it had run once.  ``files`` bounds the files of a batch.
+    """
+    def batch(df: DataFrame, number: int) -> None:
+        store.store_results(work(df), path, key, batch=f"{checkpoint} {number}")
+
+    reader = spark.readStream.schema(schema)
+    stream = (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(source)
+    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def stream_files(spark: SparkSession, source: str, schema, store: str, checkpoint: str, partition: str,
                  work: Callable[[DataFrame], DataFrame] = lambda df: df) -> StreamingQuery:
     """Process new files once, write the result of each batch to its own folder of the store, then stop.
