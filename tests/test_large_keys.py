@@ -5,6 +5,8 @@ import os
 import duckdb
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 from twinledger import constants as K
 from twinledger.functions import ordered as O
@@ -38,10 +40,21 @@ def test_large_path(spark, con, name, monkeypatch):
 def test_a_row_carries_all_its_texts(spark):
     n = 250
     routed = spark.range(n).selectExpr("'p' as name", "1L as seq", "id as dpos", "concat('t', id) as text")
-    parts = X.texts_per_row(routed, "judge1", large=True, part_rows=40)
-    assert parts.count() == 7
-    row = X.whole_texts(parts, "judge1").collect()
-    assert [r.judge1 for r in row] == [" | ".join(f"t{i}" for i in range(n))]
+    assert [r.judge1 for r in X.row_texts(routed.repartition(7), "judge1").collect()] == [" | ".join(f"t{i}" for i in range(n))]
+
+
+def test_many_decisions_on_a_line_of_many_rows(spark):
+    """10,000 decisions on a line of 10,000 rows, and a few of single rows that go in between."""
+    n = 10_000
+    e = spark.range(n).selectExpr("'p' as name", "3L as source_line", "id + 1 as seq", "concat('u', id) as unit", "'x' as position", "'1990.01' as start")
+    dec = "'m' as judge_model, '9' as confidence, concat('r', id) as reason"
+    group = spark.range(n).selectExpr("'p' as name", "3L as source_line", "id * 10 as pos", *dec.split(", ", 2))
+    field = spark.range(5).selectExpr("'p' as name", "3L as source_line", "concat('u', id) as unit", "'x' as position", "if(id = 4, 'gone', if(id = 3, '', '1990.01')) as start", "'unit' as field", "id * 10 + 5 as pos", *dec.split(", ", 2))
+    got = X.step1_texts(e, group, field).select("seq", F.size(F.split("judge1", r" \| ")).alias("n"), F.split("judge1", r" \| ").alias("all"))
+    counts = {r.n: r["count"] for r in got.groupBy("n").count().collect()}
+    assert counts == {n: n - 5, n + 1: 5}
+    row = got.filter("seq = 3").first()["all"]
+    assert row[:6] == [row[0], row[1], row[2], row[3], row[4], row[5]] and "r2" in row[2] and "r2" in row[3] and "r3" in row[4]
 
 
 @pytest.mark.parametrize("large", [True, False])

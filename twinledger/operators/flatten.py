@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from twinledger import constants as K
 from twinledger.functions import dates as D, text as T
-from twinledger.functions.ordered import CHUNK_ROWS, PART_ROWS, joined_text, ordinal, running
+from twinledger.functions.ordered import CHUNK_ROWS, ordinal, running
 
 
 # ---- decision texts
@@ -19,42 +19,66 @@ def decision_texts(decisions: DataFrame) -> DataFrame:
         "text", T.decision_text(F.col("judge_model"), F.col("confidence"), F.col("reason"))).filter("text <> ''")
 
 
-def route_line_texts(eps: DataFrame, group_decisions: DataFrame, field_decisions: DataFrame) -> DataFrame:
-    """(name, seq, dpos, text): which row each step-1 decision text belongs to.
+def route_texts(eps: DataFrame, group_decisions: DataFrame, field_decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Where each step-1 decision text belongs: (name, source_line, dpos, text) of whole lines, (name, seq, dpos, text) of rows.
 
     A line decision goes to every row of the line.  A field decision goes to the first row that matches unit,
     position and start, else the first that matches unit and position, else every row of the line.
     """
     e = eps.select("name", "source_line", "seq", "unit", "position", "start")
     line = ["name", "source_line"]
-    group = decision_texts(group_decisions).join(e, line).select("name", "seq", F.col("pos").alias("dpos"), "text")
-    loose = e.groupBy(*line, "unit", "position").agg(F.min("seq").alias("s2"))
-    exact = e.groupBy(*line, "unit", "position", "start").agg(F.min("seq").alias("s1"))
+    group = decision_texts(group_decisions).select(*line, F.col("pos").alias("dpos"), "text")
     label = reduce(lambda acc, kv: acc.when(F.col("field") == kv[0], kv[1]), list(K.FIELD_LABELS.items())[1:],
                    F.when(F.col("field") == "start", K.FIELD_LABELS["start"])).otherwise(F.col("field"))
-    d = (
-        decision_texts(field_decisions).withColumn("text", F.concat(label, F.col("text")))
-        .join(exact, [*line, "unit", "position", "start"], "left").join(loose, [*line, "unit", "position"], "left")
-    )
+    d = decision_texts(field_decisions).withColumn("text", F.concat(label, F.col("text")))
+    # the first row of a unit and position by each start, and by any
+    first = e.withColumn("start", F.coalesce("start", F.lit(""))).groupBy(*line, "unit", "position", "start").agg(F.min("seq").alias("s"))
+    first = first.groupBy(*line, "unit", "position").agg(F.map_from_entries(F.collect_list(F.struct("start", "s"))).alias("by_start"), F.min("s").alias("any"))
+    d = d.join(first, [*line, "unit", "position"], "left")
     # an empty start in the key matches any start
-    target = F.coalesce(F.when(F.col("start") == "", F.col("s2")).otherwise(F.col("s1")), F.col("s2"))
-    d = d.select("name", "source_line", F.col("pos").alias("dpos"), "text", target.alias("seq"))
-    direct = d.filter("seq is not null").select("name", "seq", "dpos", "text")
-    whole_line = d.filter("seq is null and source_line > 0").drop("seq").join(
-        e.select(*line, "seq"), line).select("name", "seq", "dpos", "text")
-    return group.unionByName(direct).unionByName(whole_line)
+    exact = F.when(F.col("start") != "", F.try_element_at("by_start", F.col("start")))
+    d = d.select(*line, F.col("pos").alias("dpos"), "text", F.coalesce(exact, F.col("any")).alias("seq"))
+    whole = d.filter("seq is null and source_line > 0").drop("seq")
+    return group.unionByName(whole), d.filter("seq is not null").select("name", "seq", "dpos", "text")
+
+
+def route_line_texts(eps: DataFrame, group_decisions: DataFrame, field_decisions: DataFrame) -> DataFrame:
+    """(name, seq, dpos, text): a row for each text of each row; a line's texts come with every row of the line."""
+    lines, rows = route_texts(eps, group_decisions, field_decisions)
+    return lines.join(eps.select("name", "source_line", "seq"), ["name", "source_line"]).select("name", "seq", "dpos", "text").unionByName(rows)
+
+
+def _texts(kind: str | None = None) -> Column:
+    """Aggregate: the texts (of a kind) in decision order, as an array of struct(dpos, text)."""
+    entry = F.struct("dpos", "text")
+    return F.sort_array(F.collect_list(F.when(F.col("kind") == kind, entry) if kind else F.when(F.col("text").isNotNull(), entry)))
+
+
+def _joined(entries: Column) -> Column:
+    """The texts of such an array, or null if it has none."""
+    return F.when(F.size(entries) > 0, F.array_join(F.transform(entries, lambda x: x["text"]), " | "))
 
 
-def texts_per_row(routed: DataFrame, name: str, keys: list[str] = ("name", "seq"), large: bool | None = None,
-                  part_rows: int = PART_ROWS) -> DataFrame:
-    """Decision texts of a row joined with `` | `` in decision order; ``part`` counts on for very many texts."""
-    return joined_text(routed, list(keys), ["dpos", "text"], F.col("text"), " | ", name, part_rows, large)
+def row_texts(routed: DataFrame, name: str, keys: list[str] = ("name", "seq")) -> DataFrame:
+    """All texts of a row in one cell, joined with `` | `` in decision order."""
+    return routed.groupBy(*keys).agg(_texts().alias(name)).withColumn(name, _joined(F.col(name)))
 
 
-def whole_texts(parts: DataFrame, name: str, keys: list[str] = ("name", "seq")) -> DataFrame:
-    """All texts of a row in one cell: the parts of ``texts_per_row`` put together in order."""
-    every = F.sort_array(F.collect_list(F.struct("part", name)))
-    return parts.groupBy(*keys).agg(F.array_join(F.transform(every, lambda p: p[name]), " | ").alias(name))
+def step1_texts(eps: DataFrame, group_decisions: DataFrame, field_decisions: DataFrame, name: str = "judge1") -> DataFrame:
+    """(name, seq, judge1) of rows that have texts.  A line's texts are one array, which each row merges with its own."""
+    lines, rows = route_texts(eps, group_decisions, field_decisions)
+    of_line = lines.groupBy("name", "source_line").agg(_texts().alias("_line")).withColumn("_line_text", _joined(F.col("_line")))
+    of_row = rows.groupBy("name", "seq").agg(_texts().alias("_row"))
+    # a line's texts come last: they are many, and no row that carries them is shuffled
+    e = eps.select("name", "source_line", "seq").join(of_row, ["name", "seq"], "left").join(of_line, ["name", "source_line"], "left")
+    return e.select("name", "seq", _with_line("_row").alias(name)).filter(F.col(name).isNotNull())
+
+
+def _with_line(own: str) -> Column:
+    """The texts of `own` and of `_line` in order; `_line_text`, made once for a line, where a row has none of its own."""
+    both = F.array_sort(F.concat(F.coalesce(F.col("_line").cast("array<struct<dpos:bigint,text:string>>"), F.array().cast("array<struct<dpos:bigint,text:string>>")),
+                                 F.col(own).cast("array<struct<dpos:bigint,text:string>>")))
+    return F.when(F.coalesce(F.size(own), F.lit(0)) > 0, _joined(both)).otherwise(F.col("_line_text"))
 
 
 def routed_by_index(decisions: DataFrame, with_field: bool) -> DataFrame:
@@ -133,39 +157,54 @@ def focal_year(eps: DataFrame, target: str, start_year: int) -> DataFrame:
 # ---- the whole
 
 def flatten(episodes: DataFrame, labels: DataFrame, ranks: DataFrame, lines: DataFrame | None = None,
-            texts: dict[str, DataFrame] | None = None, target: str = "", province: str = "", start_year: int = 0,
-            label_text_row: str = "original_first", large: bool | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+            line_texts: DataFrame | None = None, texts: dict[str, DataFrame] | None = None, target: str = "", province: str = "",
+            start_year: int = 0, label_text_row: str = "original_first", large: bool | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """The wide rows, English column names.
 
     ``episodes``: name, seq, source_line, the step-1 and step-2 fields; ``labels``: one row per person with resolved
-    labels; ``ranks``: name, episode_idx, rank; ``texts``: judge1..judge3 as (name, seq, part, judgeN) and judge4 as
-    (name, part, judge4); a row carries all its texts, whatever their number.
+    labels; ``ranks``: name, episode_idx, rank; ``texts``: judge1..judge3 as (name, seq, dpos, text) and judge4 as
+    (name, dpos, text); ``line_texts``: judge1 texts of whole lines as (name, source_line, dpos, text).  A row carries
+    all its texts, whatever their number.
+
+    All that belongs to a row, a line or a person comes together in one aggregate each, so rows are joined three times.
     """
     texts = texts or {}
-    e = episodes.join(ranks.select("name", F.col("episode_idx").alias("seq"), F.col("rank").alias("_rank")),
-                      ["name", "seq"], "left").withColumn("rank", F.coalesce("_rank", F.lit(""))).drop("_rank")
-    best = rank_to_date(e.select("name", "source_line", "start", "rank"), large, chunk_rows)
-    year = focal_year(e, target, start_year)
-    e = e.join(best, ["name", "source_line"], "left").join(year, "name", "left")
-    for col, t in texts.items():
-        if col != "judge4":
-            e = e.join(whole_texts(t, col), ["name", "seq"], "left")
-    person = labels.select(
-        "name", *[c for c in ("birth_year", "origin", "origin_city", "minority", "female", "bachelor",
-                              *K.LABEL_FIELDS, "fell", "fell_reason") if c in labels.columns])
-    if "judge4" in texts:
-        person = person.join(whole_texts(texts["judge4"], "judge4", ["name"]), "name", "left")
-    e = e.join(person, "name", "left")
+    kinds = ["judge1", "judge2", "judge3"]
+    spare = {"rank": "string", "kind": "string", "dpos": "bigint", "text": "string"}
+
+    def stacked(parts: list[DataFrame], columns: dict[str, str]) -> DataFrame:
+        have = [p.withColumns({c: F.lit(None).cast(t) for c, t in columns.items() if c not in p.columns}) for p in parts]
+        return reduce(DataFrame.unionByName, [h.withColumns({c: F.col(c).cast(t) for c, t in columns.items()}) for h in have])
+
+    rows = stacked([ranks.select("name", F.col("episode_idx").alias("seq"), "rank"),
+                    *[texts[k].select("name", "seq", F.lit(k).alias("kind"), "dpos", "text") for k in kinds if k in texts]], spare)
+    rows = rows.groupBy("name", "seq").agg(F.max("rank").alias("rank"), *[_texts(k).alias(f"_{k}") for k in kinds])
+    e = episodes.join(rows, ["name", "seq"], "left").withColumn("rank", F.coalesce("rank", F.lit("")))
+
+    of_line = {"best_rank": "string", "raw_text": "string", "dpos": "bigint", "text": "string"}
+    parts = [rank_to_date(e.select("name", "source_line", "start", "rank"), large, chunk_rows).select("name", "source_line", "best_rank")]
     if lines is not None:
-        e = e.join(lines.select("name", F.col("line_num").alias("source_line"), "raw_text"), ["name", "source_line"], "left")
-    else:
-        e = e.withColumn("raw_text", F.lit(None).cast("string"))
-    for c in ("judge1", "judge2", "judge3", "judge4", "fell", "fell_reason", "source_ref", "remark", "org_tag", "prov",
-              "city", "central"):
-        if c not in e.columns:
-            e = e.withColumn(c, F.lit(None).cast("string"))
-    kept = e.filter(~is_study_row(F.col("flag"), F.col("position")))
-    kept = ordinal(kept.withColumn("_old", F.col("seq")).drop("seq"), ["name"], ["_old"], "seq", chunk_rows, large)
+        parts.append(lines.select("name", F.col("line_num").alias("source_line"), "raw_text"))
+    if line_texts is not None:
+        parts.append(line_texts.select("name", "source_line", "dpos", "text"))
+    line = stacked(parts, of_line).groupBy("name", "source_line").agg(F.max("best_rank").alias("best_rank"), F.max("raw_text").alias("raw_text"), _texts().alias("_line"))
+    line = line.withColumn("_line_text", _joined(F.col("_line")))
+
+    known = [c for c in ("birth_year", "origin", "origin_city", "minority", "female", "bachelor", *K.LABEL_FIELDS, "fell", "fell_reason") if c in labels.columns]
+    of_person = {c: labels.schema[c].dataType.simpleString() for c in known} | {"year": "int", "dpos": "bigint", "text": "string"}
+    parts = [labels.select("name", *known), focal_year(e, target, start_year)]
+    if "judge4" in texts:
+        parts.append(texts["judge4"].select("name", "dpos", "text"))
+    person = stacked(parts, of_person).groupBy("name").agg(*[F.max(c).alias(c) for c in [*known, "year"]], _texts().alias("_judge4"))
+
+    e = e.join(person, "name", "left").filter(~is_study_row(F.col("flag"), F.col("position")))
+    e = ordinal(e.withColumn("_old", F.col("seq")).drop("seq"), ["name"], ["_old"], "seq", chunk_rows, large)
+    # a line's texts come last: they may be many, and no row that carries them is shuffled
+    e = e.join(line, ["name", "source_line"], "left")
+    kept = e.withColumns({"judge1": _with_line("_judge1"), "judge2": _joined(F.col("_judge2")), "judge3": _joined(F.col("_judge3")), "judge4": _joined(F.col("_judge4"))})
+    for c in ("fell", "fell_reason", "source_ref", "remark", "org_tag", "prov", "city", "central"):
+        if c not in kept.columns:
+            kept = kept.withColumn(c, F.lit(None).cast("string"))
     first = (F.col("_old") == 1) if label_text_row == "original_first" else (F.col("seq") == 1)
     kept = enum_guards(kept)
     row_rank = F.coalesce(F.nullif(F.col("rank"), F.lit("")), F.lit(K.RANK_NONE))

@@ -6,9 +6,11 @@ inside a key are one wide number per row on Spark (order is all they need) and `
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from twinledger.functions.ordered import has_large_key
+from twinledger.functions.ordered import cut, has_large_key
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -76,12 +78,31 @@ def large_names(spark: SparkSession, sf: str) -> bool:
     return has_large_key(table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("name")), ["name"])
 
 
+_written: dict[str, DataFrame] = {}
+
+
+@contextmanager
+def written_once(spark: SparkSession, sf: str, large: bool):
+    """Both versions as stored tables, partitioned by name, for queries that take them many times.
+
+    In practice these are tables that an earlier step wrote.  Grouping and windows by name need no exchange on them.  If
+    one name is so large that ordered work on it is cut up, they are not partitioned.
+    """
+    for side, raw in (("a", RAW_A), ("b", RAW_B)):
+        rows = _episodes(spark, sf, raw)
+        _written[side] = cut(rows if large else rows.repartition("name"))
+    try:
+        yield
+    finally:
+        _written.clear()
+
+
 def episodes_a(spark: SparkSession, sf: str) -> DataFrame:
-    return _episodes(spark, sf, RAW_A)
+    return _written["a"] if _written else _episodes(spark, sf, RAW_A)
 
 
 def episodes_b(spark: SparkSession, sf: str) -> DataFrame:
-    return _episodes(spark, sf, RAW_B)
+    return _written["b"] if _written else _episodes(spark, sf, RAW_B)
 
 
 def _positions(sql: str) -> str:

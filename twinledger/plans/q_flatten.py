@@ -92,8 +92,13 @@ judge1 AS MATERIALIZED (SELECT name, seq, string_agg(text, ' | ' ORDER BY dpos,
 
 
 def step1_parts(spark, sf):
-    a, b = QR._ab(spark, sf)
     large = B.large_names(spark, sf)
+    with B.written_once(spark, sf, large):
+        return _step1_parts(spark, sf, large)
+
+
+def _step1_parts(spark, sf, large):
+    a, b = QR._ab(spark, sf)
     disputes = Q.field_disputes(R.both_sides(a, b, large))
     gd, fd = B.group_decisions(spark, sf, a, b), cut(B.field_decisions(spark, sf, disputes))
     return cut(M.merge_step1(a, b, gd, fd, large=large)), gd, fd, large
@@ -107,15 +112,14 @@ def j8(spark, sf):
 
 @query("x2_judge1_text", QR.MERGED + "," + ROUTED + " SELECT * FROM judge1")
 def x2(spark, sf):
-    merged, gd, fd, large = step1_parts(spark, sf)
-    return X.whole_texts(X.texts_per_row(X.route_line_texts(merged, gd, fd), "judge1", large=large), "judge1")
+    merged, gd, fd, _ = step1_parts(spark, sf)
+    return X.step1_texts(merged, gd, fd)
 
 
 @query("x2_judge2_text", QR.CLASS_DIFFS + "," + QR.CLASS_DEC + f""" SELECT name, episode_idx AS seq, string_agg({LABELLED}, ' | ' ORDER BY pos, {LABELLED}) AS judge2
 FROM class_dec d WHERE {TEXT} <> '' GROUP BY ALL""")
 def x2b(spark, sf):
-    r = X.routed_by_index(QR.class_decisions(spark, sf), True)
-    return X.whole_texts(X.texts_per_row(r, "judge2", large=B.large_names(spark, sf)), "judge2")
+    return X.row_texts(X.routed_by_index(QR.class_decisions(spark, sf), True), "judge2")
 
 
 def _focal(target, year, prov):
@@ -138,21 +142,25 @@ def w4(spark, sf):
 
 
 def _flatten_inputs(spark, sf):
+    large = B.large_names(spark, sf)
+    with B.written_once(spark, sf, large):
+        return _flatten_tables(spark, sf, large)
+
+
+def _flatten_tables(spark, sf, large):
     # each step's result is a stored table in practice; here the lineage is cut at the same places
-    merged, gd, fd, large = step1_parts(spark, sf)
+    merged, gd, fd, large = _step1_parts(spark, sf, large)
     cdec, ldec = cut(QR.class_decisions(spark, sf)), cut(QR.label_decisions(spark, sf))
     rdec = cut(B.recipe(spark, sf, B.RANK_DECISIONS, diffs=QR.rank_diffs(spark, sf)))
     eps = M.merge_classes(merged, B.classes_a(spark, sf), B.classes_b(spark, sf), cdec)
     ranks = M.resolve_ranks(B.ranks_a(spark, sf), B.ranks_b(spark, sf), rdec)
     labels = M.resolve_labels(B.people_a(spark, sf), B.people_b(spark, sf), ldec)
-    person = X.routed_by_index(ldec.withColumn("episode_idx", F.lit(0)), True)
+    line_texts, own = X.route_texts(merged, gd, fd)
     texts = {
-        "judge1": X.texts_per_row(X.route_line_texts(merged, gd, fd), "judge1", large=large),
-        "judge2": X.texts_per_row(X.routed_by_index(cdec, True), "judge2", large=large),
-        "judge3": X.texts_per_row(X.routed_by_index(rdec, False), "judge3", large=large),
-        "judge4": X.texts_per_row(person, "judge4", ("name",), large=large),
+        "judge1": own, "judge2": X.routed_by_index(cdec, True), "judge3": X.routed_by_index(rdec, False),
+        "judge4": X.routed_by_index(ldec.withColumn("episode_idx", F.lit(0)), True),
     }
-    return dict(episodes=eps, labels=labels, ranks=ranks, lines=B.lines(spark, sf), texts=texts, target="浙江省",
+    return dict(episodes=eps, labels=labels, ranks=ranks, lines=B.lines(spark, sf), line_texts=line_texts, texts=texts, target="浙江省",
                 province="浙江省", start_year=1997, large=large)
 
 
