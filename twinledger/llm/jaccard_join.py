@@ -1,7 +1,12 @@
 """Exact Jaccard join of documents as sets of word n-grams, by pivots in the metric space of Jaccard distance.
 
-Documents of equal sets are one point.  Two points within the threshold share some of their rarest n-grams, so the
-n-grams cut the space into regions to look at.  A small region is compared whole.  A larger one gets a pivot: every
+Documents of equal sets are one point.  First come cells: the points that have the same smallest n-gram, under each of a
+few random orders, make a cell with one of them as pivot, as near points mostly have it in common; each point is compared
+with its pivots alone.  So a large group of near copies is mostly one component before any two others are compared, and
+from then on only points of different components are.
+
+Two points within the threshold share some of their rarest n-grams, so the n-grams cut the space into regions to look
+at.  A region whose points are one component already is left out where it is found.  A small region is compared whole.  A larger one gets a pivot: every
 point's exact distance to it is computed, points within the threshold are linked to it, and by the triangle inequality
 two points can only be linked if their distances to the pivot differ by no more than the threshold.  So the region
 falls into rings around the pivot, each overlapping the next by one threshold; rings whose points are all linked
@@ -27,6 +32,7 @@ CELLS = 1 << 20
 CHUNK = 1 << 12
 SMALL = 48  # points of a region of rare shingles that are compared one by one
 WHOLE = 256  # points of a ring
+ORDERS = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)  # each of the random orders of n-grams, by xor
 
 
 def shingles(words: list[bytes], word_hash, n: int) -> np.ndarray:
@@ -57,7 +63,8 @@ def prefix(n, percent: int):
 
 
 def read_sets(docs: DataFrame, n: int) -> DataFrame:
-    """For each document: doc_id, row, point, size; and counts of shingles by hash cell, in rows of CHUNK cells.
+    """For each document: doc_id, row, point, size, firsts (its smallest shingle in each of ORDERS); and counts of shingles by
+    hash cell, in rows of CHUNK cells.
 
     docs: key (struct of id and row), text.
     """
@@ -65,20 +72,21 @@ def read_sets(docs: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word_hash = words_hashed.__getitem__
         cells = np.zeros(CELLS, np.uint32)
-        names = ["doc_id", "row", "point", "size", "chunk", "counts"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        names = ["doc_id", "row", "point", "size", "firsts", "chunk", "counts"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary()]
         for held in slices(batches, "key", "text", SLICE, bytes.lower):
             rows = []
             for key, words in held:
                 found = shingles(words, word_hash, n)
                 np.add.at(cells, (found & np.uint64(CELLS - 1)).astype(np.int64), 1)
-                rows.append((key["id"], key["row"], point(found) if len(found) else None, len(found), None, None))
+                firsts = [int((found ^ x).min().astype(np.int64)) for x in ORDERS] if len(found) else None
+                rows.append((key["id"], key["row"], point(found) if len(found) else None, len(found), firsts, None, None))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
-        full = [(None, None, None, None, i, _packed(part)) for i, part in enumerate(cells.reshape(-1, CHUNK)) if part.any()]
+        full = [(None, None, None, None, None, i, _packed(part)) for i, part in enumerate(cells.reshape(-1, CHUNK)) if part.any()]
         if full:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*full), kinds)], names=names)
 
-    return docs.mapInArrow(run, "doc_id long, row long, point long, size long, chunk int, counts binary")
+    return docs.mapInArrow(run, "doc_id long, row long, point long, size long, firsts array<long>, chunk int, counts binary")
 
 
 def _packed(a: np.ndarray) -> bytes:
@@ -113,7 +121,11 @@ PAIR_DDL = "a long, b long, shared long, least long, region long"
 
 def first_regions(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFrame:
     """Pairs to look at (a < b, region null), with how many rare shingles they share in small regions and how many they
-    have to share; and the members a of large regions, of size `least` (region not null)."""
+    have to share; and the members a of large regions, of size `least` (region not null).
+
+    docs: key (struct of id, row and label), text.  Points of one label are linked already: they make no pair, and a
+    large region of one label is left out.
+    """
     spark = docs.sparkSession
     order = spark.sparkContext.broadcast(counts)
     buckets = 8 * partitions(spark)
@@ -123,14 +135,15 @@ def first_regions(docs: DataFrame, counts: np.ndarray, n: int, percent: int) ->
         for held in slices(batches, "key", "text", SLICE, bytes.lower):
             points, lists = [], []
             seen: set[int] = set()
-            for _, words in held:
+            for key, words in held:
                 found = shingles(words, word_hash, n)
                 p = point(found)
                 if not len(found) or p in seen:
                     continue
                 seen.add(p)
+                label = p if key["label"] is None else key["label"]
                 rare = np.lexsort((found, order.value[(found & np.uint64(CELLS - 1)).astype(np.int64)]))[: prefix(len(found), percent)]
-                points.append((p, len(found)))
+                points.append((p, len(found), label))
                 lists.append(found[rare])
             if not lists:
                 continue
@@ -139,10 +152,10 @@ def first_regions(docs: DataFrame, counts: np.ndarray, n: int, percent: int) ->
             bucket = (h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
             by = np.lexsort((doc, bucket))
             h, bucket = h[by], bucket[by]
-            p, size = (np.array(points, np.int64)[doc[by]]).T
+            p, size, label = (np.array(points, np.int64)[doc[by]]).T
             cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-            rows = [(int(bucket[a]), h[a:b].tobytes(), p[a:b].tobytes(), _packed(size[a:b])) for a, b in zip(cuts, cuts[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 3))], names=["bucket", "h", "p", "size"])
+            rows = [(int(bucket[a]), h[a:b].tobytes(), p[a:b].tobytes(), _packed(size[a:b]), _packed(label[a:b] ^ p[a:b])) for a, b in zip(cuts, cuts[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 4))], names=["bucket", "h", "p", "size", "label"])
 
     def meet(table: pa.Table) -> pa.Table:
         h = np.concatenate([np.frombuffer(x, np.uint64) for x in table["h"].to_pylist()])
@@ -151,12 +164,18 @@ def first_regions(docs: DataFrame, counts: np.ndarray, n: int, percent: int) ->
         pick = by[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
         p = np.concatenate([np.frombuffer(x, np.int64) for x in table["p"].to_pylist()])[pick]
         size = np.concatenate([_unpacked(x, np.int64) for x in table["size"].to_pylist()])[pick]
+        label = np.concatenate([_unpacked(x, np.int64) for x in table["label"].to_pylist()])[pick] ^ p
         h = h[pick]
         by = np.lexsort((p, size, h))
-        h, p, size = h[by], p[by], size[by]
+        h, p, size, label = h[by], p[by], size[by], label[by]
         own = np.concatenate([[True], (h[1:] != h[:-1]) | (p[1:] != p[:-1])]) if len(h) else np.empty(0, bool)
-        h, p, size = h[own], p[own], size[own]
+        h, p, size, label = h[own], p[own], size[own], label[own]
         cuts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1], [True]])) if len(h) else np.zeros(1, int)
+        if len(h):  # regions of one label are done
+            apart = np.minimum.reduceat(label, cuts[:-1]) != np.maximum.reduceat(label, cuts[:-1])
+            left = np.repeat(apart, np.diff(cuts))
+            h, p, size, label = h[left], p[left], size[left], label[left]
+            cuts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1], [True]])) if len(h) else np.zeros(1, int)
         width = np.diff(cuts)
         at = np.repeat(cuts[:-1], width)
         end = np.repeat(cuts[1:], width)
@@ -166,7 +185,7 @@ def first_regions(docs: DataFrame, counts: np.ndarray, n: int, percent: int) ->
             i = np.flatnonzero(small & (np.arange(len(h)) + step < end))
             if not len(i):
                 break
-            i = i[size[i] >= least_overlap(size[i + step], percent)]
+            i = i[(size[i] >= least_overlap(size[i + step], percent)) & (label[i] != label[i + step])]
             pairs.append(np.stack([p[i], p[i + step], size[i]]))
         found = np.concatenate(pairs, axis=1) if pairs else np.empty((3, 0), np.int64)
         a, b = np.minimum(found[0], found[1]), np.maximum(found[0], found[1])
@@ -181,7 +200,7 @@ def first_regions(docs: DataFrame, counts: np.ndarray, n: int, percent: int) ->
             out.append(pa.Table.from_arrays([pa.array(p[big]), none, none, pa.array(size[big]), pa.array(h[at[big]].astype(np.int64))], schema=PAIR))
         return pa.concat_tables(out)
 
-    sent = docs.mapInArrow(send, "bucket int, h binary, p binary, size binary")
+    sent = docs.mapInArrow(send, "bucket int, h binary, p binary, size binary, label binary")
     return sent.groupBy("bucket").applyInArrow(meet, PAIR_DDL)
 
 
@@ -246,19 +265,36 @@ def links(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id"
     rows = both.where("chunk is null").select("doc_id", "row", "point", "size")
     points = rows.drop("row")
     counts = cell_counts(both.where("chunk is not null").select("chunk", "counts"))
-    met = cut(first_regions(slim, counts, n, percent))
 
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        """One text for each point wanted; only these travel."""
+        chosen = rows.join(wanted, "point").groupBy("point").agg(F.min("row").alias("row"))
+        return cut(slim.select(F.col("key.row").alias("row"), "text").join(chosen, "row").dropDuplicates(["point"]).select("point", "text"))
+
+    ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("point"))
+    stars = cut(cell_pairs(both.where("point is not null").select("point", "firsts")))
+    first_wanted = cut(ends(stars).distinct())
+    texts = texts_of(first_wanted)
+    known = cut(overlaps(stars, texts, n, percent))
+    labels = components(known.where(linked(percent)))
+
+    of_row = rows.join(labels, rows.point == labels.node).select("row", "label").dropDuplicates(["row"])
+    named = slim.select("key.id", "key.row", "text").join(of_row, "row", "left").select(F.struct("id", "row", "label").alias("key"), "text")
+    met = cut(first_regions(named, counts, n, percent))
     near = met.where("region is null").groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.first("least").alias("least")).where("shared >= least").select("a", "b", F.lit(False).alias("must"))
     members = with_pivots(met.where("region is not null").select("region", F.col("a").alias("p"), F.col("least").alias("size")))
     pivots = members.where("p <> pivot").select(F.least("p", "pivot").alias("a"), F.greatest("p", "pivot").alias("b"), F.lit(True).alias("must"))
-    pairs = cut(near.unionByName(pivots).groupBy("a", "b").agg(F.max("must").alias("must")))
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("point")).unionByName(members.select(F.col("p").alias("point"))).distinct()
-    # one document for each point that has a pair; only these texts travel
-    chosen = rows.join(wanted, "point").groupBy("point").agg(F.min("row").alias("row"))
-    texts = cut(slim.select(F.col("key.row").alias("row"), "text").join(chosen, "row").dropDuplicates(["point"]).select("point", "text"))
+    pairs = near.unionByName(pivots).groupBy("a", "b").agg(F.max("must").alias("must"))
+    pairs = cut(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti"))
+    wanted = ends(pairs).unionByName(members.select(F.col("p").alias("point"))).distinct().join(first_wanted, "point", "left_anti")
+    texts = texts.unionByName(texts_of(wanted))
 
-    known = cut(overlaps(pairs, texts, n, percent))
-    labels = components(known.where(linked(percent)))
+    def joined_up(new: DataFrame) -> DataFrame:
+        found = new.where(linked(percent)).select("a", "b")
+        return components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found))
+
+    new = cut(overlaps(pairs, texts, n, percent))
+    labels, known = joined_up(new), known.unionByName(new)
     regions = members
     used = members.select(F.col("pivot").alias("p")).distinct()
     while rounds and not regions.isEmpty():
@@ -269,13 +305,19 @@ def links(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id"
         # a round without new pairs is not the last: large regions still fall into the rings of their next pivot
         if not pairs.isEmpty():
             new = cut(overlaps(pairs, texts, n, percent))
-            found = new.where(linked(percent)).select("a", "b")
-            labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found))
-            known = known.unionByName(new)
+            labels, known = joined_up(new), known.unionByName(new)
         regions = regions.where("large")
     return points, labels
 
 
+def cell_pairs(points: DataFrame) -> DataFrame:
+    """a, b, must: each point and the pivot of each of its cells, the smallest point of the same smallest shingle."""
+    firsts = points.dropDuplicates(["point"]).select("point", F.posexplode("firsts").alias("k", "h"))
+    cells = firsts.groupBy("k", "h").agg(F.min("point").alias("pivot"), F.count("*").alias("n")).where("n > 1")
+    pairs = firsts.join(cells, ["k", "h"]).where("point <> pivot")
+    return pairs.select(F.least("point", "pivot").alias("a"), F.greatest("point", "pivot").alias("b"), F.lit(False).alias("must")).distinct()
+
+
 def with_pivots(members: DataFrame) -> DataFrame:
     """Members with the pivot of their region: the member that lies in most regions, the centre of a group of copies."""
     often = members.groupBy("p").agg(F.count("*").alias("often"))
@@ -292,11 +334,13 @@ def rings(regions: DataFrame, known: DataFrame, labels: DataFrame, percent: int,
     """
     far = known.select(F.explode(F.array(F.struct(F.col("a").alias("p"), F.col("b").alias("pivot")), F.struct(F.col("b").alias("p"), F.col("a").alias("pivot")))).alias("k"),
                        (1 - F.col("inter") / (F.col("na") + F.col("nb") - F.col("inter"))).alias("d")).select("k.p", "k.pivot", "d").dropDuplicates(["p", "pivot"])
-    at = regions.select("region", "p", "pivot", "size").join(far, ["p", "pivot"], "left").withColumn("d", F.coalesce("d", F.lit(0.0)))
+    # regions whose points are one component by now go before anything is made of them
+    at = regions.select("region", "p", "pivot", "size").join(labels, F.col("p") == F.col("node"), "left").withColumn("label", F.coalesce("label", "p")).drop("node")
+    apart = at.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("region")
+    at = cut(at.join(apart, "region", "left_semi")).join(far, ["p", "pivot"], "left").withColumn("d", F.coalesce("d", F.lit(0.0)))
     # a little wider than the threshold, for rounding
     ring = F.floor(F.col("d") / (1.0 - percent / 100.0 + 1e-9))
-    at = at.withColumn("ring", F.explode(F.array(ring, ring + 1))).select(F.xxhash64("region", "ring", "pivot").alias("region"), "p", "size")
-    at = at.join(labels, at.p == labels.node, "left").select("region", "p", "size", F.coalesce("label", "p").alias("label"))
+    at = at.withColumn("ring", F.explode(F.array(ring, ring + 1))).select(F.xxhash64("region", "ring", "pivot").alias("region"), "p", "size", "label")
     # a point that was a pivot comes last, so a ring gets another one each round
     often = at.groupBy("p").agg(F.count("*").alias("often")).join(used.withColumn("used", F.lit(1)), "p", "left").select("p", F.struct(F.col("used").isNull().alias("fresh"), "often", "p").alias("often"))
     found = at.join(often, "p").groupBy("region").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.max_by("p", "often").alias("pivot")).where("lo <> hi")
