@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from twinledger import constants as K
 from twinledger.functions import text as T
@@ -39,10 +39,16 @@ def pending_groups(disputes: DataFrame, decisions: DataFrame) -> DataFrame:
 
 
 def pending_fields(disputes: DataFrame, decisions: DataFrame) -> DataFrame:
-    """All disputed fields of every episode that lacks a decision for at least one of them."""
+    """All disputed fields of every episode that lacks a decision for at least one of them.
+
+    Disputes and decisions travel as one union, partitioned once by episode; whether a field is decided, and whether an
+    episode has one that is not, are aggregates over that partitioning.
+    """
     ep = [k for k in FIELD_KEY if k != "field"]
-    open_eps = disputes.join(decisions.select(*FIELD_KEY), FIELD_KEY, "left_anti").select(*ep).distinct()
-    return disputes.join(open_eps, ep, "left_semi")
+    both = disputes.withColumn("_dispute", F.lit(True)).unionByName(decisions.select(*FIELD_KEY).withColumn("_dispute", F.lit(False)), allowMissingColumns=True)
+    both = both.repartition(*ep).withColumn("_decided", F.max(~F.col("_dispute")).over(W.partitionBy(*FIELD_KEY)))
+    both = both.withColumn("_open", F.max(F.col("_dispute") & ~F.col("_decided")).over(W.partitionBy(*ep)))
+    return both.filter("_dispute and _open").select(*disputes.columns)
 
 
 def pending_by_key(diffs: DataFrame, decisions: DataFrame, keys: list[str]) -> DataFrame:

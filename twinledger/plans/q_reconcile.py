@@ -289,11 +289,9 @@ def m5(spark, sf):
     return Q.escalate(Q.validate_verdicts(_field_dec(spark, sf)), B.group_decisions(spark, sf, a, b))
 
 
-@query("j7_pending_fields", DECIDED + f""", dec AS (SELECT * FROM field_dec WHERE (source_line + rn_) % 3 <> 0)
-SELECT {DISPUTE_COLS} FROM disputes d WHERE EXISTS (SELECT 1 FROM disputes e WHERE e.name = d.name AND e.source_line = d.source_line
-  AND e.unit = d.unit AND e.position = d.position AND e.start = d.start AND NOT EXISTS (SELECT 1 FROM dec x WHERE x.name = e.name
-  AND x.source_line = e.source_line AND x.unit = e.unit AND x.position = e.position AND x.start = e.start AND x.field = e.field))""".replace(
-    "(source_line + rn_) % 3 <> 0", "NOT (field = 'end' AND source_line % 3 = 0)"))
+@query("j7_pending_fields", DECIDED + f""", dec AS (SELECT * FROM field_dec WHERE NOT (field = 'end' AND source_line % 3 = 0)),
+open_ AS (SELECT DISTINCT name, source_line, unit, position, start FROM disputes ANTI JOIN dec USING (name, source_line, unit, position, start, field))
+SELECT {DISPUTE_COLS} FROM disputes SEMI JOIN open_ USING (name, source_line, unit, position, start)""")
 def j7f(spark, sf):
     d = _disputes(spark, sf)
     dec = B.field_decisions(spark, sf, d).filter("not (field = 'end' and source_line % 3 = 0)")
