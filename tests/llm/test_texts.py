@@ -382,3 +382,19 @@ def test_quality(spark, frame):
     plain = {r.doc_id: r.evidence for r in quality_bayes.quality(frame(rows), labels.where("false")).collect()}
     assert set(plain.values()) == {0.5}
     assert quality_bayes.quality(frame([]), labels).count() == 0
+
+
+def test_encoder_of_batches(monkeypatch):
+    """Batches of any cut, with texts that cannot be taken apart, long ones, repeated ones and nulls, against the tokenizer."""
+    import pyarrow as pa
+
+    encode = packing.Encoder(tokenizer_file())
+    rng = random.Random(2)
+    parts = ["a", "bc", " ", "  ", "\n", "\t", "é", "'s", "12", ".", " ", "　", "\x1c", "\x85", "<|endoftext|>", "\0", "日", "​", "D"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(4000)] + [None, "", " ", "word " * 30_000 + "end", None] + ["same text"] * 3
+    for size in (24 << 20, 100, 5):
+        monkeypatch.setattr(packing, "SLICE", size)
+        got = list(encode.batch(pa.array(texts, pa.string())))
+        assert got == [encode.whole(t or "") for t in texts]
+    assert list(encode.batch(pa.array(texts, pa.string()).slice(7, 50))) == [encode.whole(t or "") for t in texts[7:57]]
+    assert list(encode.batch(pa.array([], pa.string()))) == []

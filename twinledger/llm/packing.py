@@ -11,13 +11,13 @@ import functools
 import json
 import math
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,17 +31,18 @@ DDL = "doc_id long, piece int, start long, length long, ids_crc32 long, ids bina
 
 #: Fixed value: how byte-level vocabularies of this kind split a text.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: White space next to a blank or at an end, or the mark that chunks are cut by.
-NOT_SINGLE = re.compile(r" \s|\s |\A\s|\s\Z|\0")
+SPACE = regex.compile(r"\s")
+#: Text bytes that are encoded together.
+SLICE = 24 << 20
 
 
 class Encoder:
     """Ids of whole texts as little-endian 32-bit bytes.
 
-    Byte-level splitting always cuts before a single space between two other characters, so a text is taken apart there
-    and the ids of chunks, and of the pieces that new chunks split into, are remembered.  A text with other white space
-    next to a blank, or with one of the tokenizer's added tokens in it, is encoded whole; so is every text if the
-    tokenizer does more than byte-level splitting.
+    Byte-level splitting always cuts before a single space between two other characters, so texts are taken apart there,
+    and each distinct part of a batch is looked up once.  The ids of parts, and of the pieces that new parts split into,
+    are remembered.  A text with other white space next to a blank or at an end, or with one of the tokenizer's added
+    tokens in it, is encoded whole; so is every text if the tokenizer does more than byte-level splitting.
     """
 
     def __init__(self, path: str):
@@ -51,7 +52,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
-        self.pieces, self.chunks = Memo(self._piece, 1_000_000), Memo(self._chunk, 1_000_000)
+        self.pieces = Memo(self._piece, 500_000)
+        # the parts of a text that follow a blank, and the one before the first
+        self.parts, self.firsts = Memo(lambda w: self._part(" ", w), 1_500_000), Memo(lambda w: self._part("", w), 100_000)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         split = spec.get("pre_tokenizer") or {}
@@ -62,16 +65,52 @@ class Encoder:
     def _piece(self, piece: str) -> bytes:
         return array("I", [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.byte_chars))]).tobytes()
 
-    def _chunk(self, chunk: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, SPLIT.findall(chunk)))
+    def _part(self, blank: str, part: str) -> bytes | None:
+        """None if a text that has this part cannot be taken apart."""
+        if part.isalpha():
+            return self._piece(blank + part)
+        if not part or part[0].isspace() or part[-1].isspace() or SPACE.search(part[0] + part[-1]) or any(t in part for t in self.added):
+            return None
+        return b"".join(map(self.pieces.__getitem__, SPLIT.findall(blank + part)))
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _together(self, texts: pa.Array) -> Iterator[bytes]:
+        lists = pc.split_pattern(texts, " ")
+        coded = lists.flatten().dictionary_encode()
+        known = pa.array(list(map(self.parts.__getitem__, coded.dictionary.to_pylist())), pa.binary())
+        firsts = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
+        ids = known.take(coded.indices)
+        mask = np.zeros(len(ids), bool)
+        mask[firsts] = True
+        words = coded.dictionary.take(coded.indices.take(pa.array(firsts))).to_pylist()
+        ids = pc.replace_with_mask(ids, pa.array(mask), pa.array(list(map(self.firsts.__getitem__, words)), pa.binary()))
+        offsets = pa.array(np.append(firsts, len(ids)).astype(np.int32))
+        # a part that is None makes its whole text null
+        for text, found in zip(texts, pc.binary_join(pa.ListArray.from_arrays(offsets, ids), b"")):
+            yield self.whole(text.as_py()) if found.as_py() is None else found.as_py()
+
+    def batch(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text; null counts as empty."""
+        texts = pc.fill_null(texts, "")
+        if not self.plain or any(" " in t for t in self.added):
+            yield from map(self.whole, texts.to_pylist())
+            return
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < len(texts):
+            # as many texts as fill a slice, at least one
+            before = sizes[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(sizes, before + SLICE, "right")))
+            if end == start + 1 and sizes[start] - before > SLICE:
+                yield self.whole(texts[start].as_py())
+            else:
+                yield from self._together(texts.slice(start, end - start))
+            start = end
+
     def __call__(self, text: str) -> bytes:
-        if not self.plain or NOT_SINGLE.search(text) or any(t in text for t in self.added):
-            return self.whole(text)
-        return b"".join(map(self.chunks.__getitem__, text.replace(" ", "\0 ").split("\0")))
+        return next(self.batch(pa.array([text], pa.string())))
 
 
 @functools.lru_cache(2)
@@ -91,8 +130,8 @@ def pieces_of(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: st
         encode, end = encoder(path), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encode(text or "") + end
+            for key, ids in zip(batch.column(0).to_pylist(), encode.batch(batch.column(1))):
+                ids += end
                 n = len(ids) // 4
                 start, k = 0, 0
                 while start < n:
