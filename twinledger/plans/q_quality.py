@@ -51,6 +51,52 @@ def s8(spark, sf):
     return p.select("id", "status", F.when(F.col("status") == "ok", F.size(e)).alias("n"), F.try_element_at(e, F.lit(1))["source_line"].alias("first_line"))
 
 
+_KIND = "CASE o_orderkey % 4 WHEN 0 THEN 'ok' WHEN 1 THEN 'ok' WHEN 2 THEN 'schema_error' ELSE 'parse_error' END"
+CLASSES = """SELECT o_orderkey AS id, CASE o_orderkey % 4 WHEN 0 THEN concat('{{"classifications": [{{"episode_idx": ', o_orderkey % 40, ', "组织标签": "其他", "任职地（省）": "p', o_custkey, '"}}, {{"标志位": "无"}}]}}')
+  WHEN 1 THEN concat('```json', chr(10), '{{"classifications": []}}', chr(10), '```') WHEN 2 THEN '{{"classifications": 3}}' ELSE '{{"classifications": [' END AS r FROM {orders}"""
+RANKINGS = """SELECT o_orderkey AS id, CASE o_orderkey % 4 WHEN 0 THEN concat('{{"ranks": [{{"episode_idx": "', o_orderkey % 40, '", "final_rank": "正厅级", "reasoning_chain": "r', o_custkey, '"}}]}}')
+  WHEN 1 THEN '{{"other": 1}}' WHEN 2 THEN '{{"ranks": "x"}}' ELSE 'none' END AS r FROM {orders}"""
+PERSONS = """SELECT o_orderkey AS id, CASE o_orderkey % 4 WHEN 0 THEN concat('{{"raw_bio": {{"姓名": "n', o_custkey, '"}}, "升迁_省长": 1, "升迁_省委书记": 0, "本省提拔": "1", "本省提拔依据": "d", "本省学习": 0, "本省学习依据": ""}}')
+  WHEN 1 THEN concat('x {{"raw_bio": {{}}, "升迁_省长": ', o_custkey, ', "升迁_省委书记": 0, "本省提拔": 0, "本省提拔依据": "", "本省学习": 0, "本省学习依据": ""}} y') WHEN 2 THEN '{{"raw_bio": {{}}, "升迁_省长": 1}}' ELSE '[1]' END AS r FROM {orders}"""
+
+
+@query("s8_class_responses", f"""SELECT o_orderkey AS id, {_KIND} AS status, CASE o_orderkey % 4 WHEN 0 THEN 2 WHEN 1 THEN 0 END AS n, CASE WHEN o_orderkey % 4 = 0 THEN CAST(o_orderkey % 40 AS VARCHAR) END AS idx,
+  CASE WHEN o_orderkey % 4 = 0 THEN '其他' END AS org_tag, CASE WHEN o_orderkey % 4 = 0 THEN concat('p', o_custkey) END AS prov FROM orders""")
+def s8_2(spark, sf):
+    p = readers.parse_responses(B.recipe(spark, sf, CLASSES), "r", "step2")
+    c = F.col("parsed.classifications")
+    first = F.try_element_at(c, F.lit(1))
+    return p.select("id", "status", F.when(F.col("status") == "ok", F.size(c)).alias("n"), first["episode_idx"].alias("idx"), first["org_tag"].alias("org_tag"), first["prov"].alias("prov"))
+
+
+@query("s8_rank_responses", f"""SELECT o_orderkey AS id, {_KIND} AS status, CASE WHEN o_orderkey % 4 = 0 THEN CAST(o_orderkey % 40 AS VARCHAR) END AS idx,
+  CASE WHEN o_orderkey % 4 = 0 THEN '正厅级' END AS rank, CASE WHEN o_orderkey % 4 = 0 THEN concat('r', o_custkey) END AS chain FROM orders""")
+def s8_3(spark, sf):
+    p = readers.parse_responses(B.recipe(spark, sf, RANKINGS), "r", "step3")
+    first = F.try_element_at("parsed.ranks", F.lit(1))
+    return p.select("id", "status", first["episode_idx"].alias("idx"), first["final_rank"].alias("rank"), first["reasoning_chain"].alias("chain"))
+
+
+@query("s8_person_responses", f"""SELECT o_orderkey AS id, {_KIND} AS status, CASE WHEN o_orderkey % 4 = 0 THEN concat('n', o_custkey) END AS person,
+  CASE o_orderkey % 4 WHEN 0 THEN '1' WHEN 1 THEN CAST(o_custkey AS VARCHAR) END AS promo_gov FROM orders""")
+def s8_4(spark, sf):
+    p = readers.parse_responses(B.recipe(spark, sf, PERSONS), "r", "step4")
+    return p.select("id", "status", F.try_element_at("parsed.raw_bio", F.lit("姓名")).alias("person"), F.try_element_at("parsed.labels", F.lit("升迁_省长")).alias("promo_gov"))
+
+
+EVALS = """SELECT concat('mode2_', o_orderkey, '.json') AS file, CASE o_orderkey % 5 WHEN 4 THEN '{{"model": "broken' WHEN 3 THEN '' ELSE
+  concat('{{"model": "m', o_custkey % 4, '", "elapsed_s": ', o_orderkey % 100, '.5, "agg_step2": {{"组织标签": {{"correct": ', o_orderkey % 9, ', "total": 9, "accuracy": 0.5}}}}, "errors": [',
+  CASE WHEN o_orderkey % 2 = 0 THEN '{{"official": "p", "episode_idx": 3, "field": "f", "gold": "g", "pred": "q"}}' ELSE '' END, ']}}') END AS value FROM {orders}"""
+
+
+@query("s9_eval_results", """SELECT concat('mode2_', o_orderkey, '.json') AS file, concat('m', o_custkey % 4) AS model, o_orderkey % 100 + 0.5::DOUBLE AS elapsed_s, CAST(o_orderkey % 9 AS BIGINT) AS correct, 9::BIGINT AS total,
+  CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END AS n_errors, CASE WHEN o_orderkey % 2 = 0 THEN '3' END AS first_idx FROM orders WHERE o_orderkey % 5 < 3""")
+def s9(spark, sf):
+    e = readers.parse_eval(B.recipe(spark, sf, EVALS))
+    tag = F.try_element_at("agg_step2", F.lit("组织标签"))
+    return e.select("file", "model", "elapsed_s", tag["correct"].alias("correct"), tag["total"].alias("total"), F.size("errors").alias("n_errors"), F.try_element_at("errors", F.lit(1))["episode_idx"].alias("first_idx"))
+
+
 GOLD_ROWS = """SELECT o_custkey AS name, o_orderkey AS rowno, CASE WHEN o_orderkey % 3 = 0 THEN ' ' WHEN o_orderkey % 3 = 1 THEN 'nan' ELSE concat(' u', o_orderkey) END AS unit, CASE o_orderkey % 4 WHEN 0 THEN '1.0' WHEN 1 THEN '' WHEN 2 THEN 'x' ELSE '2' END AS promo_gov,
   CASE o_orderkey % 5 WHEN 0 THEN NULL ELSE concat('省', o_orderkey % 7) END AS origin, CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE CAST(o_orderkey AS VARCHAR(9)) END AS seq, o_orderkey AS position_in_name FROM {orders}"""
 

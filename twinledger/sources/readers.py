@@ -237,12 +237,19 @@ def parse_responses(df: DataFrame, response: str, kind: str) -> DataFrame:
     return d.withColumns({"status": status, "parsed": F.when(status == "ok", parsed)}).drop("_t")
 
 
-def read_eval(spark: SparkSession, path: str, mode: int) -> DataFrame:
-    """Stored evaluation results of one mode, by file name; unreadable files are skipped."""
-    raw = spark.read.text(f"{path}/mode{mode}_*.json", wholetext=True).select(F.input_file_name().alias("file"), "value")
+def parse_eval(files: DataFrame, file: str = "file", body: str = "value") -> DataFrame:
+    """Stored evaluation results, one JSON text a row; unreadable ones are skipped."""
     fs = "map<string,struct<correct:bigint,total:bigint,accuracy:double>>"
     schema = (f"struct<model:string,model_id:string,elapsed_s:double,agg_step2:{fs},agg_step3:{fs},agg_step4:struct<correct:bigint,total:bigint,accuracy:double>,"
               "per_official_step1:map<string,struct<episode_f1:double,episode_recall:double>>,"
               "per_official_step2:map<string,struct<all_fields_correct:struct<correct:bigint,total:bigint>>>,"
               "errors:array<struct<official:string,episode_idx:string,field:string,gold:string,pred:string>>>")
-    return raw.select("file", F.from_json("value", schema).alias("r")).filter("r is not null").select("file", "r.*").orderBy("file")
+    # text that is not one whole object parses to nothing, or to a struct of nulls
+    whole = F.try_parse_json(F.col(body)).isNotNull()
+    return files.select(F.col(file).alias("file"), F.when(whole, F.from_json(body, schema)).alias("r")).filter("r is not null").select("file", "r.*")
+
+
+def read_eval(spark: SparkSession, path: str, mode: int) -> DataFrame:
+    """Stored evaluation results of one mode, by file name."""
+    raw = spark.read.text(f"{path}/mode{mode}_*.json", wholetext=True).select(F.input_file_name().alias("file"), "value")
+    return parse_eval(raw).orderBy("file")
