@@ -84,6 +84,15 @@ def s8_4(spark, sf):
     return p.select("id", "status", F.try_element_at("parsed.raw_bio", F.lit("姓名")).alias("person"), F.try_element_at("parsed.labels", F.lit("升迁_省长")).alias("promo_gov"))
 
 
+BIO_FILES = """SELECT CASE o_orderkey % 4 WHEN 0 THEN concat('file:/data/%E4%BA%BA', o_orderkey, '_biography.txt') WHEN 1 THEN concat('hdfs://host/a/n', o_orderkey, '_biography.txt')
+  WHEN 2 THEN concat('file:/data/x%20', o_orderkey, '_biography.txt') ELSE concat('file:/data/', o_orderkey, '_notes.txt') END AS file, concat('=== ', o_custkey, chr(10), 'text') AS text FROM {orders}"""
+
+
+@query("s3_biography_files", """SELECT concat(CASE o_orderkey % 4 WHEN 0 THEN '人' WHEN 1 THEN 'n' ELSE 'x ' END, o_orderkey) AS name, concat('=== ', o_custkey, chr(10), 'text') AS text FROM orders WHERE o_orderkey % 4 < 3""")
+def s3(spark, sf):
+    return readers.biographies_of(B.recipe(spark, sf, BIO_FILES))
+
+
 EVALS = """SELECT concat('mode2_', o_orderkey, '.json') AS file, CASE o_orderkey % 5 WHEN 4 THEN '{{"model": "broken' WHEN 3 THEN '' ELSE
   concat('{{"model": "m', o_custkey % 4, '", "elapsed_s": ', o_orderkey % 100, '.5, "agg_step2": {{"组织标签": {{"correct": ', o_orderkey % 9, ', "total": 9, "accuracy": 0.5}}}}, "errors": [',
   CASE WHEN o_orderkey % 2 = 0 THEN '{{"official": "p", "episode_idx": 3, "field": "f", "gold": "g", "pred": "q"}}' ELSE '' END, ']}}') END AS value FROM {orders}"""

@@ -93,11 +93,15 @@ def read_rosters(spark: SparkSession, path: str, strict: bool = False) -> DataFr
     return parse_rosters(_whole_texts(spark, path), strict=strict)
 
 
+def biographies_of(files: DataFrame, file: str = "file", text: str = "text") -> DataFrame:
+    """(name, text) of whole files; the name is in the file's, ``{name}_biography.txt``, others are left out."""
+    name = F.regexp_extract(F.url_decode(file), r"([^/]+)_biography\.txt$", 1)
+    return files.select(name.alias("name"), F.col(text).alias("text")).filter("name <> ''")
+
+
 def read_biographies(spark: SparkSession, directory: str) -> DataFrame:
     """(name, text) from ``{name}_biography.txt`` files."""
-    t = _whole_texts(spark, f"{directory}/*_biography.txt")
-    name = F.regexp_extract(F.url_decode("file"), r"([^/]+)_biography\.txt$", 1)
-    return t.select(name.alias("name"), "text")
+    return biographies_of(_whole_texts(spark, f"{directory}/*_biography.txt"))
 
 
 # ---- stored results
