@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from twinledger import constants as K
 from twinledger.functions import dates as D
-from twinledger.functions.ordered import PART_ROWS, joined_text
 
 
 def consolidate(entries: DataFrame, key: str = "province", city_rule: bool = False) -> DataFrame:
@@ -96,12 +95,12 @@ def cross_check(a: DataFrame, b: DataFrame, key: str = "name") -> DataFrame:
         right.join(left, key, "left_anti").withColumn("only_in", F.lit("b")))
 
 
-def list_lines(entries: DataFrame, key: str = "province", part_rows: int = PART_ROWS, large: bool | None = None) -> DataFrame:
-    """Body of a list file per (key, role_kind): entries by start, unknown starts last, ties in list order."""
-    e = entries.withColumns({
-        "_s": F.when(F.coalesce("start", F.lit("")) == "", "9999").otherwise(F.col("start")),
-        "_l": D.format_entry(F.col("name"), F.coalesce("start", F.lit("")), F.coalesce("end", F.lit("")))})
-    return joined_text(e, [key, "role_kind"], ["_s", "ord"], F.col("_l"), "\n", "body", part_rows, large)
+def list_lines(entries: DataFrame, key: str = "province") -> DataFrame:
+    """Body of a list file per (key, role_kind), one row whatever its length: entries by start, unknown starts last, ties in list order."""
+    e = F.struct(F.when(F.coalesce("start", F.lit("")) == "", "9999").otherwise(F.col("start")).alias("s"), F.col("ord").alias("o"),
+                 D.format_entry(F.col("name"), F.coalesce("start", F.lit("")), F.coalesce("end", F.lit(""))).alias("l"))
+    g = entries.groupBy(key, "role_kind").agg(F.sort_array(F.collect_list(e)).alias("_e"))
+    return g.select(key, "role_kind", F.lit(0).alias("part"), F.array_join(F.transform("_e", lambda x: x["l"]), "\n").alias("body"))
 
 
 def title_role(title: Column) -> Column:

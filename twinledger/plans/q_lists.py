@@ -81,7 +81,7 @@ def p20(spark, sf):
 @query("d8_l2_list_file_body", ROSTER + """SELECT file, role_kind, 0 AS part, string_agg(concat(name, ', ', start, '-', "end"), chr(10) ORDER BY start, k) AS body FROM entries GROUP BY ALL""")
 def d8l2(spark, sf):
     e = readers.parse_rosters(B.roster_texts(spark, sf))
-    return L.list_lines(e, "file", large=False)  # a file has at most forty entries
+    return L.list_lines(e, "file")
 
 
 # ---- several sources
