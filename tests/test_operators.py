@@ -404,3 +404,100 @@ def test_unit_rules_against_every_name(spark):
         y = int(s[:4]) if s else None
         ok = [r for r in rules if u and r[1] in u and (r[5] is None or (y and y >= r[5])) and (r[6] is None or (y and y <= r[6]))]
         assert got[i] == (min(ok, key=lambda r: (-len(r[1]), r[0]))[2] if ok else None)
+
+
+def _versions(spark, seed, people=6, rows=40):
+    """Two random versions with people on one side only, lines of unequal size, empty and null values."""
+    r = random.Random(seed)
+    pick = lambda *v: r.choice(v)
+
+    def side(n, names):
+        return R.with_line_keys(spark.createDataFrame(
+            [(pick(*names), pick(None, 1, 2, 3), i, pick("1990", "1991.02", "1999", "", None), pick("至今", "2001.01", "2003", ""),
+              pick("甲", "乙省政府", "乙省人民政府", None), pick("主席", "书记", None)) for i in range(n)],
+            "name string, source_line long, pos long, start string, end string, unit string, position string"))
+
+    return side(rows, [f"p{i}" for i in range(people)]), side(rows, [f"p{i}" for i in range(2, people + 2)])
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_summary_without_differences_written_out(spark, large):
+    a, b = _versions(spark, 3)
+    want = R.summarize(R.people_in_both(a, b), R.diff_episodes(a, b))
+    got = R.summarize_episodes(R.both_sides(a, b, large, chunk_rows=5))
+    rows = lambda df: sorted(tuple(r) for r in df.select("name", "high_count", "medium_count", "verdict").collect())
+    assert rows(got) == rows(want) and len(rows(got)) == 4
+    # an empty side leaves nobody to compare
+    assert R.summarize_episodes(R.both_sides(a, b.limit(0), False)).count() == 0
+
+
+def test_indexed_records(spark):
+    s = "name string, episode_idx long, pos long, rank string"
+    a = spark.createDataFrame([("p", None, 0, "x"), ("p", 1, 1, "old"), ("p", 1, 2, "y"), ("q", 1, 0, "z"), ("r", 1, 0, "same"), ("r", 2, 1, None)], s)
+    b = spark.createDataFrame([("p", 0, 0, "x"), ("p", 1, 1, "w"), ("p", 7, 2, "more"), ("r", 1, 0, "same"), ("r", 2, 1, ""), ("s", 1, 0, "z")], s)
+    got = sorted(tuple(r) for r in R.diff_ranks(a, b).select("name", "episode_idx", "value_a", "value_b").collect())
+    assert got == [("p", 1, "y", "w"), ("p", 7, "", "more")]
+    people = sorted((r.name, r.medium_count, r.verdict) for r in R.summarize_indexed(a, b, ["rank"], [], rank_rule=True).collect())
+    assert people == [("p", 2, "NEEDS_REVIEW"), ("r", 0, "PASS")]
+    ctx = spark.createDataFrame([("p", 1, 5, "u", "o", None), ("q", 1, 5, "u", "o", "")], "name string, pos long, source_line long, unit string, position string, start string")
+    got = sorted(tuple(r) for r in R.diff_ranks(a, b, ctx.withColumn("seq", F.col("pos"))).select("name", "episode_idx", "source_line", "unit", "start").collect())
+    assert got == [("p", 1, 5, "u", ""), ("p", 7, 0, "", "")]
+    d = spark.createDataFrame([("p", 1, 0, "采纳LLM2", ""), ("p", 9, 1, "自行修正", "new"), ("q", 1, 2, "采纳LLM2", ""), ("p", 8, 3, "采纳LLM1", "")],
+                              "name string, episode_idx long, pos long, verdict string, correct_value string")
+    got = sorted(tuple(r) for r in M.resolve_ranks(a, b, d).select("name", "episode_idx", "rank").collect())
+    # an index that only B has stays out, one that only a correction has comes in
+    assert got == [("p", 0, "x"), ("p", 1, "w"), ("p", 9, "new"), ("q", 1, "z"), ("r", 1, "same"), ("r", 2, "")]
+
+
+def _merge_by_hand(a, b, decisions, keep_all):
+    """What merge_groups says, person by person."""
+    out = []
+    for name in {r.name for r in a}:
+        mine, theirs = [r for r in a if r.name == name], [r for r in b if r.name == name]
+        plans = {d.source_line: d for d in decisions if d.name == name}
+        rows = []
+        for r in sorted(mine, key=lambda r: r.pos):
+            first = min(x.pos for x in mine if x.line_zero == r.line_zero)
+            d = plans.get(r.line_zero)
+            judged = d is not None and bool(d.episodes)
+            from_b = d is not None and d.adopt == "LLM2" and any(x.line_zero == r.line_zero for x in theirs)
+            if d is None or (not judged and not from_b and (keep_all or r.pos == first)):
+                rows.append((r.line_zero, 0, r.pos, 0, r.unit))
+        for line, d in plans.items():
+            seen = [x.pos for x in mine if x.line_zero == line]
+            at = (0, min(seen)) if seen else (1, line)
+            if d.episodes:
+                rows += [(int(e.source_line) if e.source_line else line, *at, i, e.unit) for i, e in enumerate(d.episodes)]
+            elif d.adopt == "LLM2":
+                rows += [(line, *at, x.pos, x.unit) for x in theirs if x.line_zero == line]
+        if plans:
+            rows.sort(key=lambda r: r[:4])
+        out += [(name, i + 1, r[0], r[4]) for i, r in enumerate(rows)]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("keep_all", [False, True])
+def test_group_merge_against_a_plain_loop(spark, keep_all):
+    a, b = _versions(spark, 5)
+    new = [("2", "1990", "1991", "判定", "")]
+    d = spark.createDataFrame([("p2", 1, "LLM2", None), ("p2", 2, "LLM1", []), ("p3", 1, "LLM2", new), ("p3", 9, "LLM2", new), ("p4", 0, None, None),
+                               ("p0", 1, "LLM2", None), ("p7", 1, "LLM2", new)], GD)
+    want = _merge_by_hand(a.collect(), b.collect(), d.collect(), keep_all)
+    for options in ({"large": False}, {"large": True, "chunk_rows": 4}):
+        got = M.merge_groups(a, b, d, keep_all, **options).select("name", "seq", "source_line", "unit").collect()
+        assert sorted((tuple(r) for r in got), key=repr) == want
+    assert M.merge_groups(a.limit(0), b, d).count() == 0
+
+
+def test_field_merge_null_keys(spark):
+    e = spark.createDataFrame([("p", 1, 1, "1990", "1991", None, "q"), ("p", 2, None, "1990", "1991", "u", "q"), ("p", 3, 4, None, None, "u", "q"),
+                               ("p", 4, 4, "1990", "1991", "u", "q")],
+                              "name string, seq long, source_line long, start string, end string, unit string, position string")
+    b = eps(spark, (1, 0, "2000", "2001", None, "q"), (4, 1, "2002", "2003", "u", "q"))
+    d = spark.createDataFrame([("p", 1, None, "q", "1990", "start", "自行修正", "no", 0), ("p", None, "u", "q", "1990", "start", "自行修正", "no", 1),
+                               ("p", 4, "u", "q", None, "start", "自行修正", "no", 2), ("p", 4, "u", "q", "1990", "end", "采纳LLM2", "", 3),
+                               ("p", 4, "u", "q", "1990", "end", "采纳LLM1", "", 2)], FD)
+    skip = spark.createDataFrame([("p", None)], "name string, source_line long")
+    got = [(r.source_line, r.start, r.end) for r in M.merge_fields(e, b, d, skip).orderBy("seq").collect()]
+    # null keys match nothing; of several verdicts on a field the last counts
+    assert got == [(1, "1990", "1991"), (0, "1990", "1991"), (4, "", ""), (4, "1990", "2003")]

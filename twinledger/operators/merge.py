@@ -2,33 +2,77 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from twinledger import constants as K
 from twinledger.functions.dates import int_or_text
-from twinledger.functions.ordered import CHUNK_ROWS, ordinal
-from twinledger.operators.reconcile import last_by_index
+from twinledger.functions.ordered import CHUNK_ROWS, has_large_key, ordinal
+from twinledger.operators.reconcile import by_index
 
 LINE = ["name", "line_zero"]
 # positions only have to sort; sources without dense ones may use wide numbers
 ORDER = "decimal(38,0)"
 
 
-def _line_plans(a: DataFrame, b: DataFrame, decisions: DataFrame, keep_all: bool) -> DataFrame:
-    """What happens to each decided line: judge, b, first (only the first A row), all (A kept) or none."""
-    seen_a = a.groupBy(*LINE).agg(F.min("pos").alias("first_pos"))
-    seen_b = b.select(*LINE).distinct().withColumn("in_b", F.lit(True))
-    d = decisions.select("name", F.col("source_line").cast("long").alias("line_zero"),
-                         F.coalesce("adopt", F.lit("LLM1")).alias("adopt"), "episodes")
-    j = d.join(seen_a, LINE, "left").join(seen_b, LINE, "left")
-    in_a, in_b = F.col("first_pos").isNotNull(), F.col("in_b").isNotNull()
+def _tagged(a: DataFrame, b: DataFrame, groups: DataFrame, large: bool) -> DataFrame:
+    """Rows of a and b and the decided lines as one union, by ``tag`` a, b and g, partitioned once by person.
+
+    If one person is so large that ordered work is cut up, the union is not partitioned by person.
+    """
+    def rows(df: DataFrame, tag: str) -> DataFrame:
+        return df.select(*LINE, F.col("pos").cast(ORDER).alias("pos"), *K.EPISODE_FIELDS, F.lit(tag).alias("tag"))
+
+    decided = groups.select("name", F.col("source_line").cast("long").alias("line_zero"), F.lit("g").alias("tag"),
+                            F.coalesce("adopt", F.lit("LLM1")).alias("adopt"), "episodes")
+    u = rows(a, "a").unionByName(rows(b, "b")).unionByName(decided, allowMissingColumns=True)
+    return u if large else u.repartition("name")
+
+
+def _with_fates(u: DataFrame, keep_all: bool, large: bool) -> DataFrame:
+    """Add ``first_pos``, ``decided`` (the person has a decision) and ``kind``, what happens to the row's line: judge, b,
+    first (only the first A row) or all (A kept), none; null where nothing was decided."""
+    line, person, tag = W.partitionBy(*LINE), W.partitionBy("name"), F.col("tag")
+    is_a, is_g = tag == "a", tag == "g"
+    u = u.withColumns({
+        "first_pos": F.min(F.when(is_a, F.col("pos"))).over(line), "in_b": F.max(tag == "b").over(line),
+        "line_decided": F.max(is_g).over(line), "line_adopt": F.max("adopt").over(line),
+        "judged": F.coalesce(F.max(F.size("episodes") > 0).over(line), F.lit(False))})
+    if large:
+        u = u.join(u.groupBy("name").agg(F.max(is_g).alias("decided"), F.max(is_a).alias("has_a")), "name")
+    else:
+        u = u.withColumns({"decided": F.max(is_g).over(person), "has_a": F.max(is_a).over(person)})
     kind = (
-        F.when(F.size("episodes") > 0, "judge")
-        .when(F.col("adopt").isin(K.GROUP_ADOPT_B) & in_b, "b")
-        .when(in_a, F.lit("all" if keep_all else "first"))
+        F.when(F.col("judged"), "judge")
+        .when(F.col("line_adopt").isin(K.GROUP_ADOPT_B) & F.col("in_b"), "b")
+        .when(F.col("first_pos").isNotNull(), F.lit("all" if keep_all else "first"))
         .otherwise("none")
     )
-    return j.select(*LINE, "first_pos", "episodes", kind.alias("kind"))
+    return u.filter("has_a").withColumn("kind", F.when(F.col("line_decided"), kind))
+
+
+def _placed(u: DataFrame, chunk_rows: int, large: bool) -> DataFrame:
+    """Rows that stay, with ``seq``, from the rows of ``_with_fates``."""
+    tag, kind = F.col("tag"), F.col("kind")
+    zero = F.lit(0).cast(ORDER)
+    unseen = F.col("first_pos").isNull()
+    anchor = F.coalesce("first_pos", F.col("line_zero").cast(ORDER))
+
+    def piece(line: Column, of, sorted_: Column, unseen_: Column, anchor_: Column, idx: Column) -> Column:
+        return F.struct(line.alias("line"), *[of(f).alias(f) for f in K.EPISODE_FIELDS], sorted_.alias("sorted"),
+                        unseen_.alias("unseen"), anchor_.alias("anchor"), idx.alias("idx"))
+
+    from_a = piece(F.col("line_zero"), F.col, F.col("decided"), F.lit(False), F.col("pos"), zero)
+    from_b = piece(F.col("line_zero"), F.col, F.lit(True), unseen, anchor, F.col("pos"))
+    judged = F.transform("episodes", lambda e, i: piece(
+        F.coalesce(e["source_line"].try_cast("long"), F.col("line_zero")), lambda f: e[f], F.lit(True), unseen, anchor, i.cast(ORDER)))
+    stays = kind.isNull() | (kind == "all") | ((kind == "first") & (F.col("pos") == F.col("first_pos")))
+    pieces = (
+        F.when((tag == "a") & stays, F.array(from_a)).when((tag == "b") & (kind == "b"), F.array(from_b))
+        .when((tag == "g") & (kind == "judge"), judged)
+    )
+    rows = u.select("name", F.inline(pieces)).withColumn("_line", F.when(F.col("sorted"), F.col("line")).otherwise(F.lit(0)))
+    out = ordinal(rows, ["name"], ["_line", "unseen", "anchor", "idx"], "seq", chunk_rows, large)
+    return out.select("name", "seq", F.col("line").alias("source_line"), *K.EPISODE_FIELDS)
 
 
 def merge_groups(a: DataFrame, b: DataFrame, decisions: DataFrame, keep_all: bool = False,
@@ -38,32 +82,13 @@ def merge_groups(a: DataFrame, b: DataFrame, decisions: DataFrame, keep_all: boo
     ``decisions`` has one row per (name, source_line) with ``adopt`` and replacement ``episodes`` (may be null).
     Adopting A keeps only the first A row of the line, unless ``keep_all``.  People with a decision are sorted by
     line, arrival order breaking ties; others keep their order.
+
+    Both sources and the decisions travel as one union; what happens to a line, and the numbering, are windows on its
+    partitioning by person.
     """
-    cols = [*LINE, "pos", *K.EPISODE_FIELDS]
-    d = decisions.join(a.select("name").distinct(), "name", "left_semi")
-    plans = _line_plans(a, b, d, keep_all)
-    decided = d.select("name").distinct().withColumn("_decided", F.lit(True))
-    small = plans.select(*LINE, "kind", "first_pos")
-    unseen = F.col("first_pos").isNull().cast("int")
-    anchor = F.coalesce(F.col("first_pos").cast(ORDER), F.col("line_zero").cast(ORDER))
-
-    kept = a.select(*cols).join(small, LINE, "left").filter(
-        F.col("kind").isNull() | (F.col("kind") == "all") | ((F.col("kind") == "first") & (F.col("pos") == F.col("first_pos")))
-    ).join(decided, "name", "left").select(
-        "name", "line_zero", *K.EPISODE_FIELDS, F.coalesce("_decided", F.lit(False)).alias("sorted"),
-        F.lit(0).alias("unseen"), F.col("pos").cast(ORDER).alias("anchor"), F.lit(0).cast(ORDER).alias("idx"))
-    from_b = b.select(*cols).join(small.filter("kind = 'b'"), LINE).select(
-        "name", "line_zero", *K.EPISODE_FIELDS, F.lit(True).alias("sorted"), unseen.alias("unseen"),
-        anchor.alias("anchor"), F.col("pos").cast(ORDER).alias("idx"))
-    judged = plans.filter("kind = 'judge'").select(
-        *LINE, "first_pos", F.posexplode("episodes").alias("idx", "e")).select(
-        "name", F.coalesce(F.col("e.source_line").try_cast("long"), F.col("line_zero")).alias("line_zero"),
-        *[F.col(f"e.{f}").alias(f) for f in K.EPISODE_FIELDS], F.lit(True).alias("sorted"), unseen.alias("unseen"),
-        anchor.alias("anchor"), F.col("idx").cast(ORDER).alias("idx"))
-    rows = kept.unionByName(from_b).unionByName(judged).withColumn(
-        "_line", F.when(F.col("sorted"), F.col("line_zero")).otherwise(F.lit(0)))
-    out = ordinal(rows, ["name"], ["_line", "unseen", "anchor", "idx"], "seq", chunk_rows, large)
-    return out.select("name", "seq", F.col("line_zero").alias("source_line"), *K.EPISODE_FIELDS)
+    if large is None:
+        large = has_large_key(a.select("name").unionByName(b.select("name")), ["name"], chunk_rows)
+    return _placed(_with_fates(_tagged(a, b, decisions, large), keep_all, large), chunk_rows, large)
 
 
 def merge_fields(eps: DataFrame, b: DataFrame, decisions: DataFrame, skip_lines: DataFrame,
@@ -73,31 +98,41 @@ def merge_fields(eps: DataFrame, b: DataFrame, decisions: DataFrame, skip_lines:
     Lines in ``skip_lines`` were handled as groups.  ``pairing='exact'`` takes B's value from the last B row with the
     same unit and position, so adopting B on those two fields changes nothing; ``'zip'`` takes the value B had at the
     same place of the line, which a ``value_b`` column of the decision must carry.
+
+    Merged rows, B's rows, decisions and skipped lines travel as one union, partitioned once by line.
     """
-    key = ["name", "source_line", "unit", "position", "start"]
-    v = F.struct("verdict", "correct_value", *(["value_b"] if pairing == "zip" else []))
-    per_ep = decisions.groupBy(*key).agg(*[
-        F.max_by(F.when(F.col("field") == f, v), F.when(F.col("field") == f, F.col("pos"))).alias(f"d_{f}")
-        for f in K.EPISODE_FIELDS])
-    bl = b.select("name", F.col("line_zero").alias("source_line"), "unit", "position", "pos", "start", "end")
-    b_last = bl.groupBy("name", "source_line", "unit", "position").agg(
-        F.max_by(F.struct("start", "end"), F.col("pos")).alias("b"))
-    skip = skip_lines.select("name", F.col("source_line").cast("long").alias("source_line")).distinct().withColumn(
-        "_skip", F.lit(True))
-    j = (
-        eps.join(per_ep, key, "left").join(skip, ["name", "source_line"], "left")
-        .join(b_last, ["name", "source_line", "unit", "position"], "left")
-    )
+    line = ["name", "source_line"]
+    extra = ["value_b"] if pairing == "zip" else []
+    rows = eps.select(*line, "seq", *K.EPISODE_FIELDS, F.lit("e").alias("tag"))
+    for part in (
+        b.select("name", F.col("line_zero").alias("source_line"), *K.EPISODE_FIELDS, F.col("pos").cast(ORDER).alias("pos"), F.lit("b").alias("tag")),
+        decisions.select(*line, "unit", "position", "start", F.col("pos").cast(ORDER).alias("pos"), "field", "verdict", "correct_value", *extra,
+                         F.lit("f").alias("tag")),
+        skip_lines.select("name", F.col("source_line").cast("long").alias("source_line"), F.lit("g").alias("tag")),
+    ):
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    post = [*line, "unit", "position"]
+    is_b, tag = F.col("tag") == "b", F.col("tag")
+    v = F.struct("verdict", "correct_value", *extra)
+    own = {f: (tag == "f") & (F.col("field") == f) for f in K.EPISODE_FIELDS}
+    # the widest key first: its sort serves the other two
+    j = rows.repartition(*line).withColumns({
+        f"d_{f}": F.max_by(F.when(c, v), F.when(c, F.col("pos"))).over(W.partitionBy(*post, "start")) for f, c in own.items()})
+    j = j.withColumn("b", F.max_by(F.when(is_b, F.struct("start", "end")), F.when(is_b, F.col("pos"))).over(W.partitionBy(*post)))
+    j = j.withColumn("_skip", F.max(tag == "g").over(W.partitionBy(*line))).filter(tag == "e")
+    # null keys match nothing
+    keyed = F.col("source_line").isNotNull()
+    at_post = keyed & F.col("unit").isNotNull() & F.col("position").isNotNull()
     out = {}
     for f in K.EPISODE_FIELDS:
-        d = F.col(f"d_{f}")
+        d = F.when(at_post & F.col("start").isNotNull(), F.col(f"d_{f}"))
         if pairing == "zip":
             b_val = d["value_b"]
         else:
-            b_val = F.col(f"b.{f}") if f in ("start", "end") else F.col(f)
+            b_val = F.when(at_post, F.col(f"b.{f}")) if f in ("start", "end") else F.col(f)
         corrected = F.nullif(d["correct_value"], F.lit(""))
         new = F.when(d["verdict"].isin(K.ADOPT_B), b_val).when(d["verdict"].isin(K.CORRECTED), corrected)
-        out[f] = F.coalesce(F.when(F.col("_skip").isNull(), new), F.col(f), F.lit(""))
+        out[f] = F.coalesce(F.when(~(F.col("_skip") & keyed), new), F.col(f), F.lit(""))
     return j.select("name", "seq", F.coalesce("source_line", F.lit(0)).alias("source_line"),
                     *[e.alias(f) for f, e in out.items()])
 
@@ -111,13 +146,12 @@ def merge_classes(eps: DataFrame, a: DataFrame, b: DataFrame, decisions: DataFra
                   fields: list[str] = K.CLASS_FIELDS) -> DataFrame:
     """Layer classifications on merged episodes: A, else B when A is empty, then the decisions per (index, field)."""
     key = ["name", "seq"]
-    la = last_by_index(a, fields).select("name", F.col("episode_idx").alias("seq"), F.struct(*fields).alias("a"))
-    lb = last_by_index(b, fields).select("name", F.col("episode_idx").alias("seq"), F.struct(*fields).alias("b"))
+    both = by_index(a, b, fields).select("name", F.col("episode_idx").alias("seq"), "a", "b")
     v = F.struct("verdict", "correct_value")
     d = decisions.groupBy("name", F.col("episode_idx").alias("seq")).agg(*[
         F.max_by(F.when(F.col("field") == f, v), F.when(F.col("field") == f, F.col("pos"))).alias(f"d_{f}")
         for f in fields])
-    j = eps.join(la, key, "left").join(lb, key, "left").join(d, key, "left")
+    j = eps.join(both, key, "left").join(d, key, "left")
 
     def value(f: str) -> Column:
         va, vb, dec = F.col(f"a.{f}"), F.col(f"b.{f}"), F.col(f"d_{f}")
@@ -132,10 +166,10 @@ def merge_classes(eps: DataFrame, a: DataFrame, b: DataFrame, decisions: DataFra
 def resolve_ranks(a: DataFrame, b: DataFrame, decisions: DataFrame) -> DataFrame:
     """(name, episode_idx, rank): A's ranks with the decisions applied; a decision may add an index."""
     key = ["name", "episode_idx"]
-    la = last_by_index(a, ["rank"]).select(*key, F.coalesce("rank", F.lit("")).alias("ra"), F.lit(True).alias("in_a"))
-    lb = last_by_index(b, ["rank"]).select(*key, F.col("rank").alias("rb"), F.lit(True).alias("in_b"))
+    both = by_index(a, b, ["rank"]).select(
+        *key, "in_a", "in_b", F.when(F.col("in_a"), F.coalesce("a.rank", F.lit(""))).alias("ra"), F.col("b.rank").alias("rb"))
     d = decisions.groupBy(*key).agg(F.max_by(F.struct("verdict", "correct_value"), F.col("pos")).alias("d"))
-    j = la.join(d, key, "full_outer").join(lb, key, "left")
+    j = both.join(d, key, "full_outer")
     adopt_b = F.col("d.verdict").isin(K.ADOPT_B)
     fixed = F.when(F.col("d.verdict").isin(K.CORRECTED), F.nullif(F.col("d.correct_value"), F.lit("")))
     rank = F.when(adopt_b, F.when(F.col("in_b"), F.coalesce("rb", F.lit(""))).otherwise(F.coalesce("ra", F.lit("")))).otherwise(

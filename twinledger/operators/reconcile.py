@@ -65,13 +65,17 @@ def group_sizes(u: DataFrame) -> DataFrame:
         F.count_if(F.col("side") == "a").alias("n_a"), F.count_if(F.col("side") == "b").alias("n_b"))
 
 
-def pairs(u: DataFrame) -> DataFrame:
-    """k-th row of side a with the k-th row of side b of the same line, up to the shorter side."""
+def by_rank(u: DataFrame) -> DataFrame:
+    """One row per (name, line, k): the k-th rows of both sides as structs ``a`` and ``b``, null beyond a side's end."""
     fields = F.struct("pos", *K.EPISODE_FIELDS)
-    p = u.groupBy("name", "line_pos", "rn").agg(
+    return u.groupBy("name", "line_pos", "rn").agg(
         F.max(F.when(F.col("side") == "a", fields)).alias("a"),
         F.max(F.when(F.col("side") == "b", fields)).alias("b"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))
-    return p.filter("a is not null and b is not null")
+
+
+def pairs(u: DataFrame) -> DataFrame:
+    """k-th row of side a with the k-th row of side b of the same line, up to the shorter side."""
+    return by_rank(u).filter("a is not null and b is not null")
 
 
 def date_level(va: Column, vb: Column, open_end: str = "reference", fa: Column | None = None,
@@ -99,10 +103,14 @@ def episode_level(field: str, va: Column, vb: Column) -> Column:
     return F.when(va != vb, level)
 
 
+def _with_years(p: DataFrame) -> DataFrame:
+    # fractional years as columns of their own, so that each is computed once per pair
+    return p.withColumns({f"_{f}_{s}": D.frac_year(F.coalesce(F.col(f"{s}.{f}"), F.lit(""))) for f in ("start", "end") for s in "ab"})
+
+
 def field_diffs(p: DataFrame) -> DataFrame:
     """One row per differing field of each pair."""
-    # fractional years as columns of their own, so that each is computed once per pair
-    p = p.withColumns({f"_{f}_{s}": D.frac_year(F.coalesce(F.col(f"{s}.{f}"), F.lit(""))) for f in ("start", "end") for s in "ab"})
+    p = _with_years(p)
     rows = F.array(*[
         F.struct(F.lit(i).alias("field_no"), F.lit(f).alias("field"), F.coalesce(F.col(f"a.{f}"), F.lit("")).alias("value_a"),
                  F.coalesce(F.col(f"b.{f}"), F.lit("")).alias("value_b"),
@@ -177,6 +185,23 @@ def summarize(people: DataFrame, diffs: DataFrame, rank_rule: bool = False) -> D
     return counted.withColumn("verdict", v)
 
 
+def summarize_episodes(u: DataFrame) -> DataFrame:
+    """What ``summarize`` says of ``diff_episodes``, from the rows of ``both_sides`` alone.
+
+    Levels are counted inside each pair, and a line whose sides differ in size counts once, at its first rank; no
+    difference is written out.  All of it follows the partitioning by person.
+    """
+    p = _with_years(by_rank(u))
+    levels = F.array(*[episode_level(f, F.col(f"a.{f}"), F.col(f"b.{f}")) for f in K.EPISODE_FIELDS])
+    paired = F.col("a").isNotNull() & F.col("b").isNotNull()
+    p = p.select("name", F.when(paired, levels).otherwise(F.array()).alias("levels"),
+                 F.when((F.col("rn") == 1) & (F.col("n_a") != F.col("n_b")), 1).otherwise(0).alias("uneven"))
+    found = lambda level: F.size(F.filter("levels", lambda x: x == level))
+    counted = p.groupBy("name").agg(
+        F.sum(found(HIGH)).alias("high_count"), F.sum(found(MEDIUM) + F.col("uneven")).alias("medium_count"))
+    return counted.withColumn("verdict", verdict(F.col("high_count"), F.col("medium_count")))
+
+
 def run_summary(summary: DataFrame) -> DataFrame:
     return summary.groupBy("verdict").agg(F.count(F.lit(1)).alias("people"))
 
@@ -190,32 +215,78 @@ def last_by_index(df: DataFrame, columns: list[str], idx: str = "episode_idx") -
     )
 
 
-def diff_indexed(a: DataFrame, b: DataFrame, fields: list[str], high: list[str], scope: str,
-                 context: DataFrame | None = None, idx: str = "episode_idx") -> DataFrame:
-    """Differences of records keyed by (name, index); a missing side counts as empty values."""
-    people = people_in_both(a, b)
-    tagged = (
-        a.select("name", idx, "pos", *fields).withColumn("side", F.lit("a"))
-        .unionByName(b.select("name", idx, "pos", *fields).withColumn("side", F.lit("b")))
-        .join(people, "name", "left_semi").withColumn(idx, F.coalesce(F.col(idx), F.lit(0)))
-    )
-    rec = F.struct(*fields)
-    wide = tagged.groupBy("name", idx).agg(
-        F.max_by(rec, F.when(F.col("side") == "a", F.col("pos"))).alias("a"),
-        F.max_by(rec, F.when(F.col("side") == "b", F.col("pos"))).alias("b"))
+def by_index(a: DataFrame, b: DataFrame, fields: list[str], idx: str = "episode_idx",
+             context: DataFrame | None = None) -> DataFrame:
+    """(name, index, a, b, in_a, in_b): on each side the last of duplicates by ``pos``.  A missing index is 0.
+
+    One union and one aggregate with map-side combining.  Comparing and merging the same two tables take the same rows,
+    so inside one query the second finds the exchange of the first.  ``context`` rows travel along as a third side and
+    come out as ``c``.
+    """
+    def side(df: DataFrame, s: str) -> DataFrame:
+        return df.select("name", F.coalesce(F.col(idx), F.lit(0)).alias(idx), "pos", *fields, F.lit(s).alias("side"))
+
+    u = side(a, "a").unionByName(side(b, "b"))
+    extra = []
+    if context is not None:
+        c = context.select("name", F.coalesce("seq", "pos").alias(idx), "pos", "source_line", "unit", "position", "start")
+        u = u.unionByName(c.withColumn("side", F.lit("c")), allowMissingColumns=True)
+        extra = [_last_of("c", ["source_line", "unit", "position", "start"])]
+    wide = u.groupBy("name", idx).agg(
+        _last_of("a", fields), _last_of("b", fields), F.max(F.col("side") == "a").alias("in_a"),
+        F.max(F.col("side") == "b").alias("in_b"), *extra)
+    return wide.filter("in_a or in_b") if context is not None else wide
+
+
+def _last_of(side: str, fields: list[str]) -> Column:
+    mine = F.col("side") == side
+    return F.max_by(F.when(mine, F.struct(*fields)), F.when(mine, F.col("pos"))).alias(side)
+
+
+def _of_shared_people(wide: DataFrame) -> DataFrame:
+    """Rows of people that occur on both sides.  A person's indices meet in one window, which spills if it must."""
+    person = W.partitionBy("name")
+    return wide.withColumns({"_pa": F.max("in_a").over(person), "_pb": F.max("in_b").over(person)}).filter(
+        "_pa and _pb").drop("_pa", "_pb")
+
+
+def _index_diffs(fields: list[str], high: list[str]) -> Column:
+    """The differing fields of one row of ``by_index``, with both values and the level."""
     rows = []
     for f in fields:
         va, vb = F.coalesce(F.col(f"a.{f}"), F.lit("")), F.coalesce(F.col(f"b.{f}"), F.lit(""))
         rows.append(F.struct(F.lit(f).alias("field"), va.alias("value_a"), vb.alias("value_b"),
                              F.lit(HIGH if f in high else MEDIUM).alias("level")))
-    out = wide.select("name", idx, F.inline(F.filter(F.array(*rows), lambda r: r["value_a"] != r["value_b"])))
-    out = out.withColumn("scope", F.lit(scope))
+    return F.filter(F.array(*rows), lambda r: r["value_a"] != r["value_b"])
+
+
+def diff_indexed(a: DataFrame, b: DataFrame, fields: list[str], high: list[str], scope: str,
+                 context: DataFrame | None = None, idx: str = "episode_idx") -> DataFrame:
+    """Differences of records keyed by (name, index); a missing side counts as empty values.
+
+    ``context`` has one row per (name, seq), where ``seq`` may be missing and is ``pos`` then.
+    """
+    wide = _of_shared_people(by_index(a, b, fields, idx, context))
+    ctx = []
     if context is not None:
-        ctx = context.select("name", F.coalesce("seq", "pos").alias(idx), "source_line", "unit", "position", "start")
-        out = out.join(ctx, ["name", idx], "left").withColumns({
-            "source_line": F.coalesce("source_line", F.lit(0)),
-            **{c: F.coalesce(c, F.lit("")) for c in ("unit", "position", "start")}})
-    return out
+        ctx = [F.coalesce("c.source_line", F.lit(0)).alias("source_line"),
+               *[F.coalesce(f"c.{c}", F.lit("")).alias(c) for c in ("unit", "position", "start")]]
+    return wide.select("name", idx, F.inline(_index_diffs(fields, high)), *ctx).withColumn("scope", F.lit(scope))
+
+
+def summarize_indexed(a: DataFrame, b: DataFrame, fields: list[str], high: list[str], rank_rule: bool = False,
+                      idx: str = "episode_idx") -> DataFrame:
+    """What ``summarize`` says of ``diff_indexed``, without writing out the differences."""
+    d = F.col("_d")
+    wide = by_index(a, b, fields, idx).withColumn("_d", _index_diffs(fields, high))
+    n_high = F.size(F.filter(d, lambda r: r["level"] == HIGH))
+    counted = wide.groupBy("name").agg(
+        F.sum(n_high).alias("high_count"), F.sum(F.size(d) - n_high).alias("medium_count"),
+        F.max("in_a").alias("_pa"), F.max("in_b").alias("_pb")).filter("_pa and _pb").drop("_pa", "_pb")
+    v = verdict(F.col("high_count"), F.col("medium_count"))
+    if rank_rule:
+        v = F.when(F.col("high_count") + F.col("medium_count") > 0, "NEEDS_REVIEW").otherwise("PASS")
+    return counted.withColumn("verdict", v)
 
 
 def diff_classes(a: DataFrame, b: DataFrame, fields: list[str] = K.CLASS_FIELDS, context: DataFrame | None = None):

@@ -108,8 +108,7 @@ def f3(spark, sf):
 
 
 def step1_summary(spark, sf):
-    a, b = _ab(spark, sf)
-    return R.summarize(R.people_in_both(a, b), R.diff_episodes(a, b, B.large_names(spark, sf)))
+    return R.summarize_episodes(_u(spark, sf))
 
 
 @query("f9_verdict", ALL_DIFFS + "," + SUMMARY + f" SELECT *, {S.verdict('high_count', 'medium_count')} AS verdict FROM summary")
@@ -181,7 +180,7 @@ def f5(spark, sf):
 FROM (SELECT name, NULL AS level FROM (SELECT name FROM rank_a INTERSECT SELECT name FROM rank_b) UNION ALL SELECT name, level FROM rank_diffs) t
 GROUP BY name""")
 def f5_verdict(spark, sf):
-    return R.summarize(R.people_in_both(B.ranks_a(spark, sf), B.ranks_b(spark, sf)), rank_diffs(spark, sf), rank_rule=True)
+    return R.summarize_indexed(B.ranks_a(spark, sf), B.ranks_b(spark, sf), ["rank"], [], rank_rule=True)
 
 
 @query("j5_context_lookup", B.CLASS_WITH + f""", class_diffs AS ({_class_unpivot(K.CLASS_FIELDS, K.CLASS_HIGH)}),
