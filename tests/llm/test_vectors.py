@@ -53,3 +53,31 @@ def test_components(spark):
     want = {i: 0 for i in range(61)} | {100: 100, 101: 100} | {i: 300 for i in range(300, 340)}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_repeated_ids_and_copies(spark):
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((40, 7)).round(3)
+    x[30] = x[3]
+    rows = [(int(i), [float(a) for a in v]) for i, v in enumerate(x)]
+    again = [(3, [9.0] * 7), (5, rows[5][1])]  # the smallest vector of an id counts
+    df = spark.createDataFrame([(i, v, "x", True) for i, v in rows + again], "vec_id long, embedding array<double>, a string, fresh boolean")
+    smallest = {i: min([v] + [w for j, w in again if j == i]) for i, v in rows}
+    got = sorted((r.query_id, r.rank, r.vec_id, round(r.score, 12)) for r in nn_descent.nearest(df, df.where("vec_id % 10 = 0")).collect())
+    want = brute(sorted(smallest.items()), 5, range(0, 40, 10))
+    assert got == [(q, n + 1, i, round(s, 12)) for q in want for n, (i, s) in enumerate(want[q])]
+    v = x[3]
+    first = [r for r in got if r[:2] == (30, 1)][0]
+    assert first[2] == 3 and first[3] == round(v @ v / (np.linalg.norm(v) ** 2), 12)
+
+
+def test_graph_settles(spark):
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((600, 12))
+    nodes = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)], "id long, v array<double>")
+    graph = nn_descent.build_graph(nodes, 12, k=10, run=16, orders=2, settled=0.005).collect()
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    sims = u @ u.T
+    np.fill_diagonal(sims, -2)
+    want = {(i, int(j)) for i in range(600) for j in np.argsort(-sims[i])[:10]}
+    assert len(graph) == 6000 and len({(r.a, r.b) for r in graph} & want) >= 0.9 * len(want)

@@ -1,8 +1,10 @@
 """Approximate nearest neighbours by cosine: a neighbour graph by NN-descent, searched greedily from its nodes.
 
 Equal vectors are one node.  First lists come from several random orders of the nodes, cut into short runs.  Each
-round of NN-descent then joins every node's neighbours, and those that have it as a neighbour, with each other and keeps
-the best per node.  A query walks the graph: it opens the best nodes it has seen, meets their neighbours, and goes on.
+round of NN-descent then joins every node's neighbours, and those that have it as a neighbour, with each other where one
+of the two is new to the node, and keeps the best per node, until few entries change.  A query walks the graph: it opens
+the best nodes it has seen, meets their neighbours, and goes on until all of its best are open.  So both the number of
+rounds and the length of a walk follow from the data.
 """
 
 from __future__ import annotations
@@ -42,9 +44,10 @@ def valid_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame
 
 
 def top(edges: DataFrame, k: int) -> DataFrame:
-    """The k best b of each a, ties to the smaller b."""
+    """The k best b of each a, ties to the smaller b; `fresh` if none of the equal edges is old."""
     best = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("sim"), "b"))
-    return edges.dropDuplicates(["a", "b"]).select("a", "b", "sim", best.alias("r")).where(F.col("r") <= k).drop("r")
+    one = edges.groupBy("a", "b").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
+    return one.withColumn("r", best).where(F.col("r") <= k).drop("r")
 
 
 def first_lists(nodes: DataFrame, dims: int, k: int, orders: int, run: int, seed: int) -> DataFrame:
@@ -89,23 +92,30 @@ def runs(batches: Iterator[pa.RecordBatch], run: int) -> Iterator[pa.Table]:
 
 
 def descend(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """One round: neighbours of neighbours.  Of the nodes that have one as a neighbour, the k nearest take part."""
-    back = top(graph.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"), k)
-    around = graph.unionByName(back).dropDuplicates(["a", "b"])
+    """One round: neighbours of neighbours.  Of the nodes that have one as a neighbour, the k nearest take part.
+
+    Two neighbours meet if one of them is fresh, that is came in the round before; others have met already.
+    """
+    back = top(graph.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim", "fresh"), k)
+    around = graph.unionByName(back).groupBy("a", "b").agg(F.max("fresh").alias("fresh"))
     # the least similarity that still enters a node's list
     least = graph.groupBy("a").agg(F.when(F.count("*") >= k, F.min("sim")).otherwise(F.lit(-2.0)).alias("least"))
     held = nodes.join(least, nodes.id == least.a).select("id", "v", "least")
-    near = around.join(held, around.b == held.id).select(F.col("a").alias("at"), "id", "v", "least")
+    near = around.join(held, around.b == held.id).select(F.col("a").alias("at"), "id", "v", "least", "fresh")
 
     def local(table: pa.Table) -> pa.Table:
+        fresh = np.asarray(table["fresh"].combine_chunks().to_numpy(zero_copy_only=False), bool)
+        if not fresh.any():
+            return EDGE.empty_table()
         ids, x, least = table["id"].to_numpy(), unit(matrix(table["v"])), table["least"].to_numpy()
         sims = x @ x.T
         np.fill_diagonal(sims, -3)
-        i, j = np.nonzero(sims > least[:, None])
+        i, j = np.nonzero((sims > least[:, None]) & (fresh[:, None] | fresh))
         return pa.Table.from_arrays([pa.array(ids[i]), pa.array(ids[j]), pa.array(sims[i, j])], schema=EDGE)
 
     found = near.groupBy("at").applyInArrow(local, EDGE_DDL)
-    return top(graph.unionByName(found), k)
+    old = graph.withColumn("fresh", F.lit(False))
+    return top(old.unionByName(found.withColumn("fresh", F.lit(True))), k)
 
 
 def small(v):
@@ -114,13 +124,18 @@ def small(v):
     return F.transform(v, lambda x: (x / most).cast("float"))
 
 
-def build_graph(nodes: DataFrame, dims: int, k: int = 32, orders: int = 8, run: int = 128, rounds: int = 4, seed: int = 0) -> DataFrame:
-    """a, b, sim: about the k nearest b of each node a.  Similarities are good to single precision; answers are scored anew."""
+def build_graph(nodes: DataFrame, dims: int, k: int = 32, orders: int = 8, run: int = 128, settled: float = 0.02, seed: int = 0) -> DataFrame:
+    """a, b, sim: about the k nearest b of each node a.  Similarities are good to single precision; answers are scored anew.
+
+    Rounds go on until at most the share `settled` of all entries is new.
+    """
     nodes = cut(nodes.select("id", small(F.col("v")).alias("v")))
-    graph = cut(top(first_lists(nodes, dims, k, orders, run, seed), k))
-    for _ in range(rounds):
+    graph = cut(top(first_lists(nodes, dims, k, orders, run, seed).withColumn("fresh", F.lit(True)), k))
+    while True:
+        size = graph.agg(F.count("*").alias("n"), F.count_if("fresh").alias("fresh")).first()
+        if size.fresh <= settled * size.n:
+            return graph.drop("fresh")
         graph = cut(descend(graph, nodes, k))
-    return graph
 
 
 def cosines(pairs: DataFrame) -> DataFrame:
@@ -135,17 +150,20 @@ def cosines(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "va", "b", "vb").mapInArrow(run, EDGE_DDL)
 
 
-def search(starts: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int, opened: int, hops: int) -> DataFrame:
+def search(starts: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int, opened: int) -> DataFrame:
     """a, b, sim: the `beam` nearest nodes seen from each start a, itself included.
 
-    Each hop opens the best `opened` nodes not opened yet of each start's beam.
+    Each hop opens the best `opened` nodes not opened yet of each start's beam; the walk ends when no start has one.
+    A beam only gets better, so a node that left it stays out and the walk comes to an end.
     """
     mine = nodes.join(starts, nodes.id == starts.a, "left_semi").select(F.col("id").alias("a"), F.col("v").alias("va"))
     theirs = nodes.select(F.col("id").alias("b"), F.col("v").alias("vb"))
     both_ways = graph.select("a", "b").unionByName(graph.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    links = cut(top(both_ways.withColumn("sim", -F.xxhash64("a", "b").cast("double")).unionByName(graph), 2 * graph_width(graph)).select(F.col("a").alias("at"), F.col("b").alias("next")))
-    seen = cut(mine.select("a", F.col("a").alias("b"), F.lit(1.0).alias("sim"), F.lit(False).alias("open")))
-    for _ in range(hops):
+    every = both_ways.withColumn("sim", -F.xxhash64("a", "b").cast("double")).unionByName(graph).withColumn("fresh", F.lit(False))
+    links = cut(top(every, 2 * graph_width(graph)).select(F.col("a").alias("at"), F.col("b").alias("next")))
+    own = mine.select("a", "va", F.col("a").alias("b"), F.col("va").alias("vb"))
+    seen = cut(cosines(own).withColumn("open", F.lit(False)))
+    while not seen.where("not open").isEmpty():
         rank = F.row_number().over(Window.partitionBy("a", "open").orderBy(F.desc("sim"), "b"))
         marked = seen.withColumn("now", ~F.col("open") & (rank <= opened))
         new = marked.where("now").join(links, F.col("b") == links["at"]).select("a", F.col("next").alias("b")).distinct()
@@ -162,14 +180,15 @@ def graph_width(graph: DataFrame) -> int:
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
-            beam: int = 96, opened: int = 16, hops: int = 4, **graph_options) -> DataFrame:
+            beam: int = 192, opened: int = 32, **graph_options) -> DataFrame:
     """query_id, rank (from 1), id, score: each query's k nearest of all other rows, largest cosine first.
 
     queries: rows of `vectors`, by id.  Ties go to the smaller id.  Vectors that are null, zero, of another length than
-    most, or hold null or non-finite components take no part, neither do rows with a null id.  Ids are taken as
-    distinct; rows that repeat an id count once.  Fewer rows than k give fewer neighbours.
+    most, or hold null or non-finite components take no part, neither do rows with a null id.  Rows that repeat an id
+    count once, with the smallest of their vectors.  Fewer rows than k give fewer neighbours, an empty table none;
+    columns other than the two named are not looked at.
     """
-    rows = valid_vectors(vectors, id_col, vector_col).dropDuplicates(["id"])
+    rows = valid_vectors(vectors, id_col, vector_col).groupBy("id").agg(F.min("v").alias("v"))
     # of equal vectors the first k + 1 are enough; ranks are limited before the shuffle, so no copies travel
     rank = F.row_number().over(Window.partitionBy("v").orderBy("id"))
     few = cut(rows.withColumn("r", rank).where(F.col("r") <= k + 1))
@@ -182,7 +201,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "v
     asked = rows.join(queries.select(F.col(id_col).cast("long").alias("id")).distinct(), "id", "left_semi")
     asked = cut(asked.join(nodes.select(F.col("id").alias("node"), F.col("v").alias("nv")), F.col("v") == F.col("nv")).select("id", "node"))
     starts = asked.groupBy("node").agg(F.count("*").alias("n"))
-    found = search(starts.select(F.col("node").alias("a")), graph, nodes, beam, opened, hops)
+    found = search(starts.select(F.col("node").alias("a")), graph, nodes, beam, opened)
     # exact scores of the first few, once for each distinct query
     best = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("sim"), "b"))
     found = found.withColumn("r", best).where(F.col("r") <= k + 1)
