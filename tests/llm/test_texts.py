@@ -2,11 +2,13 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,6 +152,21 @@ def test_substrings_null_id(spark, frame):
     assert substring_dedup.remove_repeats(frame([])).count() == 0
 
 
+def test_substring_answers_reach_their_part(spark, frame, corpus):
+    def found(parts):
+        rows = substring_dedup.repeated_starts(frame(corpus).selectExpr("cast(doc_id as long) as id", "text"), 20, parts).collect()
+        assert len(rows) <= parts * (math.isqrt(parts) + 1)
+        out = []
+        for r in rows:
+            ids, places = (substring_dedup._joined(pa.chunked_array([[x]]), kind) for x, kind in ((r.ids, np.int64), (r.places, np.int32)))
+            assert {i % parts for i in ids.tolist()} == {r.part}
+            out += zip(ids.tolist(), places.tolist())
+        return sorted(out)
+
+    few = found(7)
+    assert few and few == found(997)
+
+
 def test_exact_duplicates(spark, frame, corpus):
     rows = corpus + [(2000 + i, "Hot COPY", "en", "s0") for i in range(90)] + [(None, "null id", None, None), (2100, "ÉA", None, None), (2101, "éa", None, None)]
     groups = collections.defaultdict(list)

@@ -4,11 +4,13 @@ A task hashes the windows of a few hundred thousand words at a time by a rolling
 them on the spot, and sends the rest packed into buckets of the hash.  A bucket finds which windows occur earlier
 elsewhere and answers with their starts; starts merge into maximal spans of words, which are cut from the text.
 A window that is repeated everywhere thus sends one entry a slice, not one an occurrence.  Entries and answers travel as
-packed columns, a few rows for each bucket or part, so their number follows the windows and not buckets times documents.
+packed columns.  With n parts of the documents, a bucket answers once for each of some sqrt(n) groups of parts, and the
+answers of some sqrt(n) buckets to one group are dealt out to its parts together: n ** 1.5 rows, not n ** 2.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import compress
 
@@ -62,11 +64,10 @@ def _blocks(key: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, list[lis
     return key[cuts[:-1]], [[pack(_planes(c[a:b])) for a, b in zip(cuts, cuts[1:])] for c in columns]
 
 
-def _answers(ids: np.ndarray, starts: np.ndarray, parts: int) -> list[pa.Array]:
-    """part, ids, places: packed for each part of the documents."""
-    part = np.mod(ids, parts)
-    order = np.lexsort((starts, ids, part))
-    key, (i, s) = _blocks(part[order], ids[order], starts[order].astype(np.int32))
+def _answers(key: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> list[pa.Array]:
+    """key, ids, places: packed for each key, a part of the documents or a group of parts."""
+    order = np.lexsort((starts, ids, key))
+    key, (i, s) = _blocks(key[order], ids[order], starts[order].astype(np.int32))
     return [pa.array(key.astype(np.int32)), pa.array(i, pa.binary()), pa.array(s, pa.binary())]
 
 
@@ -76,13 +77,17 @@ def prime_from(n: int) -> int:
     return n
 
 
-SENT = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("hashes", pa.binary()), ("ids", pa.binary()), ("places", pa.binary())])
-ANSWER = pa.schema([("part", pa.int32()), ("ids", pa.binary()), ("places", pa.binary())])
+SENT = pa.schema([("bucket", pa.int32()), ("family", pa.int32()), ("hashes", pa.binary()), ("ids", pa.binary()), ("places", pa.binary())])
+ANSWER = pa.schema([("family", pa.int32()), ("ids", pa.binary()), ("places", pa.binary())])
 
 
 def repeated_starts(docs: DataFrame, width: int, parts: int) -> DataFrame:
     """part, ids, places: the windows whose words also start earlier; part is the document's id modulo `parts`."""
     buckets = 8 * partitions(docs.sparkSession)
+    families = math.isqrt(parts) + 1
+
+    def family(ids: np.ndarray) -> np.ndarray:
+        return np.mod(ids, parts) % families
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word_hash = words_hashed.__getitem__
@@ -97,16 +102,22 @@ def repeated_starts(docs: DataFrame, width: int, parts: int) -> DataFrame:
             first = np.concatenate([[True], h[1:] != h[:-1]])
             lead = np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))
             rest = (i == i[lead]) & (s == s[lead])  # the first, and those of repeated rows, which are as early
-            part, *settled = _answers(i[~rest], s[~rest], parts)
-            if len(part):
-                yield pa.RecordBatch.from_arrays([pa.array((part.to_numpy() % buckets).astype(np.int32)), part, pa.nulls(len(part), pa.binary()), *settled], schema=SENT)
+            to, *settled = _answers(family(i[~rest]), i[~rest], s[~rest])
+            if len(to):
+                # any bucket may pass them on
+                via = (to.to_numpy() * families + int(h[0] >> np.uint64(33))) % buckets
+                yield pa.RecordBatch.from_arrays([pa.array(via.astype(np.int32)), to, pa.nulls(len(to), pa.binary()), *settled], schema=SENT)
             h, i, s = h[rest], i[rest], s[rest]
             bucket = (h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
             order = np.lexsort((s, i, bucket))
             key, (hs, packed_ids, places) = _blocks(bucket[order], h[order], i[order], s[order].astype(np.int32))
             yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int32)), pa.nulls(len(key), pa.int32()), *(pa.array(c, pa.binary()) for c in (hs, packed_ids, places))], schema=SENT)
 
-    def answer(table: pa.Table) -> pa.Table:
+    def answer(key: tuple, table: pa.Table) -> pa.Table:
+        found = found_in(table)
+        return found.append_column("lane", pa.array(np.full(len(found), key[0].as_py() % families, np.int32)))
+
+    def found_in(table: pa.Table) -> pa.Table:
         settled = table.filter(table["hashes"].is_null()).select(ANSWER.names)
         rest = table.filter(table["hashes"].is_valid())
         h = _joined(rest["hashes"], np.uint64)
@@ -121,10 +132,15 @@ def repeated_starts(docs: DataFrame, width: int, parts: int) -> DataFrame:
         first = np.concatenate([[True], h[1:] != h[:-1]])
         lead = np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))
         later = (i != i[lead]) | (s != s[lead])
-        return pa.concat_tables([settled.cast(ANSWER), pa.Table.from_arrays(_answers(i[later], s[later], parts), schema=ANSWER)])
+        return pa.concat_tables([settled.cast(ANSWER), pa.Table.from_arrays(_answers(family(i[later]), i[later], s[later]), schema=ANSWER)])
+
+    def deal(table: pa.Table) -> pa.Table:
+        ids, starts = _joined(table["ids"], np.int64), _joined(table["places"], np.int32)
+        return pa.Table.from_arrays(_answers(np.mod(ids, parts), ids, starts), names=["part", "ids", "places"])
 
-    sent = docs.mapInArrow(send, "bucket int, part int, hashes binary, ids binary, places binary")
-    return sent.groupBy("bucket").applyInArrow(answer, "part int, ids binary, places binary")
+    sent = docs.mapInArrow(send, "bucket int, family int, hashes binary, ids binary, places binary")
+    answers = sent.groupBy("bucket").applyInArrow(answer, "family int, ids binary, places binary, lane int")
+    return answers.groupBy("family", "lane").applyInArrow(deal, "part int, ids binary, places binary")
 
 
 #: Shared by all tasks of a Python worker.
