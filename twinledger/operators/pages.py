@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from twinledger import constants as K
@@ -71,104 +68,66 @@ def table_names(pages: DataFrame, key: str = "page_id", html: str = "html", tabl
     return x.withColumn("c", cells).filter(F.size("c") >= 2).select(key, "table_no", "row_no", name.alias("name")).filter("name is not null")
 
 
-def _page_text(html: str, name: str) -> str:
-    from html.parser import HTMLParser
-
-    class Reader(HTMLParser):
-        """Collects the text of the title, summary, info box, paragraphs and tenure tables in one pass."""
-
-        def __init__(self):
-            super().__init__(convert_charrefs=True)
-            self.stack, self.skip = [], 0
-            self.title, self.summary, self.info, self.paras, self.loose, self.tables = [], [], [], [], [], []
-
-        def handle_starttag(self, tag, attrs):
-            if tag in ("br", "img", "meta", "link", "input", "hr"):
-                return
-            cls = (dict(attrs).get("class") or "").lower()
-            kind = ""
-            if tag in ("script", "style", "nav", "header", "footer", "iframe", "aside") or "lemmaref" in cls or "reference" in cls:
-                kind = "skip"
-                self.skip += 1
-            elif tag == "title":
-                kind = "title"
-            elif tag == "div" and "lemmasummary" in cls:
-                kind = "summary"
-            elif tag == "div" and ("basicinfo" in cls or "j-basic-info" in cls):
-                kind = "info"
-            elif tag == "div" and "j-lemma-content" in cls:
-                kind = "content"
-            elif tag == "div" and "para" in cls and any(k == "content" for _, k in self.stack):
-                kind = "para"
-                self.paras.append("")
-            elif tag == "table":
-                kind = "table"
-                self.tables.append(["", []])
-            elif tag in ("p", "li", "td", "dd"):
-                kind = "loose"
-                self.loose.append("")
-            elif tag == "th":
-                kind = "th"
-            self.stack.append((tag, kind))
-
-        def handle_endtag(self, tag):
-            for i in range(len(self.stack) - 1, -1, -1):
-                if self.stack[i][0] == tag:
-                    self.skip -= sum(k == "skip" for _, k in self.stack[i:])
-                    del self.stack[i:]
-                    return
-
-        def handle_data(self, data):
-            kinds = [k for _, k in self.stack]
-            if self.skip or not data.strip():
-                return
-            text = data.strip()
-            if "title" in kinds:
-                self.title.append(text)
-                return
-            if "summary" in kinds:
-                self.summary.append(text)
-            if "info" in kinds:
-                self.info.append(text)
-            if "para" in kinds:
-                self.paras[-1] += text
-            if "loose" in kinds:
-                self.loose[-1] += text
-            if "table" in kinds:
-                self.tables[-1][1].append(text)
-                if "th" in kinds:
-                    self.tables[-1][0] += text
-
-    import re
-
-    r = Reader()
-    r.feed(html or "")
-    out = []
-    title = "".join(r.title)
-    if title and name in title:
-        out.append(f"=== 词条标题 ===\n{title}")
-    summary = re.sub(CITATION, "", "".join(r.summary))
-    if len(summary) > 20:
-        out.append(f"=== 人物简介 ===\n{summary}")
-    info = " | ".join(r.info)
-    if len(info) > 20:
-        out.append(f"=== 基本信息 ===\n{info}")
-    paras = [p for p in (re.sub(CITATION, "", x) for x in r.paras) if len(p) >= 10]
-    if not paras:
-        paras = [x for x in r.loose if len(x) >= 10 and (re.search(r"(19|20)\d{2}", x) or any(k in x for k in K.ROLE_WORDS))]
-    if paras:
-        out.append("=== 履历段落 ===\n" + "\n".join(paras))
-    for head, cells in r.tables:
-        if any(w in head for w in K.TENURE_HEADER_WORDS):
-            out.append("=== 履历表格 ===\n" + "\t".join(cells))
-    return "\n\n".join(out)
+#: Elements whose text is not part of a page's body, and the elements that carry citation marks.
+HIDDEN = ["script", "style", "nav", "header", "footer", "iframe", "aside"]
+MARKS = ["sup", "span", "a"]
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&nbsp;": " ", "&amp;": "&"}
 
 
-def extract_pages(pages: DataFrame, key: str = "page_id", html: str = "html", name: str | None = None) -> DataFrame:
-    """(key, text): the sectioned biography text of each page.  Broken markup needs a real parser, hence Python."""
-    @F.pandas_udf("string")
-    def extract(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for h, n in batches:
-            yield pd.Series([_page_text(a, b or "") for a, b in zip(h, n)])
+def block(word: str) -> str:
+    """Pattern of a div with the word in its class, up to the first end of a div; its body is group 1."""
+    return rf"""(?is)<div[^>]*class=["'][^"']*{word}[^"']*["'][^>]*>(.*?)</div>"""
+
+
+def _pieces(html: Column) -> Column:
+    """The texts between tags, without the empty ones."""
+    def piece(text: Column) -> Column:
+        text = strip(text)
+        for entity, char in ENTITIES.items():
+            text = F.replace(text, F.lit(entity), F.lit(char))
+        return text
+
+    return F.filter(F.transform(F.split(html, "<[^>]*>"), piece), lambda t: t != "")
 
-    return pages.select(key, extract(F.col(html), F.col(name) if name else F.lit("")).alias("text"))
+
+def _joined(html: Column, sep: str = "") -> Column:
+    return F.array_join(_pieces(html), sep)
+
+
+def extract_pages(pages: DataFrame, key: str = "page_id", html: str = "html", name: str | None = None) -> DataFrame:
+    """(key, text): the biography text of each page in sections: title (if it has the name), summary, info box,
+    paragraphs of the content, tables headed by words of tenure.
+
+    Pages without such paragraphs give those of their ``p``, ``li``, ``td`` and ``dd`` that hold a year or a role.  Marks of
+    citations go.  Paragraph divs are made flat first; a block ends at the first end of a div after that.  A missing page
+    has an empty text; nothing is cut at a length.
+    """
+    body = F.regexp_replace(F.coalesce(F.col(html), F.lit("")), "(?s)<!--.*?-->", "")
+    for tag in HIDDEN:
+        body = F.regexp_replace(body, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
+    for tag in MARKS:
+        body = F.regexp_replace(body, rf"""(?is)<{tag}\s[^>]*class=["'][^"']*(?:lemmaref|reference)[^"']*["'][^>]*>.*?</{tag}\s*>""", "")
+    x = pages.select(key, (F.col(name) if name else F.lit("")).alias("_name"), F.regexp_replace(body, block("para"), '<p class="para">$1</p>').alias("_h"))
+    h = F.col("_h")
+    cited = lambda t: F.regexp_replace(t, CITATION, "")
+    blocks = lambda word: F.array_join(F.regexp_extract_all(h, F.lit(block(word)), F.lit(1)), "<br>")
+    content = F.regexp_extract(h, r"""(?is)<div[^>]*class=["'][^"']*j-lemma-content[^"']*["'][^>]*>(.*)$""", 1)
+    own = F.transform(F.regexp_extract_all(content, F.lit('(?is)<p class="para">(.*?)</p>'), F.lit(1)), lambda t: cited(_joined(t)))
+    loose = F.transform(F.regexp_extract_all(h, F.lit(r"(?is)<(?:p|li|td|dd)(?:\s[^>]*)?>(.*?)</(?:p|li|td|dd)>"), F.lit(1)), lambda t: _joined(t))
+    x = x.select(key, "_name", "_h",
+                 _joined(F.regexp_extract(h, r"(?is)<title[^>]*>(.*?)</title>", 1)).alias("_title"),
+                 cited(_joined(blocks("lemmasummary"))).alias("_summary"),
+                 _joined(blocks("(?:basicinfo|j-basic-info)"), " | ").alias("_info"),
+                 F.filter(own, lambda t: F.length(t) >= 10).alias("_own"),
+                 F.filter(loose, lambda t: (F.length(t) >= 10) & (t.rlike(r"(?:19|20)\d{2}") | T.any_word(t, K.ROLE_WORDS))).alias("_loose"),
+                 F.regexp_extract_all(h, F.lit(r"(?is)<table[^>]*>(.*?)</table>"), F.lit(1)).alias("_tables"))
+    heads = lambda t: F.array_join(F.transform(F.regexp_extract_all(t, F.lit(r"(?is)<th(?:\s[^>]*)?>(.*?)</th>"), F.lit(1)), lambda t: _joined(t)), "")
+    tables = F.filter("_tables", lambda t: T.any_word(heads(t), K.TENURE_HEADER_WORDS))
+    paras = F.when(F.size("_own") > 0, F.col("_own")).otherwise(F.col("_loose"))
+    section = lambda head, text: F.concat(F.lit(f"=== {head} ===\n"), text)
+    parts = F.array(
+        F.when((F.col("_title") != "") & F.contains("_title", F.coalesce("_name", F.lit(""))), section("词条标题", F.col("_title"))),
+        F.when(F.length("_summary") > 20, section("人物简介", F.col("_summary"))),
+        F.when(F.length("_info") > 20, section("基本信息", F.col("_info"))),
+        F.when(F.size(paras) > 0, section("履历段落", F.array_join(paras, "\n"))))
+    return x.select(key, F.array_join(F.concat(parts, F.transform(tables, lambda t: section("履历表格", _joined(t, "\t")))), "\n\n").alias("text"))

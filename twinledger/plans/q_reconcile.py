@@ -215,12 +215,24 @@ def person_diffs(spark, sf):
     return R.diff_people(B.people_a(spark, sf), B.people_b(spark, sf))
 
 
+#: The fields of a person whose type counts.
+_TYPED = [("bio", f, "HIGH" if f in K.BIO_HIGH else "MEDIUM") for f in K.BIO_FIELDS] + [("label", f, "HIGH") for f in K.LABEL_FIELDS]
+
 for _scope, _name in (("bio", "f6_bio_diff"), ("label", "f7_label_diff"), ("corruption", "f8_fell_diff")):
     @query(_name, PERSON_DIFFS + f" SELECT * FROM person_diffs WHERE scope = '{_scope}'")
     def _pd(spark, sf, scope=_scope):
         return person_diffs(spark, sf).filter(F.col("scope") == scope).drop("type_mismatch")
 
 
+@query("f6_type_mismatch", B.PERSON_WITH + " " + " UNION ALL ".join(f"""SELECT name, '{scope}' AS scope, '{f}' AS field, a.{f} AS value_a, b.{f} AS value_b, '{level}' AS level, a.{f} = b.{f} AS type_mismatch
+FROM person_a a JOIN person_b b USING (name) WHERE a.{f} <> b.{f} OR a.{f} = b.{f} AND (name % 3 = 0) <> (name % 2 = 0)""" for scope, f, level in _TYPED))
+def f6t(spark, sf):
+    """Each version records what type a value had; equal texts of another type differ too."""
+    kinds = lambda d, test: d.withColumns({f"{f}_type": F.when(F.expr(test), "number").otherwise("text") for _, f, _ in _TYPED})
+    d = R.diff_people(kinds(B.people_a(spark, sf), "name % 3 = 0"), kinds(B.people_b(spark, sf), "name % 2 = 0"))
+    return d.filter("scope <> 'corruption'").drop("reason_a", "reason_b")
+
+
 @query("f13_field_corrections", B.CLASS_WITH + f"""
 SELECT name, k1, k2, 'org_tag' AS field, org_tag AS before, '国务院及其组成部门' AS after FROM class_all WHERE org_tag = '国务院组成部门'
 UNION ALL SELECT name, k1, k2, 'flag', flag, '省委常委（其他）' FROM class_all WHERE flag = '省委常委（其他)'
@@ -288,6 +300,14 @@ def m5(spark, sf):
     return Q.escalate(Q.validate_verdicts(_field_dec(spark, sf)), B.group_decisions(spark, sf, a, b))
 
 
+@query("m5_downgraded_groups", DECIDED + "," + GROUP_DEC + f""", v AS ({VALIDATED})
+SELECT DISTINCT name, source_line FROM v WHERE verdict = '需拆分' AND (name, source_line) NOT IN (SELECT (name, source_line) FROM group_dec WHERE (name + source_line) % 3 > 0)""")
+def m5d(spark, sf):
+    """A third of the group decisions are downgraded, which leaves their lines to be asked again."""
+    g = B.group_decisions(spark, sf, *_ab(spark, sf)).withColumn("downgraded", F.expr("nullif((name + source_line) % 3 = 0, false)"))
+    return Q.escalate(Q.validate_verdicts(_field_dec(spark, sf)), g)
+
+
 @query("j7_pending_fields", DECIDED + f""", dec AS (SELECT * FROM field_dec WHERE NOT (field = 'end' AND source_line % 3 = 0)),
 open_ AS (SELECT DISTINCT name, source_line, unit, position, start FROM disputes ANTI JOIN dec USING (name, source_line, unit, position, start, field))
 SELECT {DISPUTE_COLS} FROM disputes SEMI JOIN open_ USING (name, source_line, unit, position, start)""")
