@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from twinledger import constants as K
 from twinledger.functions import dates as D, text as T
-from twinledger.functions.ordered import CHUNK_ROWS, ordinal, running
+from twinledger.functions.ordered import CHUNK_ROWS, attach, ordinal, running
 
 
 # ---- decision texts
@@ -19,11 +19,12 @@ def decision_texts(decisions: DataFrame) -> DataFrame:
         "text", T.decision_text(F.col("judge_model"), F.col("confidence"), F.col("reason"))).filter("text <> ''")
 
 
-def route_texts(eps: DataFrame, group_decisions: DataFrame, field_decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
+def route_texts(eps: DataFrame, group_decisions: DataFrame, field_decisions: DataFrame, by_name: bool = False) -> tuple[DataFrame, DataFrame]:
     """Where each step-1 decision text belongs: (name, source_line, dpos, text) of whole lines, (name, seq, dpos, text) of rows.
 
     A line decision goes to every row of the line.  A field decision goes to the first row that matches unit,
-    position and start, else the first that matches unit and position, else every row of the line.
+    position and start, else the first that matches unit and position, else every row of the line.  Tables that lie
+    partitioned ``by_name`` are not exchanged.
     """
     e = eps.select("name", "source_line", "seq", "unit", "position", "start")
     line = ["name", "source_line"]
@@ -34,18 +35,24 @@ def route_texts(eps: DataFrame, group_decisions: DataFrame, field_decisions: Dat
     # the first row of a unit and position by each start, and by any
     first = e.withColumn("start", F.coalesce("start", F.lit(""))).groupBy(*line, "unit", "position", "start").agg(F.min("seq").alias("s"))
     first = first.groupBy(*line, "unit", "position").agg(F.map_from_entries(F.collect_list(F.struct("start", "s"))).alias("by_start"), F.min("s").alias("any"))
-    d = d.join(first, [*line, "unit", "position"], "left")
+    d = attach(d, [*line, "unit", "position"], {"_first": first}, by_name)
     # an empty start in the key matches any start
-    exact = F.when(F.col("start") != "", F.try_element_at("by_start", F.col("start")))
-    d = d.select(*line, F.col("pos").alias("dpos"), "text", F.coalesce(exact, F.col("any")).alias("seq"))
+    exact = F.when(F.col("start") != "", F.try_element_at("_first.by_start", F.col("start")))
+    d = d.select(*line, F.col("pos").alias("dpos"), "text", F.coalesce(exact, F.col("_first.any")).alias("seq"))
     whole = d.filter("seq is null and source_line > 0").drop("seq")
     return group.unionByName(whole), d.filter("seq is not null").select("name", "seq", "dpos", "text")
 
 
-def route_line_texts(eps: DataFrame, group_decisions: DataFrame, field_decisions: DataFrame) -> DataFrame:
+def route_line_texts(eps: DataFrame, group_decisions: DataFrame, field_decisions: DataFrame, by_name: bool = False) -> DataFrame:
     """(name, seq, dpos, text): a row for each text of each row; a line's texts come with every row of the line."""
-    lines, rows = route_texts(eps, group_decisions, field_decisions)
-    return lines.join(eps.select("name", "source_line", "seq"), ["name", "source_line"]).select("name", "seq", "dpos", "text").unionByName(rows)
+    lines, rows = route_texts(eps, group_decisions, field_decisions, by_name)
+    e = eps.select("name", "source_line", "seq")
+    if by_name:
+        of_line = lines.groupBy("name", "source_line").agg(F.collect_list(F.struct("dpos", "text")).alias("texts"))
+        of_line = attach(e, ["name", "source_line"], {"_line": of_line}, by_name).select("name", "seq", F.inline("_line.texts"))
+    else:
+        of_line = lines.join(e, ["name", "source_line"]).select("name", "seq", "dpos", "text")
+    return of_line.unionByName(rows)
 
 
 def _texts(kind: str | None = None) -> Column:
@@ -64,13 +71,15 @@ def row_texts(routed: DataFrame, name: str, keys: list[str] = ("name", "seq")) -
     return routed.groupBy(*keys).agg(_texts().alias(name)).withColumn(name, _joined(F.col(name)))
 
 
-def step1_texts(eps: DataFrame, group_decisions: DataFrame, field_decisions: DataFrame, name: str = "judge1") -> DataFrame:
+def step1_texts(eps: DataFrame, group_decisions: DataFrame, field_decisions: DataFrame, name: str = "judge1",
+                by_name: bool = False) -> DataFrame:
     """(name, seq, judge1) of rows that have texts.  A line's texts are one array, which each row merges with its own."""
-    lines, rows = route_texts(eps, group_decisions, field_decisions)
+    lines, rows = route_texts(eps, group_decisions, field_decisions, by_name)
     of_line = lines.groupBy("name", "source_line").agg(_texts().alias("_line")).withColumn("_line_text", _joined(F.col("_line")))
     of_row = rows.groupBy("name", "seq").agg(_texts().alias("_row"))
     # a line's texts come last: they are many, and no row that carries them is shuffled
-    e = eps.select("name", "source_line", "seq").join(of_row, ["name", "seq"], "left").join(of_line, ["name", "source_line"], "left")
+    e = attach(eps.select("name", "source_line", "seq"), ["name", "seq"], {"_r": of_row}, by_name)
+    e = attach(e, ["name", "source_line"], {"_l": of_line}, by_name).select("name", "seq", "_r.*", "_l.*")
     return e.select("name", "seq", _with_line("_row").alias(name)).filter(F.col(name).isNotNull())
 
 
@@ -158,7 +167,8 @@ def focal_year(eps: DataFrame, target: str, start_year: int) -> DataFrame:
 
 def flatten(episodes: DataFrame, labels: DataFrame, ranks: DataFrame, lines: DataFrame | None = None,
             line_texts: DataFrame | None = None, texts: dict[str, DataFrame] | None = None, target: str = "", province: str = "",
-            start_year: int = 0, label_text_row: str = "original_first", large: bool | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+            start_year: int = 0, label_text_row: str = "original_first", large: bool | None = None, chunk_rows: int = CHUNK_ROWS,
+            by_name: bool = False) -> DataFrame:
     """The wide rows, English column names.
 
     ``episodes``: name, seq, source_line, the step-1 and step-2 fields; ``labels``: one row per person with resolved
@@ -166,23 +176,29 @@ def flatten(episodes: DataFrame, labels: DataFrame, ranks: DataFrame, lines: Dat
     (name, dpos, text); ``line_texts``: judge1 texts of whole lines as (name, source_line, dpos, text).  A row carries
     all its texts, whatever their number.
 
-    All that belongs to a row, a line or a person comes together in one aggregate each, so rows are joined three times.
+    All that belongs to a row, a line or a person comes together in one aggregate each, so rows are joined three times;
+    tables that lie partitioned ``by_name`` meet without an exchange.
     """
     texts = texts or {}
     kinds = ["judge1", "judge2", "judge3"]
     spare = {"rank": "string", "kind": "string", "dpos": "bigint", "text": "string"}
 
     def stacked(parts: list[DataFrame], columns: dict[str, str]) -> DataFrame:
-        have = [p.withColumns({c: F.lit(None).cast(t) for c, t in columns.items() if c not in p.columns}) for p in parts]
+        have = [p.withColumns({"name": F.col("name")} | {c: F.lit(None).cast(t) for c, t in columns.items() if c not in p.columns}) for p in parts]
         return reduce(DataFrame.unionByName, [h.withColumns({c: F.col(c).cast(t) for c, t in columns.items()}) for h in have])
 
     rows = stacked([ranks.select("name", F.col("episode_idx").alias("seq"), "rank"),
                     *[texts[k].select("name", "seq", F.lit(k).alias("kind"), "dpos", "text") for k in kinds if k in texts]], spare)
     rows = rows.groupBy("name", "seq").agg(F.max("rank").alias("rank"), *[_texts(k).alias(f"_{k}") for k in kinds])
-    e = episodes.join(rows, ["name", "seq"], "left").withColumn("rank", F.coalesce("rank", F.lit("")))
+    e = attach(episodes, ["name", "seq"], {"_r": rows}, by_name)
+    e = e.select(*episodes.columns, F.coalesce("_r.rank", F.lit("")).alias("rank"), *[f"_r._{k}" for k in kinds])
 
     of_line = {"best_rank": "string", "raw_text": "string", "dpos": "bigint", "text": "string"}
-    parts = [rank_to_date(e.select("name", "source_line", "start", "rank"), large, chunk_rows).select("name", "source_line", "best_rank")]
+    # ranks alone, so that texts are not put together a second time for them
+    of_rank = ranks.groupBy("name", F.col("episode_idx").alias("seq")).agg(F.max("rank").alias("rank"))
+    ranked = attach(episodes.select("name", "seq", "source_line", "start"), ["name", "seq"], {"_r": of_rank}, by_name)
+    ranked = ranked.select("name", "source_line", "start", F.coalesce("_r.rank", F.lit("")).alias("rank"))
+    parts = [rank_to_date(ranked, large, chunk_rows).select("name", "source_line", "best_rank")]
     if lines is not None:
         parts.append(lines.select("name", F.col("line_num").alias("source_line"), "raw_text"))
     if line_texts is not None:
@@ -192,7 +208,7 @@ def flatten(episodes: DataFrame, labels: DataFrame, ranks: DataFrame, lines: Dat
 
     known = [c for c in ("birth_year", "origin", "origin_city", "minority", "female", "bachelor", *K.LABEL_FIELDS, "fell", "fell_reason") if c in labels.columns]
     of_person = {c: labels.schema[c].dataType.simpleString() for c in known} | {"year": "int", "dpos": "bigint", "text": "string"}
-    parts = [labels.select("name", *known), focal_year(e, target, start_year)]
+    parts = [labels.select("name", *known), focal_year(episodes, target, start_year)]
     if "judge4" in texts:
         parts.append(texts["judge4"].select("name", "dpos", "text"))
     person = stacked(parts, of_person).groupBy("name").agg(*[F.max(c).alias(c) for c in [*known, "year"]], _texts().alias("_judge4"))
@@ -200,7 +216,7 @@ def flatten(episodes: DataFrame, labels: DataFrame, ranks: DataFrame, lines: Dat
     e = e.join(person, "name", "left").filter(~is_study_row(F.col("flag"), F.col("position")))
     e = ordinal(e.withColumn("_old", F.col("seq")).drop("seq"), ["name"], ["_old"], "seq", chunk_rows, large)
     # a line's texts come last: they may be many, and no row that carries them is shuffled
-    e = e.join(line, ["name", "source_line"], "left")
+    e = attach(e, ["name", "source_line"], {"_l": line}, by_name).select(*e.columns, "_l.*")
     kept = e.withColumns({"judge1": _with_line("_judge1"), "judge2": _joined(F.col("_judge2")), "judge3": _joined(F.col("_judge3")), "judge4": _joined(F.col("_judge4"))})
     for c in ("fell", "fell_reason", "source_ref", "remark", "org_tag", "prov", "city", "central"):
         if c not in kept.columns:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from twinledger import constants as K
 from twinledger.functions.dates import int_or_text
-from twinledger.functions.ordered import CHUNK_ROWS, has_large_key, ordinal
+from twinledger.functions.ordered import CHUNK_ROWS, attach, has_large_key, ordinal
 from twinledger.operators.reconcile import by_index
 
 LINE = ["name", "line_zero"]
@@ -14,18 +14,18 @@ LINE = ["name", "line_zero"]
 ORDER = "decimal(38,0)"
 
 
-def _tagged(a: DataFrame, b: DataFrame, groups: DataFrame, large: bool) -> DataFrame:
+def _tagged(a: DataFrame, b: DataFrame, groups: DataFrame, large: bool, by_name: bool = False) -> DataFrame:
     """Rows of a and b and the decided lines as one union, by ``tag`` a, b and g, partitioned once by person.
 
-    If one person is so large that ordered work is cut up, the union is not partitioned by person.
+    If one person is so large that ordered work is cut up, the union is not partitioned by person; nor if all lie so.
     """
     def rows(df: DataFrame, tag: str) -> DataFrame:
-        return df.select(*LINE, F.col("pos").cast(ORDER).alias("pos"), *K.EPISODE_FIELDS, F.lit(tag).alias("tag"))
+        return df.select(F.col("name").alias("name"), "line_zero", F.col("pos").cast(ORDER).alias("pos"), *K.EPISODE_FIELDS, F.lit(tag).alias("tag"))
 
     decided = groups.select("name", F.col("source_line").cast("long").alias("line_zero"), F.lit("g").alias("tag"),
                             F.coalesce("adopt", F.lit("LLM1")).alias("adopt"), "episodes")
     u = rows(a, "a").unionByName(rows(b, "b")).unionByName(decided, allowMissingColumns=True)
-    return u if large else u.repartition("name")
+    return u if large or by_name else u.repartition("name")
 
 
 def _with_fates(u: DataFrame, keep_all: bool, large: bool) -> DataFrame:
@@ -76,7 +76,7 @@ def _placed(u: DataFrame, chunk_rows: int, large: bool) -> DataFrame:
 
 
 def merge_groups(a: DataFrame, b: DataFrame, decisions: DataFrame, keep_all: bool = False,
-                 large: bool | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                 large: bool | None = None, chunk_rows: int = CHUNK_ROWS, by_name: bool = False) -> DataFrame:
     """Apply line-level decisions to source A and renumber.
 
     ``decisions`` has one row per (name, source_line) with ``adopt`` and replacement ``episodes`` (may be null).
@@ -84,26 +84,27 @@ def merge_groups(a: DataFrame, b: DataFrame, decisions: DataFrame, keep_all: boo
     line, arrival order breaking ties; others keep their order.
 
     Both sources and the decisions travel as one union; what happens to a line, and the numbering, are windows on its
-    partitioning by person.
+    partitioning by person, which they may have already (``by_name``).
     """
     if large is None:
         large = has_large_key(a.select("name").unionByName(b.select("name")), ["name"], chunk_rows)
-    return _placed(_with_fates(_tagged(a, b, decisions, large), keep_all, large), chunk_rows, large)
+    return _placed(_with_fates(_tagged(a, b, decisions, large, by_name), keep_all, large), chunk_rows, large)
 
 
 def merge_fields(eps: DataFrame, b: DataFrame, decisions: DataFrame, skip_lines: DataFrame,
-                 pairing: str = "exact") -> DataFrame:
+                 pairing: str = "exact", by_name: bool = False) -> DataFrame:
     """Apply field-level decisions keyed (name, source_line, unit, position, start, field) to merged rows.
 
     Lines in ``skip_lines`` were handled as groups.  ``pairing='exact'`` takes B's value from the last B row with the
     same unit and position, so adopting B on those two fields changes nothing; ``'zip'`` takes the value B had at the
     same place of the line, which a ``value_b`` column of the decision must carry.
 
-    Merged rows, B's rows, decisions and skipped lines travel as one union, partitioned once by line.
+    Merged rows, B's rows, decisions and skipped lines travel as one union, partitioned once by line, unless all lie
+    partitioned ``by_name``.
     """
     line = ["name", "source_line"]
     extra = ["value_b"] if pairing == "zip" else []
-    rows = eps.select(*line, "seq", *K.EPISODE_FIELDS, F.lit("e").alias("tag"))
+    rows = eps.select(F.col("name").alias("name"), "source_line", "seq", *K.EPISODE_FIELDS, F.lit("e").alias("tag"))
     for part in (
         b.select("name", F.col("line_zero").alias("source_line"), *K.EPISODE_FIELDS, F.col("pos").cast(ORDER).alias("pos"), F.lit("b").alias("tag")),
         decisions.select(*line, "unit", "position", "start", F.col("pos").cast(ORDER).alias("pos"), "field", "verdict", "correct_value", *extra,
@@ -116,7 +117,7 @@ def merge_fields(eps: DataFrame, b: DataFrame, decisions: DataFrame, skip_lines:
     v = F.struct("verdict", "correct_value", *extra)
     own = {f: (tag == "f") & (F.col("field") == f) for f in K.EPISODE_FIELDS}
     # the widest key first: its sort serves the other two
-    j = rows.repartition(*line).withColumns({
+    j = (rows if by_name else rows.repartition(*line)).withColumns({
         f"d_{f}": F.max_by(F.when(c, v), F.when(c, F.col("pos"))).over(W.partitionBy(*post, "start")) for f, c in own.items()})
     j = j.withColumn("b", F.max_by(F.when(is_b, F.struct("start", "end")), F.when(is_b, F.col("pos"))).over(W.partitionBy(*post)))
     j = j.withColumn("_skip", F.max(tag == "g").over(W.partitionBy(*line))).filter(tag == "e")
@@ -138,12 +139,12 @@ def merge_fields(eps: DataFrame, b: DataFrame, decisions: DataFrame, skip_lines:
 
 
 def merge_step1(a: DataFrame, b: DataFrame, group_decisions: DataFrame, field_decisions: DataFrame, **options):
-    pairing = options.pop("pairing", "exact")
-    return merge_fields(merge_groups(a, b, group_decisions, **options), b, field_decisions, group_decisions, pairing)
+    pairing, by_name = options.pop("pairing", "exact"), options.get("by_name", False)
+    return merge_fields(merge_groups(a, b, group_decisions, **options), b, field_decisions, group_decisions, pairing, by_name)
 
 
 def merge_classes(eps: DataFrame, a: DataFrame, b: DataFrame, decisions: DataFrame,
-                  fields: list[str] = K.CLASS_FIELDS) -> DataFrame:
+                  fields: list[str] = K.CLASS_FIELDS, by_name: bool = False) -> DataFrame:
     """Layer classifications on merged episodes: A, else B when A is empty, then the decisions per (index, field)."""
     key = ["name", "seq"]
     both = by_index(a, b, fields).select("name", F.col("episode_idx").alias("seq"), "a", "b")
@@ -151,10 +152,10 @@ def merge_classes(eps: DataFrame, a: DataFrame, b: DataFrame, decisions: DataFra
     d = decisions.groupBy("name", F.col("episode_idx").alias("seq")).agg(*[
         F.max_by(F.when(F.col("field") == f, v), F.when(F.col("field") == f, F.col("pos"))).alias(f"d_{f}")
         for f in fields])
-    j = eps.join(both, key, "left").join(d, key, "left")
+    j = attach(eps, key, {"_c": both, "_d": d}, by_name)
 
     def value(f: str) -> Column:
-        va, vb, dec = F.col(f"a.{f}"), F.col(f"b.{f}"), F.col(f"d_{f}")
+        va, vb, dec = F.col(f"_c.a.{f}"), F.col(f"_c.b.{f}"), F.col(f"_d.d_{f}")
         filled = lambda c: F.nullif(c, F.lit(""))
         override = F.when(dec["verdict"].isin(K.ADOPT_B), filled(vb)).when(
             dec["verdict"].isin(K.CORRECTED), filled(dec["correct_value"]))
@@ -169,7 +170,8 @@ def resolve_ranks(a: DataFrame, b: DataFrame, decisions: DataFrame) -> DataFrame
     both = by_index(a, b, ["rank"]).select(
         *key, "in_a", "in_b", F.when(F.col("in_a"), F.coalesce("a.rank", F.lit(""))).alias("ra"), F.col("b.rank").alias("rb"))
     d = decisions.groupBy(*key).agg(F.max_by(F.struct("verdict", "correct_value"), F.col("pos")).alias("d"))
-    j = both.join(d, key, "full_outer")
+    rows = both.withColumn("name", F.col("name")).unionByName(d, allowMissingColumns=True)
+    j = rows.groupBy(*key).agg(F.max("in_a").alias("in_a"), F.max("in_b").alias("in_b"), F.max("ra").alias("ra"), F.max("rb").alias("rb"), F.max("d").alias("d"))
     adopt_b = F.col("d.verdict").isin(K.ADOPT_B)
     fixed = F.when(F.col("d.verdict").isin(K.CORRECTED), F.nullif(F.col("d.correct_value"), F.lit("")))
     rank = F.when(adopt_b, F.when(F.col("in_b"), F.coalesce("rb", F.lit(""))).otherwise(F.coalesce("ra", F.lit("")))).otherwise(
