@@ -65,3 +65,10 @@ def test_buckets_change_no_row(spark, monkeypatch):
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 def test_review_step2_needs_no_exchange(spark):
     assert exchanges(QF.j6_2(spark, SF)) == 0
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_class_dispute_requests_need_no_exchange(spark):
+    from twinledger.plans import q_requests
+
+    assert exchanges(q_requests.p8_classes(spark, SF)) == 0

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from twinledger import constants as K
 from twinledger.functions import text as T
+from twinledger.functions.ordered import attach
 from twinledger.operators import reconcile as R
 
 NONE_LINE = "  （无）"
@@ -57,14 +58,15 @@ def group_requests(pending: DataFrame, a: DataFrame, b: DataFrame, lines: DataFr
         [_head(F.col("name")), F.lit("\n原文行 "), T.line_label(F.col("source_line")), F.lit(": "), raw, *part("LLM1", "a"), *part("LLM2", "b")], instructions))
 
 
-def class_dispute_requests(groups: DataFrame, eps: DataFrame, instructions: str = "") -> DataFrame:
+def class_dispute_requests(groups: DataFrame, eps: DataFrame, instructions: str = "", by_name: bool = False) -> DataFrame:
     """(name, episode_idx, n_fields, request): one request for all undecided fields of an episode.
 
     ``groups``: name, episode_idx, fields (array of field, value_a, value_b), as `queue.class_dispute_groups` gives;
     ``eps``: one row per name and episode_idx with source_line, unit, position, start.
     """
     entry = lambda f: F.concat(F.lit("  "), _label(f["field"]), F.lit(": LLM1=「"), _text(f["value_a"]), F.lit("」 LLM2=「"), _text(f["value_b"]), F.lit("」"))
-    j = groups.join(eps.select("name", "episode_idx", "source_line", "unit", "position", "start"), ["name", "episode_idx"], "left")
+    e = eps.select("name", "episode_idx", "source_line", "unit", "position", "start")
+    j = attach(groups, ["name", "episode_idx"], {"_e": e}, by_name).select(*groups.columns, "_e.*")
     where = F.concat_ws(" | ", _text("unit"), _text("position"), _text("start"))
     n = F.size("fields")
     return j.select("name", "episode_idx", n.alias("n_fields"), _closed(

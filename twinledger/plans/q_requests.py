@@ -41,7 +41,9 @@ g AS (SELECT name, episode_idx, count(*) AS n, string_agg(concat('  ', {_LABEL},
 SELECT g.name, g.episode_idx, CAST(n AS INTEGER) AS n_fields, concat('官员：', g.name, chr(10), '经历#', g.episode_idx, printf(' (L%02d): ', source_line), unit, ' | ', position, ' | ', start,
   chr(10), chr(10), '以下 ', n, ' 个分类字段存在争议：', chr(10), body) AS request FROM g JOIN info ON info.name = g.name AND info.episode_idx = g.episode_idx""")
 def p8_classes(spark, sf):
-    return Rq.class_dispute_requests(Q.class_dispute_groups(QR.class_diffs(spark, sf), QR.class_decisions(spark, sf)), _episodes(spark, sf))
+    with B.written_once(spark, sf, B.large_names(spark, sf), ("lineitem",)) as by_name:
+        groups = Q.class_dispute_groups(QR.class_diffs(spark, sf), QR.class_decisions(spark, sf), by_name)
+        return Rq.class_dispute_requests(groups, _episodes(spark, sf), by_name=by_name)
 
 
 @query("p8_rank_dispute_requests", QR.RANK_DIFFS + "," + QR.RANK_DEC + f""", {_LAST},
