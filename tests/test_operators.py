@@ -501,3 +501,14 @@ def test_field_merge_null_keys(spark):
     got = [(r.source_line, r.start, r.end) for r in M.merge_fields(e, b, d, skip).orderBy("seq").collect()]
     # null keys match nothing; of several verdicts on a field the last counts
     assert got == [(1, "1990", "1991"), (0, "1990", "1991"), (4, "", ""), (4, "1990", "2003")]
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_matching_of_small_people_matches_once_and_without_arrays_of_characters(spark, weighted):
+    gold, pred = [spark.createDataFrame([("n", i, "省委", "书记") for i in range(3)] + [(None, 0, "省委", "书记")], "name string, pos int, unit string, position string") for _ in "ab"]
+    m = Mt.match_episodes(gold, pred, ["unit", "position"], weighted=weighted)
+    plan = m._jdf.queryExecution().analyzed().toString()
+    assert plan.count("array_append") == 1 and "array_intersect" not in plan
+    # null names match nothing
+    got = sorted((r.name or "", -1 if r.g_no is None else r.g_no, r.pred is not None) for r in m.collect())
+    assert got == [*([("", -1, True)] if weighted else []), ("", 1, False), ("n", 1, True), ("n", 2, True), ("n", 3, True)]

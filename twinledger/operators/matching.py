@@ -32,7 +32,17 @@ def _chars(text: Column) -> Column:
 
 
 def _name_of_set(text: Column) -> Column:
-    return F.array_join(F.array_sort(T.char_set(text)), "")
+    return F.when(text == "", "").otherwise(F.array_join(F.sort_array(F.array_distinct(F.split(text, ""))), ""))
+
+
+def _missing(a: Column, b: Column) -> Column:
+    """How many characters of the set named ``b`` the one named ``a`` has not: ``translate`` deletes the common ones."""
+    return F.length(F.call_function("translate", b, a, F.lit("")))
+
+
+def _alike(n_a: Column, n_b: Column, missing: Column, empty: float) -> Column:
+    """Jaccard of two sets of these sizes; ``empty`` if both are."""
+    return F.when(n_a + n_b == 0, F.lit(empty)).otherwise((n_b - missing) / (n_a + missing))
 
 
 def _rarest(sides: list[DataFrame], column: str, keep) -> DataFrame:
@@ -124,31 +134,29 @@ def _match_rows(gold: DataFrame, pred: DataFrame, weighted: bool) -> DataFrame:
         # the order of a struct is that of its fields, and e comes first
         return df.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("e", *TEXTS))).alias(out))
 
-    def prepared(rows: str) -> Column:
-        return F.transform(F.coalesce(F.col(rows), F.array()), lambda r: F.struct(*[F.filter(F.split(r[t], ""), lambda c: c != "").alias(t) for t in TEXTS]))
+    j = grouped(gold, "g").join(grouped(pred, "p"), "name", "full_outer" if weighted else "left")
+    j = j.select("name", *[F.coalesce(F.col(c), F.array()).alias(c) for c in "gp"])
+    used = TEXTS if weighted else TEXTS[:1]
 
-    def score(a: Column, b: Column) -> Column:
-        if not weighted:
-            return T.set_jaccard(a["unit"], b["unit"])
-        some = lambda x, y: F.when(F.size(x) + F.size(y) == 0, 0.0).otherwise(T.set_jaccard(x, y))
-        return some(a["unit"], b["unit"]) * 0.6 + some(a["position"], b["position"]) * 0.4
+    def score(g: Column, x: Column) -> Column:
+        alike = {t: _alike(F.length(g[t]), F.length(x["p"][t]), x[t], 0.0 if weighted else 1.0) for t in used}
+        return alike["unit"] * 0.6 + alike["position"] * 0.4 if weighted else alike["unit"]
 
-    j = grouped(gold, "g").join(grouped(pred, "p"), "name", "full_outer" if weighted else "left")
+    met = lambda g: F.transform("p", lambda p, i: F.struct(i.alias("i"), p.alias("p"), *[_missing(g[t], p[t]).alias(t) for t in used]))
+    scored = lambda g: F.transform(met(g), lambda x: F.struct((-score(g, x)).alias("s"), x["i"].alias("i")))
+    liked = lambda g: F.transform(F.sort_array(F.filter(scored(g), lambda x: x["s"] < -0.3 if weighted else x["s"] <= -0.3)), lambda x: x["i"])
     # generators keep what is made once from being made again for each use
-    j = j.select("name", F.inline(F.array(F.struct("g", "p", prepared("g").alias("gs"), prepared("p").alias("ps")))))
-    liked = lambda g: F.transform(F.array_sort(F.filter(F.transform("ps", lambda p, i: F.struct((-score(g, p)).alias("s"), i.alias("i"))),
-                                                        lambda x: x["s"] < -0.3 if weighted else x["s"] <= -0.3)), lambda x: x["i"])
-    j = j.select("name", F.inline(F.array(F.struct("g", "p", F.transform("gs", liked).alias("likes")))))
+    j = j.select("name", F.inline(F.array(F.struct("g", "p", F.transform("g", liked).alias("likes")))))
     none = F.array().cast("array<int>")
     taken = F.aggregate("likes", none, lambda out, like: F.array_append(out, F.try_element_at(F.filter(like, lambda i: ~F.coalesce(F.array_contains(out, i), F.lit(False))), F.lit(1))))
-    j = j.select("name", "g", "p", taken.alias("m"))
-    at = lambda rows, i: F.try_element_at(rows, i + 1)["e"]
-    hits = j.select("name", F.col("p"), F.posexplode(F.arrays_zip("g", "m")).alias("i", "x")).select(
-        "name", (F.col("i") + 1).alias("g_no"), F.col("x.g.e").alias("gold"), at("p", F.col("x.m")).alias("pred"))
-    if not weighted:
-        return hits
-    left = j.select("name", "m", F.posexplode("p").alias("i", "x")).filter(~F.coalesce(F.array_contains("m", F.col("i")), F.lit(False)))
-    return hits.unionByName(left.select("name", F.lit(None).cast("int").alias("g_no"), F.lit(None).cast(hits.schema["gold"].dataType).alias("gold"), F.col("x.e").alias("pred")))
+    j = j.select("name", F.inline(F.array(F.struct("g", "p", taken.alias("m")))))
+    row = lambda no, g, p: F.struct(no.cast("int").alias("g_no"), g.alias("gold"), p.alias("pred"))
+    rows = F.transform("g", lambda g, i: row(i + 1, g["e"], F.try_element_at("p", F.try_element_at("m", i + 1) + 1)["e"]))
+    if weighted:  # hits and what is left over come from one row, so it is matched once
+        nothing = F.lit(None).cast(j.schema["g"].dataType.elementType["e"].dataType)
+        free = F.filter("p", lambda p, i: ~F.coalesce(F.array_contains("m", i), F.lit(False)))
+        rows = F.concat(rows, F.transform(free, lambda p: row(F.lit(None), nothing, p["e"])))
+    return j.select("name", F.inline(rows))
 
 
 def _match_blocks(gold: DataFrame, pred: DataFrame, weighted: bool, block: int, most: int) -> DataFrame:
