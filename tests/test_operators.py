@@ -512,3 +512,14 @@ def test_matching_of_small_people_matches_once_and_without_arrays_of_characters(
     # null names match nothing
     got = sorted((r.name or "", -1 if r.g_no is None else r.g_no, r.pred is not None) for r in m.collect())
     assert got == [*([("", -1, True)] if weighted else []), ("", 1, False), ("n", 1, True), ("n", 2, True), ("n", 3, True)]
+
+
+def test_legacy_comparison_matches_once(spark):
+    rows = spark.createDataFrame([("n", 1, "1990.01", "省委", "书记", "a"), ("n", 2, "1995.06", "市府", "主席", "b")], "name string, pos int, start string, unit string, position string, org_tag string")
+    other = rows.withColumns({"start": F.lit("1993.02"), "org_tag": F.lit("b")}).filter("pos = 1")
+    m = Mt.match_episodes(rows, other, ["start", "unit", "position", "org_tag"], weighted=True)
+    n = spark.createDataFrame([("n", 8, 1)], "name string, n_a long, n_b long")
+    d = Ql.compare_legacy(m, n)
+    assert d._jdf.queryExecution().analyzed().toString().count("array_append") == 1
+    assert sorted(tuple(r) for r in d.select("field", "value_a", "value_b", "level").collect()) == [
+        ("count", "8", "1", "HIGH"), ("org_tag", "a", "b", "MEDIUM"), ("start", "1990.01", "1993.02", "HIGH"), ("unmatched", "市府", None, None)]

@@ -46,8 +46,11 @@ def frac_year(c: Column) -> Column:
     month_text = F.when(F.contains(s, F.lit(".")), F.substring_index(tail, ".", 1)).otherwise("")
     year = to_int(F.substring_index(s, ".", 1))
     month = F.when(month_text.isin("00", ""), F.lit(0)).otherwise(to_int(month_text))
+    # most texts are plain: they need no trimming
+    plain = F.substring(c, 1, 4).cast("int") + F.substring(c, 6, 2).cast("int") / F.lit(12.0)
     return (
-        F.when(c.isNull() | s.isin("", "None", "nan"), F.lit(None).cast("double"))
+        F.when(c.rlike(r"^[0-9]{4}\.[0-9]{2}$"), plain)
+        .when(c.isNull() | s.isin("", "None", "nan"), F.lit(None).cast("double"))
         .otherwise(F.coalesce(year + month / F.lit(12.0), F.lit(-1.0)))
     )
 

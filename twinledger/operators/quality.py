@@ -130,15 +130,15 @@ def compare_legacy(pairs: DataFrame, counts: DataFrame) -> DataFrame:
     by_count = counts.filter(gap > 2).select(
         "name", F.lit("count").alias("field"), F.col("n_a").cast("string").alias("value_a"), F.col("n_b").cast("string").alias("value_b"),
         F.when(gap > 4, "HIGH").otherwise("MEDIUM").alias("level"))
-    both = pairs.filter("gold is not null and pred is not null")
-    fa, fb = D.frac_year_legacy(F.col("gold.start")), D.frac_year_legacy(F.col("pred.start"))
-    years = F.when((fa < 0) | (fb < 0), 0.0).otherwise(F.abs(fa - fb))
+    both = F.col("gold").isNotNull() & F.col("pred").isNotNull()
+    fa, fb = F.col("_fa"), F.col("_fb")
+    # as columns of their own, so that each is computed once per pair
+    dated = pairs.withColumns({"_fa": D.frac_year_legacy(F.col("gold.start")), "_fb": D.frac_year_legacy(F.col("pred.start"))})
+    dated = dated.withColumn("_years", F.when((fa < 0) | (fb < 0), 0.0).otherwise(F.abs(fa - fb)))
+    row = lambda field, a, b, level, wanted: F.when(wanted, F.struct(F.lit(field).alias("field"), a.alias("value_a"), b.alias("value_b"), level.cast("string").alias("level")))
+    tag_a, tag_b = F.col("gold.org_tag"), F.col("pred.org_tag")
     rows = F.array(
-        F.struct(F.lit("start").alias("field"), F.col("gold.start").alias("value_a"), F.col("pred.start").alias("value_b"),
-                 F.when(years > 2, "HIGH").when(years > 1, "MEDIUM").alias("level")),
-        F.struct(F.lit("org_tag").alias("field"), F.col("gold.org_tag").alias("value_a"), F.col("pred.org_tag").alias("value_b"),
-                 F.when(F.col("gold.org_tag") != F.col("pred.org_tag"), "MEDIUM").alias("level")))
-    diffs = both.select("name", F.inline(F.filter(rows, lambda r: r["level"].isNotNull())))
-    alone = pairs.filter("gold is null or pred is null").select(
-        "name", F.lit("unmatched").alias("field"), F.col("gold.unit").alias("value_a"), F.col("pred.unit").alias("value_b"), F.lit(None).cast("string").alias("level"))
-    return by_count.unionByName(diffs).unionByName(alone)
+        row("start", F.col("gold.start"), F.col("pred.start"), F.when(F.col("_years") > 2, "HIGH").otherwise("MEDIUM"), both & (F.col("_years") > 1)),
+        row("org_tag", tag_a, tag_b, F.lit("MEDIUM"), both & (tag_a != tag_b)),
+        row("unmatched", F.col("gold.unit"), F.col("pred.unit"), F.lit(None), ~both))
+    return by_count.unionByName(dated.select("name", F.inline(F.array_compact(rows))))
