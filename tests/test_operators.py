@@ -523,3 +523,22 @@ def test_legacy_comparison_matches_once(spark):
     assert d._jdf.queryExecution().analyzed().toString().count("array_append") == 1
     assert sorted(tuple(r) for r in d.select("field", "value_a", "value_b", "level").collect()) == [
         ("count", "8", "1", "HIGH"), ("org_tag", "a", "b", "MEDIUM"), ("start", "1990.01", "1993.02", "HIGH"), ("unmatched", "市府", None, None)]
+
+
+def test_generated_code_of_verdicts_is_short_enough_to_be_compiled(spark):
+    rows = spark.createDataFrame([("n", 1, 1, "1990.01", "", "省委", "书记")], "name string, line_pos long, pos long, start string, end string, unit string, position string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = R.summarize_episodes(R.both_sides(rows, rows, large=False))._jdf.queryExecution().executedPlan()
+        parts = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$").codegenStringSeq(plan)
+        # the JVM leaves methods of more than 8000 bytes to its interpreter
+        assert max(parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())) < 8000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_short_ways_for_dates_and_organisations(spark):
+    got = [r[0] for r in values(spark, ["1990.06", "1990.00", "1990.13", "1990.6", "1990.061", "199０.06", "1990.06\n", " 1990.06"], D.frac_year(F.col("t")))]
+    assert got == [1990.5, 1990.0, 1990 + 13 / 12, 1990.5, 1990 + 61 / 12, 1990.5, 1990.5, 1990.5]
+    got = [r[0] for r in values(spark, ["某委", "某市委", "中共市委　", "甲 乙　丙", "市人民政府", "省人民代表大会"], T.norm_org(F.col("t")))]
+    assert got == ["某委", "中共某市委", "中共市委", "甲乙丙", "市人民政府", "省人大"]

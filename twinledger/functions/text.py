@@ -82,8 +82,8 @@ def line_label(num: Column) -> Column:
 
 def norm_org(c: Column) -> Column:
     """One spelling per organisation name; the rules apply in this order."""
-    s = F.when(~c.startswith("中共") & c.rlike("(?:省|市|区|县|自治州|自治区)委"),
-               F.concat(F.lit("中共"), c)).otherwise(c)
+    s = plain = F.when(F.contains(c, F.lit("委")) & ~c.startswith("中共") & c.rlike("(?:省|市|区|县|自治州|自治区)委"),
+                       F.concat(F.lit("中共"), c)).otherwise(c)
     for pattern, new in [
         ("中共(.+?)委员会$", "中共$1委"),
         ("(.+?(?:省|自治区))人民政府", "$1政府"),
@@ -93,7 +93,9 @@ def norm_org(c: Column) -> Column:
         ("中国人民政治协商会议(.+?)委员会", "$1政协"),
     ]:
         s = F.regexp_replace(s, pattern, new)
-    return F.regexp_replace(strip(s), "[　 ]", "")
+    # each rule needs one of these words: names without any take the short way
+    s = F.when(any_word(c, ["委员会", "人民政府", "人民代表大会"]), s).otherwise(plain)
+    return F.translate(strip(s), "　 ", "")
 
 
 def norm_prov(c: Column) -> Column:
