@@ -542,3 +542,15 @@ def test_short_ways_for_dates_and_organisations(spark):
     assert got == [1990.5, 1990.0, 1990 + 13 / 12, 1990.5, 1990 + 61 / 12, 1990.5, 1990.5, 1990.5]
     got = [r[0] for r in values(spark, ["某委", "某市委", "中共市委　", "甲 乙　丙", "市人民政府", "省人民代表大会"], T.norm_org(F.col("t")))]
     assert got == ["某委", "中共某市委", "中共市委", "甲乙丙", "市人民政府", "省人大"]
+
+
+def test_numbered_flags_are_those_of_the_wide_rows(spark):
+    data = [("n", 1, "学习进修", "学员"), ("n", 2, "省长", "省长"), ("n", 4, "学校", "校长"), ("n", 5, "怪", "x"), ("m", 3, None, None), ("m", 7, "学校", "本科学生")]
+    eps = spark.createDataFrame([(n, s, s, "1990.01", "", "u", p, "", f, "", "", "") for n, s, f, p in data],
+                                "name string, seq long, source_line long, start string, end string, unit string, position string, org_tag string, flag string, prov string, city string, central string")
+    labels = spark.createDataFrame([("n", "1950")], "name string, birth_year string")
+    ranks = spark.createDataFrame([("n", 2, "正部级")], "name string, episode_idx long, rank string")
+    wide = X.flatten(eps, labels, ranks, large=False).select("name", "seq", "flag")
+    got = X.numbered_flags(eps, large=False)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, wide.collect()))
+    assert ("n", 1, "省长") in map(tuple, got.collect())

@@ -234,6 +234,13 @@ def flatten(episodes: DataFrame, labels: DataFrame, ranks: DataFrame, lines: Dat
     return final_columns(out)
 
 
+def numbered_flags(episodes: DataFrame, large: bool | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """(name, seq, flag) of the rows of ``flatten``, for what asks for no more of them: from the episodes alone."""
+    e = episodes.filter(~is_study_row(F.col("flag"), F.col("position")))
+    e = ordinal(e.select("name", F.col("seq").alias("_old"), "org_tag", "flag"), ["name"], ["_old"], "seq", chunk_rows, large)
+    return enum_guards(e).select("name", "seq", "flag")
+
+
 def final_columns(df: DataFrame) -> DataFrame:
     """All 33 columns in order as text (year and seq stay numbers), missing ones empty."""
     def col(c: str) -> Column:
