@@ -76,3 +76,9 @@ def test_a_person_is_one_request(spark, monkeypatch):
     got = Q.episode_requests(eps, 2).collect()
     assert [tuple(r) for r in got] == whole and (got[0].part, got[0].n_episodes) == (0, 25)
     assert Q.episode_requests(eps, 2, max_episodes=10).count() == 3
+
+
+def test_pending_fields_compares_once(spark):
+    """Disputes and the decisions derived from them come from what is stored, not from the tables twice."""
+    plan = entry.queries()["j7_pending_fields"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "parquet" not in plan and plan.count("LogicalRDD") == 2
