@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 NOT_LETTERS = regex.compile(r"\P{L}+")
 UNDETERMINED = "und"
 BLANK = 32
+#: N-grams with their counts that a task holds before it adds them up.
+HELD = 1 << 19
 
 
 def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -36,24 +38,42 @@ def most_frequent(grams: np.ndarray, counts: np.ndarray, k: int) -> np.ndarray:
     return grams[np.argsort(-counts, kind="stable")[:k]]
 
 
+def added(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of several lists, ascending, and the sums of their counts."""
+    grams, at = np.unique(np.concatenate([g for g, _ in found]), return_inverse=True)
+    return grams, np.bincount(at, np.concatenate([c for _, c in found]), len(grams)).astype(np.int64)
+
+
 def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", size: int = 400) -> DataFrame:
     """One row for each n-gram of each language's profile: lang, gram, place (from 0).
 
-    Counts cover every row whose text and language are not null.  Each batch is counted on its own first, so what is
-    shuffled is a few thousand counts a batch, whatever share of the rows a language has.
+    Counts cover every row whose text and language are not null.  Each task adds them up first, so what is shuffled is
+    some ten thousand counts a task, whatever share of the rows a language has.  A task holds some HELD n-grams, however
+    many texts a batch has.
     """
 
+    def rows(held: dict[str, list[tuple[np.ndarray, np.ndarray]]]) -> Iterator[pa.RecordBatch]:
+        for lang, found in held.items():
+            g, n = added(found)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g), pa.string()), pa.array(g), pa.array(n)], names=["lang", "gram", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        n = 0
         for batch in batches:
-            by: dict[str, list[str]] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                by.setdefault(lang, []).append(text)
-            for lang, texts in by.items():
-                found = [ngrams(t) for t in texts]
-                grams = np.concatenate([g for g, _ in found])
-                g, at = np.unique(grams, return_inverse=True)
-                n = np.bincount(at, np.concatenate([c for _, c in found]), len(g)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g), pa.string()), pa.array(g), pa.array(n)], names=["lang", "gram", "n"])
+            for lang, text in zip(batch.column(0), batch.column(1)):
+                grams, counts = ngrams(text.as_py())
+                if not len(grams):
+                    continue
+                held.setdefault(lang.as_py(), []).append((grams, counts))
+                n += len(grams)
+                if n >= HELD:
+                    held = {k: [added(v)] for k, v in held.items()}
+                    n = sum(len(g) for ((g, _),) in held.values())
+                    if 2 * n >= HELD:
+                        yield from rows(held)
+                        held, n = {}, 0
+        yield from rows(held)
 
     known = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
     counts = known.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
