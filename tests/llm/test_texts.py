@@ -111,6 +111,13 @@ def test_language_small_cases(spark, frame):
     assert {(r.lang_pred, r.score) for r in none} == {("und", 0.0)} and len(none) == len(rows)
 
 
+def test_language_counts_in_small_parts(spark, frame, corpus, monkeypatch):
+    docs = frame(corpus).repartition(3)
+    whole = sorted(language_id.learn(docs, size=2000).collect())
+    monkeypatch.setattr(language_id, "HELD", 300)
+    assert whole and sorted(language_id.learn(docs, size=2000).collect()) == whole
+
+
 def test_language_held_out(spark):
     df = spark.range(200).select("id", language_id.held_out(F.col("id")).alias("h"))
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 3 == 1) for r in df.collect())
@@ -266,6 +273,40 @@ def test_jaccard_outliers_around_a_pivot(spark, frame, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == expected
 
 
+def test_jaccard_common_passage(spark, frame):
+    # each pair shares 97 of 110 shingles, which is 97 of 123 of both: looked at before, in regions of the passage
+    passage = " ".join(f"p{i}" for i in range(100))
+    rows = [(i, passage + " " + " ".join(f"u{i}x{j}" for j in range(13)), "en", "s0") for i in range(80)]
+    docs = frame(rows, extra=False).select(F.struct(F.col("doc_id").alias("id"), F.col("doc_id").alias("row"), F.lit(None).cast("long").alias("label")).alias("key"), "text")
+    counts = jaccard_join.cell_counts(jaccard_join.read_sets(docs, 4).where("chunk is not null").select("chunk", "counts"))
+    assert jaccard_join.first_regions(docs, counts, 4, 85).count() == 0
+
+
+def lines_in_common(rng):
+    """Texts of a few lines out of a small pool, some with an edit or cut short."""
+    pool = [[f"l{k}w{i}" for i in range(rng.randint(8, 30))] for k in range(9)]
+    rows = []
+    for i in range(120):
+        w = [x for line in rng.sample(pool, rng.randint(3, 6)) for x in line]
+        if i % 2:
+            w[rng.randrange(len(w))] = f"e{i}"
+        rows.append((i, " ".join(w[: len(w) - rng.randrange(9)]), "en", "s0"))
+        if i % 3:
+            w[rng.randrange(len(w))] = f"f{i}"
+            rows.append((1000 - i, " ".join(w), "en", "s0"))
+    return rows
+
+
+@pytest.mark.parametrize("small,whole,n,percent", [(48, 256, 4, 85), (1, 3, 4, 85), (4, 10, 5, 80), (1, 2, 2, 60)])
+def test_jaccard_blocks(spark, frame, monkeypatch, small, whole, n, percent):
+    monkeypatch.setattr(jaccard_join, "SMALL", small)
+    monkeypatch.setattr(jaccard_join, "WHOLE", whole)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 8)
+    rows = lines_in_common(random.Random(small))
+    got = jaccard_join.jaccard_components(frame(rows, extra=False), n, percent).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == linked_components(rows, n, percent)
+
+
 def test_jaccard_null_and_repeated_ids(spark, frame):
     words_ = [f"a{i}" for i in range(60)]
     near = words_[:30] + ["changed"] + words_[31:]

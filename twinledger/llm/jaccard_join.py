@@ -10,7 +10,8 @@ at.  A region whose points are one component already is left out where it is fou
 point's exact distance to it is computed, points within the threshold are linked to it, and by the triangle inequality
 two points can only be linked if their distances to the pivot differ by no more than the threshold.  So the region
 falls into rings around the pivot, each overlapping the next by one threshold; rings whose points are all linked
-already are done, and the others are regions again, with pivots of their own, until nothing is left.
+already are done, and the others are regions again, with pivots of their own, until nothing is left or rings no longer
+part their points; what is left then is compared in blocks.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ CELLS = 1 << 20
 CHUNK = 1 << 12
 SMALL = 48  # points of a region of rare shingles that are compared one by one
 WHOLE = 256  # points of a ring
+BLOCK = 512  # points of a ring that meet as many others in one task
 ORDERS = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)  # each of the random orders of n-grams, by xor
 
 
@@ -62,6 +64,14 @@ def prefix(n, percent: int):
     return np.minimum(n, n - least_overlap(n, percent) + lead(n, percent))
 
 
+def most_partner(n, place, percent: int):
+    """The largest size of a set linked to one of n whose first shared shingle, rarest first, has this place (from 0).
+
+    They share n - place shingles at most, and percent / (100 + percent) of both sizes at least.
+    """
+    return (100 + percent) * (n - place) // percent - n
+
+
 def read_sets(docs: DataFrame, n: int) -> DataFrame:
     """For each document: doc_id, row, point, size, firsts (its smallest shingle in each of ORDERS); and counts of shingles by
     hash cell, in rows of CHUNK cells.
@@ -115,25 +125,66 @@ def cell_counts(parts: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("shared", pa.int64()), ("least", pa.int64()), ("region", pa.int64())])
-PAIR_DDL = "a long, b long, shared long, least long, region long"
+PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("shared", pa.int64()), ("hits", pa.int64()), ("least", pa.int64()), ("region", pa.int64())])
+PAIR_DDL = "a long, b long, shared long, hits long, least long, region long"
+#: A point in a region: its size, above that the shingle's place, above that whether all of its prefix is in small regions.
+PLACE, RARE = 40, 62
+TRIED = 1024  # pairs that are looked at for each point of a large region, by sizes and labels alone
+
+
+def partners(p: np.ndarray, size: np.ndarray, most: np.ndarray, label: np.ndarray, percent: int, allowed: int) -> tuple[np.ndarray | None, np.ndarray]:
+    """Pairs (i, k) of one region's points, ascending by size, that can be linked by this shingle as the first they
+    share, and the points that have some; no pairs (None) if they are more than `allowed` for each point.
+
+    Only points of other labels than the most frequent one look for partners, each among the sizes it can be linked to,
+    so a large group that is one component costs nothing.
+    """
+    names, n = np.unique(label, return_counts=True)
+    main = label == names[np.argmax(n)]
+    z = np.flatnonzero(~main)
+    low = np.searchsorted(size, least_overlap(size[z], percent))
+    wide = np.maximum(np.searchsorted(size, np.minimum(most[z], size[z] * 100 // percent), "right") - low, 0)
+    ends = np.cumsum(wide)
+    if len(z) and ends[-1] > TRIED * len(p):
+        return None, np.arange(len(p))
+    out, count, start = [np.empty((2, 0), np.int64)], 0, 0
+    own = np.zeros(len(p), bool)
+    while start < len(z):
+        end = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + (1 << 20), "right")))
+        w = wide[start:end]
+        i = np.repeat(z[start:end], w)
+        k = np.arange(len(i)) - np.repeat(np.cumsum(w) - w, w) + np.repeat(low[start:end], w)
+        good = (label[i] != label[k]) & (most[k] >= size[i]) & (main[k] | (i < k))
+        i, k = i[good], k[good]
+        own[i], own[k] = True, True
+        count += len(i)
+        if count <= allowed * len(p):
+            out.append(np.stack([i, k]))
+        start = end
+    return (np.concatenate(out, axis=1) if count <= allowed * len(p) else None), np.flatnonzero(own)
 
 
 def first_regions(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFrame:
-    """Pairs to look at (a < b, region null), with how many rare shingles they share in small regions and how many they
-    have to share; and the members a of large regions, of size `least` (region not null).
+    """Pairs to look at (a < b, region null), with how many rare shingles they share in small regions, how many of these
+    can be the first they share, and how many they have to share; and the members a of large regions, of size `least`
+    (region not null).
+
+    Two linked sets have a first shared shingle, rarest first.  What stands before it in each bounds their overlap, and
+    with it the size of the other.  In a small region all pairs are made, and counted; in a large one only those that
+    can be linked by its shingle as their first.  Points that share much beyond their rarest shingles, but not enough to
+    be linked, so meet nowhere.  Only regions with very many such pairs are left as members.
 
     docs: key (struct of id, row and label), text.  Points of one label are linked already: they make no pair, and a
     large region of one label is left out.
     """
     spark = docs.sparkSession
     order = spark.sparkContext.broadcast(counts)
-    buckets = 8 * partitions(spark)
+    buckets = 2 * partitions(spark)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word_hash = words_hashed.__getitem__
         for held in slices(batches, "key", "text", SLICE, bytes.lower):
-            points, lists = [], []
+            points, lists, sizes = [], [], []
             seen: set[int] = set()
             for key, words in held:
                 found = shingles(words, word_hash, n)
@@ -142,8 +193,12 @@ def first_regions(docs: DataFrame, counts: np.ndarray, n: int, percent: int) ->
                     continue
                 seen.add(p)
                 label = p if key["label"] is None else key["label"]
-                rare = np.lexsort((found, order.value[(found & np.uint64(CELLS - 1)).astype(np.int64)]))[: prefix(len(found), percent)]
-                points.append((p, len(found), label))
+                often = order.value[(found & np.uint64(CELLS - 1)).astype(np.int64)]
+                m = len(found)
+                rare = np.lexsort((found, often))[: prefix(m, percent)]
+                # a shingle of a cell of SMALL documents at most lies in a small region
+                sizes.append(m | np.minimum(np.arange(len(rare)), (1 << RARE - PLACE) - 1) << PLACE | int(often[rare[-1]] <= SMALL) << RARE)
+                points.append((p, label))
                 lists.append(found[rare])
             if not lists:
                 continue
@@ -152,7 +207,8 @@ def first_regions(docs: DataFrame, counts: np.ndarray, n: int, percent: int) ->
             bucket = (h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
             by = np.lexsort((doc, bucket))
             h, bucket = h[by], bucket[by]
-            p, size, label = (np.array(points, np.int64)[doc[by]]).T
+            p, label = (np.array(points, np.int64)[doc[by]]).T
+            size = np.concatenate(sizes)[by]
             cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
             rows = [(int(bucket[a]), h[a:b].tobytes(), p[a:b].tobytes(), _packed(size[a:b]), _packed(label[a:b] ^ p[a:b])) for a, b in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 4))], names=["bucket", "h", "p", "size", "label"])
@@ -166,7 +222,7 @@ def first_regions(docs: DataFrame, counts: np.ndarray, n: int, percent: int) ->
         size = np.concatenate([_unpacked(x, np.int64) for x in table["size"].to_pylist()])[pick]
         label = np.concatenate([_unpacked(x, np.int64) for x in table["label"].to_pylist()])[pick] ^ p
         h = h[pick]
-        by = np.lexsort((p, size, h))
+        by = np.lexsort((p, size & (1 << PLACE) - 1, h))
         h, p, size, label = h[by], p[by], size[by], label[by]
         own = np.concatenate([[True], (h[1:] != h[:-1]) | (p[1:] != p[:-1])]) if len(h) else np.empty(0, bool)
         h, p, size, label = h[own], p[own], size[own], label[own]
@@ -176,28 +232,37 @@ def first_regions(docs: DataFrame, counts: np.ndarray, n: int, percent: int) ->
             left = np.repeat(apart, np.diff(cuts))
             h, p, size, label = h[left], p[left], size[left], label[left]
             cuts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1], [True]])) if len(h) else np.zeros(1, int)
+        rare, place, size = size >> RARE, size >> PLACE & (1 << RARE - PLACE) - 1, size & (1 << PLACE) - 1
+        most = most_partner(size, place, percent)
         width = np.diff(cuts)
-        at = np.repeat(cuts[:-1], width)
         end = np.repeat(cuts[1:], width)
         small = np.repeat(width, width) <= SMALL
-        pairs = []
+        pairs, members = [np.empty((5, 0), np.int64)], []
         for step in range(1, SMALL):
             i = np.flatnonzero(small & (np.arange(len(h)) + step < end))
             if not len(i):
                 break
             i = i[(size[i] >= least_overlap(size[i + step], percent)) & (label[i] != label[i + step])]
-            pairs.append(np.stack([p[i], p[i + step], size[i]]))
-        found = np.concatenate(pairs, axis=1) if pairs else np.empty((3, 0), np.int64)
-        a, b = np.minimum(found[0], found[1]), np.maximum(found[0], found[1])
+            k = i + step
+            pairs.append(np.stack([p[i], p[k], (most[i] >= size[k]) & (most[k] >= size[i]), np.where(rare[i] | rare[k], lead(size[i], percent), 1), np.ones(len(i), np.int64)]))
+        for x, y in zip(cuts[:-1][width > SMALL], cuts[1:][width > SMALL]):
+            found, own = partners(p[x:y], size[x:y], most[x:y], label[x:y], percent, SMALL)
+            if found is None:
+                members.append(x + own)
+            else:
+                pairs.append(np.concatenate([p[x:y][found], np.ones((3, found.shape[1]), np.int64)]))
+        first, second, hit, least, one = np.concatenate(pairs, axis=1)
+        a, b = np.minimum(first, second), np.maximum(first, second)
         by = np.lexsort((b, a))
-        a, b, least = a[by], b[by], lead(found[2][by], percent)
+        a, b, hit, least, one = a[by], b[by], hit[by], least[by], one[by]
         start = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.empty(0, int)
-        shared = np.diff(np.append(start, len(a)))
-        out = [pa.Table.from_arrays([pa.array(a[start]), pa.array(b[start]), pa.array(shared, pa.int64()), pa.array(least[start]), pa.nulls(len(start), pa.int64())], schema=PAIR)]
-        big = np.flatnonzero(~small)
-        if len(big):
+        if len(a):
+            hit, least, one = np.add.reduceat(hit, start), np.maximum.reduceat(least, start), np.add.reduceat(one, start)
+        out = [pa.Table.from_arrays([pa.array(c, pa.int64()) for c in (a[start], b[start], one, hit, least)] + [pa.nulls(len(start), pa.int64())], schema=PAIR)]
+        if members:
+            big = np.concatenate(members)
             none = pa.nulls(len(big), pa.int64())
-            out.append(pa.Table.from_arrays([pa.array(p[big]), none, none, pa.array(size[big]), pa.array(h[at[big]].astype(np.int64))], schema=PAIR))
+            out.append(pa.Table.from_arrays([pa.array(p[big]), none, none, none, pa.array(size[big]), pa.array(h[big].astype(np.int64))], schema=PAIR))
         return pa.concat_tables(out)
 
     sent = docs.mapInArrow(send, "bucket int, h binary, p binary, size binary, label binary")
@@ -281,7 +346,7 @@ def links(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id"
     of_row = rows.join(labels, rows.point == labels.node).select("row", "label").dropDuplicates(["row"])
     named = slim.select("key.id", "key.row", "text").join(of_row, "row", "left").select(F.struct("id", "row", "label").alias("key"), "text")
     met = cut(first_regions(named, counts, n, percent))
-    near = met.where("region is null").groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.first("least").alias("least")).where("shared >= least").select("a", "b", F.lit(False).alias("must"))
+    near = met.where("region is null").groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.sum("hits").alias("hits"), F.max("least").alias("least")).where("shared >= least and hits > 0").select("a", "b", F.lit(False).alias("must"))
     members = with_pivots(met.where("region is not null").select("region", F.col("a").alias("p"), F.col("least").alias("size")))
     pivots = members.where("p <> pivot").select(F.least("p", "pivot").alias("a"), F.greatest("p", "pivot").alias("b"), F.lit(True).alias("must"))
     pairs = near.unionByName(pivots).groupBy("a", "b").agg(F.max("must").alias("must"))
@@ -289,23 +354,32 @@ def links(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id"
     wanted = ends(pairs).unionByName(members.select(F.col("p").alias("point"))).distinct().join(first_wanted, "point", "left_anti")
     texts = texts.unionByName(texts_of(wanted))
 
-    def joined_up(new: DataFrame) -> DataFrame:
-        found = new.where(linked(percent)).select("a", "b")
+    def joined_up(found: DataFrame) -> DataFrame:
         return components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found))
 
     new = cut(overlaps(pairs, texts, n, percent))
-    labels, known = joined_up(new), known.unionByName(new)
-    regions = members
+    labels, known = joined_up(new.where(linked(percent)).select("a", "b")), known.unionByName(new)
+    regions, before = members, members.count()
     used = members.select(F.col("pivot").alias("p")).distinct()
-    while rounds and not regions.isEmpty():
+    while before:
         rounds -= 1
         regions = cut(rings(regions, known, labels, percent, used))
+        # rings that do not part the points of their regions are compared in blocks, as are small ones
+        before, last = (m := regions.count()), rounds == 0 or m >= before
+        if not m:
+            break
+        found = cut(block_links(regions if last else regions.where("not large"), texts, n, percent))
+        if last:
+            labels = joined_up(found)
+            break
         used = used.unionByName(regions.select(F.col("pivot").alias("p"))).distinct()
-        pairs = cut(region_pairs(regions, percent, everything=rounds == 0).join(known, ["a", "b"], "left_anti"))
+        star = regions.where("large and p <> pivot").select(F.least("p", "pivot").alias("a"), F.greatest("p", "pivot").alias("b"), F.lit(True).alias("must")).distinct()
+        pairs = cut(star.join(known, ["a", "b"], "left_anti"))
         # a round without new pairs is not the last: large regions still fall into the rings of their next pivot
         if not pairs.isEmpty():
             new = cut(overlaps(pairs, texts, n, percent))
-            labels, known = joined_up(new), known.unionByName(new)
+            found, known = found.unionByName(new.where(linked(percent)).select("a", "b")), known.unionByName(new)
+        labels = joined_up(found)
         regions = regions.where("large")
     return points, labels
 
@@ -332,12 +406,12 @@ def rings(regions: DataFrame, known: DataFrame, labels: DataFrame, percent: int,
 
     A point's ring is its distance to the pivot in units of the threshold; it belongs to that ring and the next.
     """
-    far = known.select(F.explode(F.array(F.struct(F.col("a").alias("p"), F.col("b").alias("pivot")), F.struct(F.col("b").alias("p"), F.col("a").alias("pivot")))).alias("k"),
-                       (1 - F.col("inter") / (F.col("na") + F.col("nb") - F.col("inter"))).alias("d")).select("k.p", "k.pivot", "d").dropDuplicates(["p", "pivot"])
+    far = known.select("a", "b", (1 - F.col("inter") / (F.col("na") + F.col("nb") - F.col("inter"))).alias("d"))
     # regions whose points are one component by now go before anything is made of them
     at = regions.select("region", "p", "pivot", "size").join(labels, F.col("p") == F.col("node"), "left").withColumn("label", F.coalesce("label", "p")).drop("node")
     apart = at.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("region")
-    at = cut(at.join(apart, "region", "left_semi")).join(far, ["p", "pivot"], "left").withColumn("d", F.coalesce("d", F.lit(0.0)))
+    at = cut(at.join(apart, "region", "left_semi").withColumns({"a": F.least("p", "pivot"), "b": F.greatest("p", "pivot")}))
+    at = at.join(far, ["a", "b"], "left").withColumn("d", F.coalesce("d", F.lit(0.0)))
     # a little wider than the threshold, for rounding
     ring = F.floor(F.col("d") / (1.0 - percent / 100.0 + 1e-9))
     at = at.withColumn("ring", F.explode(F.array(ring, ring + 1))).select(F.xxhash64("region", "ring", "pivot").alias("region"), "p", "size", "label")
@@ -347,17 +421,54 @@ def rings(regions: DataFrame, known: DataFrame, labels: DataFrame, percent: int,
     return at.join(found.select("region", "n", "pivot"), "region").withColumn("large", F.col("n") > WHOLE)
 
 
-def region_pairs(regions: DataFrame, percent: int, everything: bool) -> DataFrame:
-    """a, b, must: all pairs of small regions and of the last round, the pivot's pairs of large ones, where labels differ."""
-    whole = regions if everything else regions.where("not large")
-    x, y = whole.alias("x"), whole.alias("y")
-    fits = F.least("x.size", "y.size") * 100 >= F.greatest("x.size", "y.size") * percent
-    pairs = x.join(y, (F.col("x.region") == F.col("y.region")) & (F.col("x.p") < F.col("y.p")) & (F.col("x.label") != F.col("y.label")) & fits)
-    pairs = pairs.select(F.col("x.p").alias("a"), F.col("y.p").alias("b"), F.lit(False).alias("must"))
-    if not everything:
-        star = regions.where("large and p <> pivot").select(F.least("p", "pivot").alias("a"), F.greatest("p", "pivot").alias("b"), F.lit(True).alias("must"))
-        pairs = pairs.unionByName(star)
-    return pairs.groupBy("a", "b").agg(F.max("must").alias("must"))
+def block_links(regions: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """a, b: links that join up all linked points of different labels inside each region (region, p, label, n).
+
+    A region of n points falls into blocks of about BLOCK, and each two blocks meet in one group with their texts: some
+    n * n / BLOCK rows, 2 * BLOCK texts in a task at a time, and a link for each point at most.
+    """
+    k = F.ceil(F.col("n") / BLOCK)
+    dealt = regions.select("region", "p", "label", k.alias("k"), F.pmod(F.xxhash64("p", "region"), k).alias("block"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    dealt = dealt.select(F.xxhash64("region", F.least("block", "other"), F.greatest("block", "other")).alias("at"), (F.col("block") == F.col("other")).alias("alone"),
+                         (F.col("block") > F.col("other")).alias("second"), F.col("p").alias("point"), "label")
+
+    def run(table: pa.Table) -> pa.Table:
+        word_hash = words_hashed.__getitem__
+        table = table.sort_by("point")
+        sets = [shingles(t.lower().split(), word_hash, n) for t in table["text"].cast(pa.large_binary()).to_pylist()]
+        point, label = table["point"].to_pylist(), table["label"].to_pylist()
+        side = table["second"].to_numpy()
+        inside = table["alone"][0].as_py()
+        sizes = np.array([len(x) for x in sets], np.int64)
+        h, d = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+        by = np.argsort(h, kind="stable")
+        h, d = h[by], d[by]
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (y := root.get(x, x)) != x:
+                root[x] = root.get(y, y)
+                x = y
+            return x
+
+        out = []
+        for y, own in enumerate(sets):
+            low = np.searchsorted(h, own)
+            wide = np.searchsorted(h, own, "right") - low
+            inter = np.bincount(d[np.arange(wide.sum()) + np.repeat(low - np.cumsum(wide) + wide, wide)], minlength=len(sets))
+            good = 100 * inter >= percent * (sizes + sizes[y] - inter)
+            good[y:] = False
+            if not inside:
+                good &= side != side[y]
+            for x in np.flatnonzero(good):
+                a, b = find(label[x]), find(label[y])
+                if a != b:
+                    root[a] = b
+                    out.append((point[x], point[y]))
+        return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else [()] * 2)], names=["a", "b"])
+
+    return texts.join(dealt, "point").groupBy("at").applyInArrow(run, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
