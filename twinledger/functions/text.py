@@ -98,24 +98,37 @@ def norm_org(c: Column) -> Column:
     return F.translate(strip(s), "　 ", "")
 
 
+def _looked_up(c: Column, known: dict[str, str], prefixes: dict[str, str]) -> Column:
+    """``known[text]``, else the entry of the first of ``prefixes`` that the text begins with; null without either.
+
+    Two lookups instead of a branch for each name: a chain of branches trims the text again in every one of them.
+    """
+    names = lambda d: F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
+    first = F.regexp_extract(c, "^(" + "|".join(prefixes) + ")", 1)
+    return F.coalesce(F.try_element_at(names(known), c), F.try_element_at(names(prefixes), first))
+
+
+def _known_provinces() -> dict[str, str]:
+    """Full names and exact short names, then every beginning of a full name, by the first entry that has it."""
+    known = {full: full for full in K.PROVINCE_MAP.values()} | {s: f for s, f in K.PROVINCE_MAP.items() if s not in K.PROVINCE_MAP.values()}
+    for full in K.PROVINCE_MAP.values():
+        for n in range(len(full)):
+            known.setdefault(full[:n], full)
+    return known
+
+
 def norm_prov(c: Column) -> Column:
     """Full province name: itself, the exact short name, else the first entry sharing a prefix, else unchanged."""
-    s = strip(c)
-    exact, prefix = F.when(s.isin(list(K.PROVINCE_MAP.values())), s), None
-    for short, full in K.PROVINCE_MAP.items():
-        exact = exact.when(s == short, full)
-        hit = s.startswith(short) | F.startswith(F.lit(full), s)
-        prefix = F.when(hit, full) if prefix is None else prefix.when(hit, full)
-    return F.when(c.isNull() | (c == ""), "").otherwise(F.coalesce(exact, prefix, s))
+    known, s = _known_provinces(), strip(c)
+    # a text that begins with a short name and is the beginning of a full one has both in the same entry
+    own = F.try_element_at(F.create_map(*[F.lit(x) for kv in known.items() for x in kv]), c)
+    return F.when(c.isNull() | (c == ""), "").otherwise(F.coalesce(own, _looked_up(s, known, K.PROVINCE_MAP), s))
 
 
 def norm_city(c: Column) -> Column:
     s = strip(c)
-    known, prefix = F.when(s.rlike("[市区县州盟]$"), s), None
-    for short, full in K.CITY_MAP.items():
-        known = known.when(s == short, full)
-        prefix = (F.when(s.startswith(short), full) if prefix is None else prefix.when(s.startswith(short), full))
-    return F.when(c.isNull() | (c == ""), "").otherwise(F.coalesce(known, prefix, s))
+    return F.when(c.isNull() | (c == ""), "").otherwise(
+        F.coalesce(F.when(s.rlike("[市区县州盟]$"), s), _looked_up(s, K.CITY_MAP, K.CITY_MAP), s))
 
 
 def admin_short(c: Column) -> Column:
@@ -216,11 +229,8 @@ def decision_text(judge_model: Column, confidence: Column, reason: Column) -> Co
 
 def rank_ord(c: Column) -> Column:
     """1 (highest) to 10; null for values that are not a level."""
-    s = strip(c)
-    out = None
-    for i, r in enumerate(K.RANKS, 1):
-        out = F.when(s == r, i) if out is None else out.when(s == r, i)
-    return out
+    ordinals = F.create_map(*[F.lit(x) for kv in ((r, i) for i, r in enumerate(K.RANKS, 1)) for x in kv])
+    return F.try_element_at(ordinals, strip(c))
 
 
 def rank_name(o: Column) -> Column:
