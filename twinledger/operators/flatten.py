@@ -362,7 +362,14 @@ def export_counts(rows: DataFrame) -> DataFrame:
 # ---- review tables
 
 def review_step1(diffs: DataFrame, a: DataFrame, group_decisions: DataFrame, field_decisions: DataFrame, by_name: bool = False) -> DataFrame:
-    """Every step-1 difference with its decision.
+    """Every step-1 difference with its decision, as ``review_parts`` says."""
+    is_field = F.col("scope") == "episode_field"
+    return review_parts(diffs.filter(is_field), diffs.filter(~is_field), a, group_decisions, field_decisions, by_name)
+
+
+def review_parts(of_field: DataFrame, of_line: DataFrame, a: DataFrame, group_decisions: DataFrame, field_decisions: DataFrame,
+                 by_name: bool = False) -> DataFrame:
+    """Field differences, and differences of lines, with their decisions.
 
     Split and missing lines use the line key.  A field difference finds its key through the first A row of the line
     with the same unit.  Tables that lie partitioned ``by_name`` are not exchanged.
@@ -375,7 +382,6 @@ def review_step1(diffs: DataFrame, a: DataFrame, group_decisions: DataFrame, fie
         return d.select(*keys, *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in have],
                         *[F.lit("").alias(c) for c in cols if c not in d.columns])
 
-    of_line, of_field = diffs.filter("scope <> 'episode_field'"), diffs.filter("scope = 'episode_field'")
     first, key = a.withColumn("source_line", F.col("line_zero")), [*line, "unit", "position", "start", "field"]
     post = {c: F.coalesce(f"k.{c}", F.lit("")) for c in ("position", "start")}
     if by_name:
